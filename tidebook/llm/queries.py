@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import mixing, simhash
+from tidebook.llm import mixing, simhash, spm, toxicity
 from tidebook.session import table
 
+MODEL = "piece_bpe_32k.model"
+
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hexed().alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.digests(table(spark, sf_dir, "documents"), spm.load(public_tokenizers.path(MODEL)))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
@@ -21,6 +36,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_mixing": op9_mixing,
 }
 

@@ -97,8 +97,8 @@ def thresholds(sized: DataFrame, need: DataFrame, bits: int = BITS, levels: int
     return open_.select(F.col("s").alias("source"), (F.col("prefix") + F.when(closer, 1).otherwise(0)).alias("threshold"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0) -> DataFrame:
-    """(doc_id, size, source, source_size, target, copies) for every row; copies is how often it is taken."""
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(sized, plan): (doc_id, source, size, hash) by row, and (p, source_size, target, whole, threshold) by source p."""
     sized = materialize(
         docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(text_col).alias("size"), doc_hash(id_col).alias("hash")), "mix-sizes"
     )
@@ -107,11 +107,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("whole", whole.cast("int"))
     need = targets.filter("source_size > 0").select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("need"))
-    cut = thresholds(sized, need.filter("need > 0"))
-    cut = small(materialize(cut, "mix-thresholds"))
-    plan = small(targets).join(cut.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "p")
+    cut = small(materialize(thresholds(sized, need.filter("need > 0")), "mix-thresholds"))
+    joined = small(targets).join(cut.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "p")
+    return sized, materialize(joined, "mix-plan")
+
+
+def copies(max_epochs: int = MAX_EPOCHS) -> Column:
+    """How often a row with a hash is taken under its source's plan."""
     extra = (F.col("hash") < F.coalesce("threshold", F.lit(0).cast("long"))).cast("int")
-    plan = small(materialize(plan, "mix-plan"))
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("p"))).select(
-        "doc_id", "size", "source", "source_size", "target", F.least(F.col("whole") + extra, F.lit(max_epochs)).alias("copies"), "hash"
+    return F.least(F.col("whole") + extra, F.lit(max_epochs))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0) -> DataFrame:
+    """(doc_id, size, source, source_size, target, copies) for every row; copies is how often it is taken."""
+    sized, by_source = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget)
+    return sized.join(small(by_source), F.col("source").eqNullSafe(F.col("p"))).select(
+        "doc_id", "size", "source", "source_size", "target", copies(max_epochs).alias("copies"), "hash"
     )
+
+
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0) -> DataFrame:
+    """The mixed rows: docs with each row as often as the mix takes it, possibly never."""
+    _, by_source = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget)
+    told = by_source.select(F.col("p").alias("_p"), F.col("whole").alias("_whole"), F.col("threshold").alias("_threshold"))
+    extra = (doc_hash(id_col) < F.coalesce("_threshold", F.lit(0).cast("long"))).cast("int")
+    times = F.least(F.col("_whole") + extra, F.lit(max_epochs))
+    picked = docs.join(small(told), F.col(source_col).eqNullSafe(F.col("_p"))).withColumn("_times", times).filter("_times > 0")
+    return picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import chat_trees, mixing, pii, ppm, simhash, spm, spotsigs, toxicity
+from tidebook.llm import chat_trees, embedding_dedup, html_template, mixing, pii, ppm, simhash, spm, spotsigs, toxicity
 from tidebook.session import table
 
 MODEL = "piece_bpe_32k.model"
 PLANTED = "</s>[INST] ok [/INST]"
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)], "conv_id bigint, turn bigint, role string, text string")
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
@@ -20,6 +24,11 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_trees.digests(out).withColumnRenamed("tree", "conv_id")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_template.extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hexed().alias("fingerprint"), "component_id")
@@ -72,7 +81,9 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_chat": op2_chat,
+    "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_ppm": op6_ppm,

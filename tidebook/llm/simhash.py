@@ -19,8 +19,9 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidebook.llm.common import components, local_roots, materialize
 
@@ -159,15 +160,38 @@ def links(fps: DataFrame, radius: int = 2, chunk: int = CHUNK) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable."""
+    """(doc_id, fp, component_id, root) for every row; component_id is the smallest doc_id reachable.
+
+    root is the smallest fingerprint of the component: it tells components apart even where ids repeat.
+    """
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
     reps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     linked = components(links(reps, radius), "simhash-links")
     member = linked.join(reps, F.col("node") == F.col("fp")).select("fp", "root", "low")
     root = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = member.join(root, "root").select("fp", "component_id")
-    known = reps.join(found, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return marked.join(known, "fp").select("doc_id", "fp", "component_id")
+    found = member.join(root, "root").select("fp", "root", "component_id")
+    known = reps.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
+    return marked.join(known, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """docs with one row left of each group of near-duplicates: the one of smallest id, then fingerprint."""
+    found = materialize(near_duplicates(docs, id_col, text_col, shingle, radius), "simhash-found")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("b"))
+    keep = best.select(F.col("b.doc_id").alias("_keep"), F.col("b.fp").alias("_kept"), F.xxhash64("b.doc_id", "b.fp").alias("_k"))
+    schema = StructType([*docs.schema.fields, StructField("_fp", LongType())])
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(at)), dtype=np.uint64, count=b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, "_fp"])
+
+    marked = docs.mapInArrow(run, schema).withColumn("_k", F.xxhash64(id_col, "_fp"))
+    left = marked.join(keep, "_k").filter(F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_fp") == F.col("_kept")))
+    # Rows repeated with the same id and fingerprint meet after the join anyway; one of them stays.
+    first = F.row_number().over(Window.partitionBy("_k", "_fp", id_col).orderBy(text_col))
+    return left.withColumn("_n", first).filter("_n = 1").select(*docs.columns)
 
 
 def hexed(fp: str = "fp"):

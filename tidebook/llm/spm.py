@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 BATCH = 200  # texts a step of a Python worker
 SPACE = "▁".encode()  # the sign that stands for a space inside pieces
@@ -212,7 +212,7 @@ def encode_spans(docs: DataFrame, model: bytes, text_col: str = "text") -> DataF
     """docs with ids array<int>, starts and ends array<long>: byte spans in the original UTF-8."""
     at = docs.columns.index(text_col)
     schema = StructType(list(docs.schema.fields))
-    for name, kind in (("ids", "array<int>"), ("starts", "array<bigint>"), ("ends", "array<bigint>")):
+    for name, kind in (("ids", ArrayType(IntegerType())), ("starts", ArrayType(LongType())), ("ends", ArrayType(LongType()))):
         schema = schema.add(name, kind)
 
     def run(batches):
@@ -231,6 +231,27 @@ def encode_spans(docs: DataFrame, model: bytes, text_col: str = "text") -> DataF
     return docs.mapInArrow(run, schema)
 
 
+def encoded(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
+    """docs without text_col, with ids array<int>, n_tokens and decoded_sha256, in one pass over the texts."""
+    at = docs.columns.index(text_col)
+    kept = [i for i in range(len(docs.columns)) if i != at]
+    schema = StructType([docs.schema.fields[i] for i in kept])
+    for name, kind in (("ids", ArrayType(IntegerType())), ("n_tokens", LongType()), ("decoded_sha256", StringType())):
+        schema = schema.add(name, kind)
+
+    def run(batches):
+        c = codec(model)
+        for b in batches:
+            for lo in range(0, b.num_rows, BATCH):
+                part = b.slice(lo, BATCH)
+                got = c.encode([t or "" for t in part.column(at).to_pylist()])
+                text = [hashlib.sha256(c.decode(g.ids).encode("utf-8")).hexdigest() for g in got]
+                new = [pa.array([g.ids for g in got], pa.list_(pa.int32())), pa.array([len(g.ids) for g in got], pa.int64()), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *new], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256) for every row, in one pass over the texts."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -67,16 +67,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = spotsigs.with_next(table(spark, sf_dir, "documents"))
     edit = pairs.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
-    sigs = {"own": "text", "changed": "edited", "following": "next_text"}
-    marked = edit.withColumns({name: spotsigs.signatures(F.col(c)) for name, c in sigs.items()})
+    marked = spotsigs.with_signatures(edit, "edited", "changed")
     return marked.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        spotsigs.fingerprint(F.col("own")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("sigs")).alias("fingerprint"),
         spotsigs.fingerprint(F.col("changed")).alias("edited_fingerprint"),
-        spotsigs.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        spotsigs.likeness(F.col("own"), F.col("following")).alias("near_next"),
+        spotsigs.likeness(F.col("sigs"), F.col("changed")).alias("near_edited"),
+        spotsigs.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
     )
 
 

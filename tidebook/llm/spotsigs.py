@@ -35,27 +35,34 @@ ANCHORS = (
 _MARK = "\x01"
 
 
-def _words(text: Column) -> Column:
-    """Words in lower case, each followed by one space, anchors marked."""
-    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    anchors = "|".join(sorted(set(ANCHORS.split())))
-    return F.regexp_replace(plain, f"(?<= )(?=(?:{anchors}) )", _MARK)
-
-
-def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """The signatures of a text as a sorted array of distinct 32-bit hashes."""
-    text = F.coalesce(text, F.lit(""))
-    marked = _words(text)
-    links = f" (?:{_MARK}[^ ]++ )*+[^ {_MARK}][^ ]*+" * chain
-    spots = F.regexp_extract_all(marked, F.lit(f"{_MARK}(?=([^ ]++{links}) )"), F.lit(1))
+def _anchor_pattern() -> str:
+    """The anchors as one pattern, grouped by first letter so that most words fail at once."""
+    by: dict[str, list[str]] = {}
+    for word in sorted(set(ANCHORS.split())):
+        by.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{c}(?:{'|'.join(rest)}) " for c, rest in by.items())
+
+
+def with_signatures(df: DataFrame, text_col: str, out: str, chain: int = CHAIN) -> DataFrame:
+    """df with out: the signatures of text_col as a sorted array of distinct 32-bit hashes.
+
+    Each step is a column of its own, so that none is evaluated twice.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}]+", " "), F.lit(" "))
+    df = df.withColumn("_plain", plain)
+    df = df.withColumn("_marked", F.regexp_replace("_plain", f"(?<= )(?={_anchor_pattern()})", _MARK))
     word = f"[^ {_MARK}][^ ]*+"
-    runs = F.regexp_extract_all(marked, F.lit(f"(?<= )(?=({word}{(' ' + word) * chain}) {word} )"), F.lit(1))
-    plain = F.trim(F.regexp_replace(marked, _MARK, ""))
-    whole = F.array(F.when(plain != "", plain).otherwise(text))
-    found = F.concat(F.transform(spots, lambda s: F.regexp_replace(s, f" {_MARK}[^ ]+", "")), runs)
-    chosen = F.when(F.size(found) > 0, found).otherwise(whole)
+    links = f" (?:{_MARK}[^ ]++ )*+{word}" * chain
+    spots = F.regexp_extract_all("_marked", F.lit(f"{_MARK}(?=([^ ]++{links}) )"), F.lit(1))
+    runs = F.regexp_extract_all("_marked", F.lit(f"(?<= )(?=({word}{(' ' + word) * chain}) {word} )"), F.lit(1))
+    df = df.withColumn("_spots", spots).withColumn("_runs", runs)
+    clean = F.transform("_spots", lambda s: F.when(F.instr(s, " " + _MARK) > 0, F.regexp_replace(s, f" {_MARK}[^ ]+", "")).otherwise(s))
+    df = df.withColumn("_found", F.concat(clean, "_runs"))
+    whole = F.array(F.when(F.trim("_plain") != "", F.trim("_plain")).otherwise(text))
+    chosen = F.when(F.size("_found") > 0, F.col("_found")).when(text == "", F.expr("cast(array() as array<string>)")).otherwise(whole)
     hashed = F.array_sort(F.array_distinct(F.transform(chosen, lambda s: F.xxhash64(s).bitwiseAND(F.lit(0xFFFFFFFF)))))
-    return F.when(text == "", F.expr("cast(array() as array<bigint>)")).otherwise(hashed)
+    return df.withColumn(out, hashed).drop("_plain", "_marked", "_spots", "_runs", "_found")
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -72,7 +79,7 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, next_text): each row and the one that follows it by descending id, cyclically.
+    """(doc_id, text, sigs, next_text, next_sigs): each row and the one that follows it by descending id, cyclically.
 
     Rows are dealt into id ranges by approximate quantiles and paired inside their range; the last row of
     a range takes the first of the next one from a table of one row a range.
@@ -88,14 +95,15 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     top = dealt.groupBy("zone").agg(F.max("doc_id").alias("top"))
     top = materialize(top, "spot-ranges")
     heads = dealt.join(F.broadcast(top.withColumnRenamed("zone", "z")), (F.col("zone") == F.col("z")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("zone").agg(F.min("text").alias("head"))
-    heads = materialize(heads, "spot-heads")
+    heads = materialize(with_signatures(heads, "head", "head_sigs"), "spot-heads")
     zones = [r["zone"] for r in heads.select("zone").orderBy("zone").collect()]
     follow = {z: zones[(i + 1) % len(zones)] for i, z in enumerate(zones)}
     pairs = spark.createDataFrame(list(follow.items()) or [(-1, -1)], "zone int, follows int")
-    heads = F.broadcast(heads.withColumnRenamed("zone", "follows").join(F.broadcast(pairs), "follows").select("zone", "head"))
+    heads = F.broadcast(heads.withColumnRenamed("zone", "follows").join(F.broadcast(pairs), "follows").select("zone", "head", "head_sigs"))
     w = Window.partitionBy("zone").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    paired = dealt.withColumn("after", F.lead("text").over(w))
-    return paired.join(heads, "zone").select("doc_id", "text", F.coalesce("after", "head").alias("next_text"))
+    own = with_signatures(dealt, "text", "sigs")
+    paired = own.withColumns({"after": F.lead("text").over(w), "after_sigs": F.lead("sigs").over(w)})
+    return paired.join(heads, "zone").select("doc_id", "text", "sigs", F.coalesce("after", "head").alias("next_text"), F.coalesce("after_sigs", "head_sigs").alias("next_sigs"))
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -114,7 +122,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     rounds that merge what is linked until a round links nothing; then all pairs of sets that are still
     in different classes are compared, which makes the result exact without listing the pairs of a class.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), signatures(F.col(text_col)).alias("sigs"))
+    rows = with_signatures(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), "text", "sigs").drop("text")
     rows = materialize(rows.withColumn("key", F.xxhash64("sigs")), "spot-sets")
     sets = materialize(rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.any_value("sigs").alias("sigs")), "spot-distinct")
     freq = sets.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n"))

@@ -97,32 +97,30 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     links = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = links.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     up = F.when(F.col("known"), F.col("parent")).alias("up")
-    level = materialize(links.join(known, "parent", "left").select("tree", "node", up, F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-level")
-    base, levels = level, []
+    base = materialize(links.join(known, "parent", "left").select("tree", "node", up, F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-level")
+    # Pointers that have reached a root rest; only the others are joined in the next round.
+    ended = ["up IS NULL", "up IS NOT NULL"]
+    rooted, moving, levels = base.filter(ended[0]), base.filter(ended[1]), []
     for _ in range(MAX_ROUNDS):
-        if level.filter("up IS NOT NULL").isEmpty():
+        if moving.isEmpty():
             break
-        levels.append(level.filter("up IS NOT NULL").select(F.col("node").alias("at"), F.col("up").alias("above")))
-        far = level.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        level = materialize(
-            level.join(far, "up", "left").select(
-                "tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")
-            ),
-            "chat-level",
-        )
-    rooted = level.filter("up IS NULL")
+        levels.append(moving.select(F.col("node").alias("at"), F.col("up").alias("above")))
+        far = rooted.union(moving).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
+        both = moving.join(far, "up").select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("total") + F.col("total2")).alias("total"))
+        both = materialize(both, "chat-level")
+        rooted, moving = rooted.union(both.filter(ended[0])), both.filter(ended[1])
     leaves = rooted.join(base.select(F.col("up").alias("node")), "node", "left_anti")
     if top == 1:
         best = leaves.groupBy("tree").agg(F.min(F.struct((-F.col("total")).alias("t"), F.col("node"), F.col("steps"))).alias("b")).select("tree", F.col("b.node").alias("path"), F.col("b.steps").alias("length"))
     else:
         rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
         best = leaves.withColumn("rank", rank).filter(F.col("rank") <= top).select("tree", F.col("node").alias("path"), F.col("steps").alias("length"))
-    walk = best.select("tree", "path", F.col("path").alias("node"), F.col("length").alias("depth"))
+    walk = materialize(best.select("tree", "path", F.col("path").alias("node"), F.col("length").alias("depth")), "chat-walk")
     for k in reversed(range(len(levels))):
-        # From every message reached so far, also the one 2**k replies above it.
-        hop = walk.join(levels[k], F.col("node") == F.col("at"), "left")
-        both = F.array(F.struct(F.col("node"), F.col("depth")), F.struct(F.col("above").alias("node"), (F.col("depth") - (1 << k)).alias("depth")))
-        walk = hop.select("tree", "path", F.explode(both).alias("n")).select("tree", "path", "n.node", "n.depth").filter("node IS NOT NULL")
+        # From every message reached so far that is deep enough, also the one 2**k replies above it.
+        hop = walk.filter(F.col("depth") > (1 << k)).join(levels[k], F.col("node") == F.col("at"))
+        hop = materialize(hop.select("tree", "path", F.col("above").alias("node"), (F.col("depth") - (1 << k)).alias("depth")), "chat-walk")
+        walk = walk.union(hop)
     return walk
 
 

@@ -129,8 +129,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0) -> DataFrame:
     """The mixed rows: docs with each row as often as the mix takes it, possibly never."""
     _, by_source = plan(docs, id_col, text_col, source_col, weights, max_epochs, budget)
-    told = by_source.select(F.col("p").alias("_p"), F.col("whole").alias("_whole"), F.col("threshold").alias("_threshold"))
-    extra = (doc_hash(id_col) < F.coalesce("_threshold", F.lit(0).cast("long"))).cast("int")
-    times = F.least(F.col("_whole") + extra, F.lit(max_epochs))
-    picked = docs.join(small(told), F.col(source_col).eqNullSafe(F.col("_p"))).withColumn("_times", times).filter("_times > 0")
-    return picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    told = by_source.select("p", "whole", "threshold")
+    # The row travels as one value, so that its other columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"), F.col(source_col).alias("source"), doc_hash(id_col).alias("hash"))
+    picked = rows.join(small(told), F.col("source").eqNullSafe(F.col("p"))).select("row", copies(max_epochs).alias("copies")).filter("copies > 0")
+    return picked.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")

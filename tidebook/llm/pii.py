@@ -231,10 +231,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """docs with every span of text_col replaced by its kind in brackets; other columns are kept."""
     seen = annotate(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     model = train(materialize(seen.filter(F.size("_cands") > 0).drop("text"), "pii-candidates"))
-    spans = add_spans(annotate(docs, text_col), model)
+    # The row travels as one value, so that its other columns may have any names.
+    packed = docs.select(F.struct("*").alias("_row"), F.col(text_col).cast("string").alias("text"))
+    spans = add_spans(annotate(packed), model)
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     order = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    text = F.col(text_col)
+    text = F.col("text")
     zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
@@ -244,4 +246,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     cut = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
     clean = F.when(F.size("_spans") > 0, cut).otherwise(text)
-    return spans.withColumn(text_col, clean).select(*docs.columns)
+    return spans.select(F.col("_row").withField(text_col, clean).alias("_row")).select("_row.*")

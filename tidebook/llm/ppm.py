@@ -1,9 +1,9 @@
 """Language-model scoring by prediction by partial matching over bytes, beside a smoothed unigram base.
 
 Training counts every (context of ORDER bytes, next byte) of every training document; shorter contexts
-are sums of longer ones. An entry of the trie is a (context, byte) that makes up at least SHARE of all
-training bytes, so each order has at most 1/SHARE entries at any input size, and the model that travels
-with the tasks is bounded by (ORDER + 1) / SHARE rows. Counts below the share are not lost: their mass
+are sums of longer ones. An entry of the trie is a (context, byte) seen at least SHARE times the bytes of
+the training texts, so each order has about 1/SHARE entries at most at any input size, and the model that
+travels with the tasks is bounded by (ORDER + 1) / SHARE rows. Counts below the share are not lost: their mass
 is part of the context's escape weight, and the shorter contexts spread it.
 
 A byte is coded in the longest context known. Each seen byte weighs its count less one half; the
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import fold, materialize
@@ -37,6 +37,7 @@ from tidebook.llm.common import fold, materialize
 ORDER = 6
 SHARE = 2.0**-21
 WORD_SHARE = 2.0**-19
+SHARDS = 256  # parts that byte counts are dealt into
 SLICE = 1 << 20  # bytes of text that a step of a Python worker handles
 END = b"\n"
 
@@ -73,68 +74,136 @@ def _slices(column, size: int = SLICE):
         yield part
 
 
-def count(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[DataFrame, DataFrame]:
-    """(words, grams): (word binary, n) with a null word for ends, and (gram long, n), over all docs."""
+def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word binary, n) over all docs; the null word counts ends, that is documents."""
     src = docs.select(F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         words: Counter = Counter()
-        ends, held, size = 0, [], 0
+        for b in batches:
+            for t in b.column(0):
+                words.update(tokens(t.as_py()))
+                words[None] += 1
+                if len(words) > 300_000:
+                    yield from _words(words)
+                    words = Counter()
+        yield from _words(words)
+
+    return materialize(src.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "ppm-words")
+
+
+def _words(words: Counter, step: int = 50_000):
+    items = list(words.items())
+    for at in range(0, len(items), step):
+        part = items[at : at + step]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
+
+
+def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """(k, key, n, total) for the entries of orders 2 and up that reach least, and all parts of order 1.
+
+    Counts travel as packed arrays, dealt by the two bytes before the coded one: what shares them is all
+    that the contexts and entries of order 2 and up are summed from, so each shard finishes them alone.
+    """
+    src = docs.select(F.col(text_col).cast("string").alias("text"))
+
+    def tally(batches):
+        held, size = [], 0
         for b in batches:
             for part in _slices(b.column(0)):
-                keys = []
-                for text in part:
-                    w = tokens(text)
-                    words.update(w)
-                    keys.append(grams(np.frombuffer(coded(w, order), np.uint8), order))
-                ends += len(part)
-                held.append(_tally(np.concatenate(keys)))
+                held.append(np.unique(np.concatenate([grams(np.frombuffer(coded(tokens(t), order), np.uint8), order) for t in part]), return_counts=True))
                 size += len(held[-1][0])
-                if size > 4_000_000:
+                if size > 2_000_000:
                     held = [_merge(held)]
                     size = len(held[0][0])
-                    if size > 3_000_000:
-                        yield from _rows(held[0])
+                    if size > 1_500_000:
+                        yield from _shards(held[0])
                         held, size = [], 0
-                if len(words) > 500_000:
-                    yield from _words(words)
-                    words = Counter()
         if held:
-            yield from _rows(_merge(held))
-        yield from _words(words)
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int64()), pa.array([ends], pa.int64())], names=["word", "gram", "n"])
-
-    got = materialize(src.mapInArrow(run, "word binary, gram bigint, n bigint").groupBy("word", "gram").agg(F.sum("n").alias("n")), "ppm-counts")
-    return got.filter("gram IS NULL AND n > 0").select("word", "n"), got.filter("gram IS NOT NULL").select("gram", "n")
+            yield from _shards(_merge(held))
 
+    def finish(batches):
+        shard, held, size = None, [], 0
+        for b in batches:
+            for s, k, n in zip(b.column(0), b.column(1), b.column(2)):
+                if s.as_py() != shard:
+                    if held:
+                        yield from _finished(_merge(held), least, order)
+                    shard, held, size = s.as_py(), [], 0
+                held.append((_unpack(k.as_py(), np.int64), _unpack(n.as_py(), np.uint32).astype(np.int64)))
+                size += len(held[-1][0])
+                if size > 2_000_000:
+                    held = [_merge(held)]
+                    size = len(held[0][0]) // 2
+        if held:
+            yield from _finished(_merge(held), least, order)
 
-def _tally(keys: np.ndarray):
-    return np.unique(keys, return_counts=True)
+    packed = src.mapInArrow(tally, "shard int, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
+    return packed.mapInArrow(finish, "k int, key bigint, n bigint, total bigint")
 
 
 def _merge(parts):
+    """Sorted distinct keys and their summed counts."""
     if len(parts) == 1:
         return parts[0]
     key = np.concatenate([p[0] for p in parts])
     n = np.concatenate([p[1] for p in parts])
     by = np.argsort(key, kind="stable")
-    key, n = key[by], n[by]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(n, first) if len(first) else n
+    return _sums(key[by], n[by])
 
 
-def _rows(tally, step: int = 100_000):
-    key, n = tally
-    for at in range(0, len(key), step):
-        k = key[at : at + step]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(k), pa.binary()), pa.array(k, pa.int64()), pa.array(n[at : at + step].astype(np.int64))], names=["word", "gram", "n"])
+def _sums(key: np.ndarray, n: np.ndarray):
+    if not len(key):
+        return key, n
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n, first)
 
 
-def _words(words: Counter, step: int = 50_000):
-    items = list(words.items())
-    for at in range(0, len(items), step):
-        part = items[at : at + step]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.nulls(len(part), pa.int64()), pa.array([n for _, n in part], pa.int64())], names=["word", "gram", "n"])
+def _pack(x: np.ndarray) -> bytes:
+    """Bytes of x by place value: sorted keys then compress well on the way."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unpack(raw: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _shards(counted):
+    """One row a shard with the packed keys and counts that belong to it."""
+    key, n = counted
+    shard = ((key >> 8) & 0xFFFF) * 40_503 % 65_536 % SHARDS
+    by = np.argsort(shard, kind="stable")
+    cut = np.searchsorted(shard[by], np.arange(SHARDS + 1))
+    out = [(i, by[cut[i] : cut[i + 1]]) for i in range(SHARDS) if cut[i] < cut[i + 1]]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _ in out], pa.int32()), pa.array([_pack(key[x]) for _, x in out], pa.binary()), pa.array([_pack(n[x].astype(np.uint32)) for _, x in out], pa.binary())],
+        names=["shard", "keys", "counts"],
+    )
+
+
+def _finished(counted, least: float, order: int):
+    key, n = counted
+    for k in range(order, 0, -1):
+        e, c = _suffix(key, n, k)
+        if k == 1:
+            # The next bytes of one last byte are in several shards: their parts are summed later.
+            yield _batch(k, e, c, c)
+            return
+        edge = np.flatnonzero(np.concatenate([[True], (e[1:] >> 8) != (e[:-1] >> 8)]))
+        total = np.repeat(np.add.reduceat(c, edge), np.diff(np.concatenate([edge, [len(e)]])))
+        keep = c >= least
+        yield _batch(k, e[keep], c[keep], total[keep])
+
+
+def _suffix(key: np.ndarray, n: np.ndarray, k: int):
+    low = key & ((1 << (8 * (k + 1))) - 1)
+    by = np.argsort(low, kind="stable")
+    return _sums(low[by], n[by])
+
+
+def _batch(k: int, key, n, total):
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k), pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], names=["k", "key", "n", "total"])
 
 
 @dataclass
@@ -183,19 +252,23 @@ class Trie:
         return out
 
 
-def build(counts: DataFrame, order: int = ORDER, share: float = SHARE) -> Trie:
-    """The trie over (gram, n); only entries above the share leave the cluster's tables."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    least = max(1.0, share * total)
+def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
+    """The trie from count_grams; only entries that reach least are gathered, and the sums of order 1."""
+    summed = counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")).toPandas()
+    ones = summed[summed["k"] == 1]
+    one_key, one_n = ones["key"].to_numpy(np.int64), ones["n"].to_numpy(np.int64)
+    zero_n = np.bincount(one_key & 255, weights=one_n, minlength=256)
+    low = {0: (np.arange(256), zero_n, np.full(256, zero_n.sum())), 1: (one_key, one_n, np.bincount(one_key >> 8, weights=one_n, minlength=256)[one_key >> 8])}
     entries, nodes, raw = [], [], []
     for k in range(order + 1):
-        mask = (1 << (8 * (k + 1))) - 1
-        e = counts.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("key")).agg(F.sum("n").alias("n"))
-        w = Window.partitionBy(F.shiftright("key", 8))  # at most 256 rows
-        rows = e.withColumn("t", F.sum("n").over(w)).filter(F.col("n") >= least).toPandas()
-        key = rows["key"].to_numpy(np.int64)
+        if k < 2:
+            key, n, t = (np.asarray(x)[low[k][1] >= max(1.0, least)] for x in low[k])
+        else:
+            rows = summed[summed["k"] == k]
+            key, n, t = (rows[c].to_numpy(np.int64) for c in ("key", "n", "total"))
+        n, t = n.astype(np.float64), t.astype(np.float64)
         by = np.argsort(key)
-        key, n, t = key[by], rows["n"].to_numpy(np.float64)[by], rows["t"].to_numpy(np.float64)[by]
+        key, n, t = key[by], n[by], t[by]
         ctx, first, size = np.unique(key >> 8, return_index=True, return_counts=True)
         weight = n - 0.5
         kept = np.add.reduceat(weight, first) if len(first) else np.zeros(0)
@@ -222,8 +295,10 @@ def build(counts: DataFrame, order: int = ORDER, share: float = SHARE) -> Trie:
 def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """docs' ids with n_tokens, n_known, train_tokens, base_score and score; train is what is learned from."""
     spark = docs.sparkSession
-    words, counts = count(train, text_col, order)
-    trie = build(counts, order)
+    size = train.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    least = max(1.0, SHARE * size)
+    trie = build(count_grams(train, least, text_col, order), least, order)
+    words = count_words(train, text_col)
     n_all, v_all = words.agg(F.sum("n"), F.count("*")).first()
     n_all = n_all or 0
     whole = math.log10(n_all + 0.1 * (v_all + 1))

@@ -178,20 +178,21 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """docs with one row left of each group of near-duplicates: the one of smallest id, then fingerprint."""
     found = materialize(near_duplicates(docs, id_col, text_col, shingle, radius), "simhash-found")
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("b"))
-    keep = best.select(F.col("b.doc_id").alias("_keep"), F.col("b.fp").alias("_kept"), F.xxhash64("b.doc_id", "b.fp").alias("_k"))
-    schema = StructType([*docs.schema.fields, StructField("_fp", LongType())])
+    keep = best.select(F.col("b.doc_id").alias("keep"), F.col("b.fp").alias("kept"), F.xxhash64("b.doc_id", "b.fp").alias("key"))
+    # The row travels as one value, so that its other columns may have any names.
+    src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
     at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(at)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=[*b.schema.names, "_fp"])
+            fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(0).field(at)), dtype=np.uint64, count=b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=["row", "id", "fp"])
 
-    marked = docs.mapInArrow(run, schema).withColumn("_k", F.xxhash64(id_col, "_fp"))
-    left = marked.join(keep, "_k").filter(F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_fp") == F.col("_kept")))
+    marked = src.mapInArrow(run, StructType([*src.schema.fields, StructField("fp", LongType())])).withColumn("key", F.xxhash64("id", "fp"))
+    left = marked.join(keep, "key").filter(F.col("id").eqNullSafe(F.col("keep")) & (F.col("fp") == F.col("kept")))
     # Rows repeated with the same id and fingerprint meet after the join anyway; one of them stays.
-    first = F.row_number().over(Window.partitionBy("_k", "_fp", id_col).orderBy(text_col))
-    return left.withColumn("_n", first).filter("_n = 1").select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy("key", "fp", "id").orderBy(f"row.{text_col}"))
+    return left.withColumn("n", first).filter("n = 1").select("row.*")
 
 
 def hexed(fp: str = "fp"):

@@ -210,6 +210,7 @@ def load(path: str) -> bytes:
 
 def encode_spans(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     """docs with ids array<int>, starts and ends array<long>: byte spans in the original UTF-8."""
+    docs = docs.drop("ids", "starts", "ends")
     at = docs.columns.index(text_col)
     schema = StructType(list(docs.schema.fields))
     for name, kind in (("ids", ArrayType(IntegerType())), ("starts", ArrayType(LongType())), ("ends", ArrayType(LongType()))):
@@ -233,6 +234,7 @@ def encode_spans(docs: DataFrame, model: bytes, text_col: str = "text") -> DataF
 
 def encoded(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     """docs without text_col, with ids array<int>, n_tokens and decoded_sha256, in one pass over the texts."""
+    docs = docs.drop("ids", "n_tokens", "decoded_sha256")
     at = docs.columns.index(text_col)
     kept = [i for i in range(len(docs.columns)) if i != at]
     schema = StructType([docs.schema.fields[i] for i in kept])

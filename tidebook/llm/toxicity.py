@@ -11,7 +11,7 @@ id never enter a score.
 
 Defined results: a null text scores as the empty one; equal texts score equally; labels that disagree
 on a doc_id count as toxic; a document without words has no hits; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are kept.
 """
 
 from __future__ import annotations
@@ -238,7 +238,8 @@ def score_text(model: Model, automaton, text: str | None) -> float:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with a column score; the model (at most CANDIDATES entries) travels with the task."""
+    """docs with a column score, in place of one of that name; the model (at most CANDIDATES entries) travels with the task."""
+    docs = docs.drop("score")
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
     at = docs.columns.index(text_col)
 

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from tidebook.llm import ppm, queries
 
@@ -68,24 +69,12 @@ def test_scores_against_brute_force(docs_of):
         assert out[i]["n_tokens"] == len(w) and out[i]["n_known"] == sum(x in words for x in w) and out[i]["train_tokens"] == n
 
 
-def test_probabilities_sum_to_one():
+def test_probabilities_sum_to_one(spark):
     texts = ["the cat sat on the mat the cat", "a dog sat"]
     key, n = np.unique(np.concatenate([ppm.grams(np.frombuffer(ppm.coded(ppm.tokens(t), 6), np.uint8), 6) for t in texts]), return_counts=True)
 
-    class Frame:
-        def groupBy(self, *_):
-            return self
-
-        def agg(self, *_):
-            return self
-
-        def toPandas(self):
-            import pandas as pd
-
-            parts = [b.to_pandas() for b in ppm._finished((key, n), 1.0, 6)]
-            return pd.concat(parts)
-
-    trie = ppm.build(Frame(), 1.0)
+    parts = spark.createDataFrame(pd.concat([b.to_pandas() for b in ppm._finished((key, n), 1.0, 6)]))
+    trie = ppm.build(parts, 1.0)
     for context in (b"\n\n\n\n\n\n", b"he cat", b"xxxxxx", b"sat on"):
         data = [np.frombuffer(context + bytes([b]), np.uint8) for b in range(256)]
         assert math.isclose(sum(10 ** trie.score(d)[0] for d in data), 1.0, rel_tol=1e-4)

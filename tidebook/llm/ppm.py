@@ -53,12 +53,13 @@ def coded(words: list[bytes], order: int) -> bytes:
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
-    """For each byte from position order on, it and the order bytes before it as one number."""
+    """For each byte from position order on, it and the order (at most 7) bytes before it as one number."""
     n = len(data) - order
-    out = np.zeros(max(0, n), dtype=np.int64)
-    for k in range(order + 1):
-        out = (out << 8) | data[k : k + n]
-    return out
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    wide = np.concatenate([np.zeros(7 - order, dtype=np.uint8), data])
+    windows = np.ndarray((n,), dtype=">u8", buffer=wide, strides=(1,))  # eight bytes from every offset
+    return (windows & np.uint64((1 << (8 * (order + 1))) - 1)).astype(np.int64)
 
 
 def _slices(column, size: int = SLICE):
@@ -113,10 +114,10 @@ def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: in
             for part in _slices(b.column(0)):
                 held.append(np.unique(np.concatenate([grams(np.frombuffer(coded(tokens(t), order), np.uint8), order) for t in part]), return_counts=True))
                 size += len(held[-1][0])
-                if size > 2_000_000:
+                if size > 1_500_000:
                     held = [_merge(held)]
                     size = len(held[0][0])
-                    if size > 1_500_000:
+                    if size > 1_000_000:
                         yield from _shards(held[0])
                         held, size = [], 0
         if held:
@@ -132,7 +133,7 @@ def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: in
                     shard, held, size = s.as_py(), [], 0
                 held.append((_unpack(k.as_py(), np.int64), _unpack(n.as_py(), np.uint32).astype(np.int64)))
                 size += len(held[-1][0])
-                if size > 2_000_000:
+                if size > 1_500_000:
                     held = [_merge(held)]
                     size = len(held[0][0]) // 2
         if held:
@@ -254,9 +255,14 @@ class Trie:
 
 def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
     """The trie from count_grams; only entries that reach least are gathered, and the sums of order 1."""
-    summed = counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")).toPandas()
-    ones = summed[summed["k"] == 1]
-    one_key, one_n = ones["key"].to_numpy(np.int64), ones["n"].to_numpy(np.int64)
+    summed = materialize(counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")), "ppm-entries")
+
+    def gathered(k: int) -> list[np.ndarray]:
+        # One order at a time: at most about 1 / SHARE rows of three numbers.
+        rows = summed.filter(F.col("k") == k).select("key", "n", "total").toArrow()
+        return [rows.column(c).to_numpy() for c in range(3)]
+
+    one_key, one_n, _ = gathered(1)
     zero_n = np.bincount(one_key & 255, weights=one_n, minlength=256)
     low = {0: (np.arange(256), zero_n, np.full(256, zero_n.sum())), 1: (one_key, one_n, np.bincount(one_key >> 8, weights=one_n, minlength=256)[one_key >> 8])}
     entries, nodes, raw = [], [], []
@@ -264,8 +270,7 @@ def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
         if k < 2:
             key, n, t = (np.asarray(x)[low[k][1] >= max(1.0, least)] for x in low[k])
         else:
-            rows = summed[summed["k"] == k]
-            key, n, t = (rows[c].to_numpy(np.int64) for c in ("key", "n", "total"))
+            key, n, t = gathered(k)
         n, t = n.astype(np.float64), t.astype(np.float64)
         by = np.argsort(key)
         key, n, t = key[by], n[by], t[by]
@@ -321,27 +326,18 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
                 start = np.concatenate([[0], stop[:-1] + order])
                 total = np.concatenate([[0.0], np.cumsum(each)])
                 n, n_hot, base, rare, times = [], [], [], [], []
+                end = known.get(None)
                 for w in toks:
-                    mine = Counter(w)
-                    end = known.get(None)
-                    seen, s = (0, 0.0) if end is None else (1, end)
-                    r, m = [], []
-                    for word, c in mine.items():
-                        p = known.get(word)
-                        if p is None:
-                            r.append(word)
-                            m.append(c)
-                        else:
-                            seen += c
-                            s += c * p
+                    p = list(map(known.get, w))
+                    unseen = p.count(None)
+                    mine = Counter(x for x, q in zip(w, p) if q is None) if unseen else Counter()
                     if end is None:
-                        r.append(None)
-                        m.append(1)
+                        mine[None] = 1
                     n.append(len(w) + 1)
-                    n_hot.append(seen)
-                    base.append(s)
-                    rare.append(r)
-                    times.append(m)
+                    n_hot.append(len(w) - unseen + (end is not None))
+                    base.append(sum(q for q in p if q is not None) + (end or 0.0))
+                    rare.append(list(mine))
+                    times.append(list(mine.values()))
                 sub = b.slice(at, len(part))
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(

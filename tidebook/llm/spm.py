@@ -183,7 +183,7 @@ class Codec:
         norm, at = self.normalise(text)
         size = self.size[np.array(ids, dtype=np.int64)] if ids else np.zeros(0, np.int64)
         if self.unknown and not self.unknown.isdisjoint(ids):
-            known = [p.piece.encode() for p in self.sp.encode(text, out_type="immutable_proto").pieces]
+            known = [p.piece.encode() for p in self.sp.encode(text, return_type="proto").pieces]
             size = np.array([s if i not in self.unknown else len(k) for i, s, k in zip(ids, size, known)])
         edge = np.concatenate([[0], np.cumsum(size)])
         if edge[-1] != len(norm):

@@ -145,8 +145,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
             pairs = here.join(there, ["sig", "zone"]).filter("root <> other_root").select("key", "other")
         else:
             w = Window.partitionBy("sig", "zone").orderBy("root", "size", "key")
-            beside = [F.struct(f("key").over(w).alias("other"), f("root").over(w).alias("root")) for f in (F.lag, F.first)]
-            pairs = here.select("key", "root", F.explode(F.array(*beside)).alias("o")).filter("o.other IS NOT NULL AND o.root <> root").select("key", "o.other")
+            beside = {f"{name}_{c}": f(c).over(w) for name, f in (("before", F.lag), ("first", F.first)) for c in ("key", "root")}
+            both = F.array(*[F.struct(F.col(f"{name}_key").alias("other"), F.col(f"{name}_root").alias("root")) for name in ("before", "first")])
+            near = here.withColumns(beside).select("key", "root", F.explode(both).alias("o"))
+            pairs = near.filter("o.other IS NOT NULL AND o.root <> root").select("key", "o.other")
         pairs = pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
         good = materialize(pairs.join(x, "a").join(y, "b").filter(likeness(F.col("sa"), F.col("sb"), least) >= least).select("a", "b"), "spot-links")
         if not good.isEmpty():

@@ -37,7 +37,7 @@ from tidebook.llm.common import fold, materialize
 ORDER = 6
 SHARE = 2.0**-21
 WORD_SHARE = 2.0**-19
-SHARDS = 256  # parts that byte counts are dealt into
+SHARDS = 1024  # parts that byte counts are dealt into
 SLICE = 1 << 20  # bytes of text that a step of a Python worker handles
 END = b"\n"
 
@@ -101,10 +101,10 @@ def _words(words: Counter, step: int = 50_000):
 
 
 def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(k, key, n, total) for the entries of orders 2 and up that reach least, and all parts of order 1.
+    """(k, key, n, total) for the entries of orders 3 and up that reach least, and all parts of order 2.
 
-    Counts travel as packed arrays, dealt by the two bytes before the coded one: what shares them is all
-    that the contexts and entries of order 2 and up are summed from, so each shard finishes them alone.
+    Counts travel as packed arrays, dealt by the three bytes before the coded one: what shares them is all
+    that the contexts and entries of order 3 and up are summed from, so each shard finishes them alone.
     """
     src = docs.select(F.col(text_col).cast("string").alias("text"))
 
@@ -112,8 +112,9 @@ def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: in
         held, size = [], 0
         for b in batches:
             for part in _slices(b.column(0)):
-                held.append(np.unique(np.concatenate([grams(np.frombuffer(coded(tokens(t), order), np.uint8), order) for t in part]), return_counts=True))
-                size += len(held[-1][0])
+                for keys in _pieces([np.frombuffer(coded(tokens(t), order), np.uint8) for t in part], order):
+                    held.append(np.unique(keys, return_counts=True))
+                    size += len(held[-1][0])
                 if size > 1_500_000:
                     held = [_merge(held)]
                     size = len(held[0][0])
@@ -143,6 +144,17 @@ def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: in
     return packed.mapInArrow(finish, "k int, key bigint, n bigint, total bigint")
 
 
+def _pieces(raw: list[np.ndarray], order: int):
+    """Keys of all documents, in arrays of bounded size whatever the length of a document."""
+    short = [grams(r, order) for r in raw if len(r) <= 2 * SLICE]
+    if short:
+        yield np.concatenate(short)
+    for r in raw:
+        if len(r) > 2 * SLICE:
+            for at in range(order, len(r), SLICE):
+                yield grams(r[at - order : at + SLICE], order)
+
+
 def _merge(parts):
     """Sorted distinct keys and their summed counts."""
     if len(parts) == 1:
@@ -173,7 +185,7 @@ def _unpack(raw: bytes, kind) -> np.ndarray:
 def _shards(counted):
     """One row a shard with the packed keys and counts that belong to it."""
     key, n = counted
-    shard = ((key >> 8) & 0xFFFF) * 40_503 % 65_536 % SHARDS
+    shard = ((key >> 8) & 0xFFFFFF) * 2_654_435_761 % 4_294_967_296 >> 22
     by = np.argsort(shard, kind="stable")
     cut = np.searchsorted(shard[by], np.arange(SHARDS + 1))
     out = [(i, by[cut[i] : cut[i + 1]]) for i in range(SHARDS) if cut[i] < cut[i + 1]]
@@ -185,10 +197,10 @@ def _shards(counted):
 
 def _finished(counted, least: float, order: int):
     key, n = counted
-    for k in range(order, 0, -1):
+    for k in range(order, 1, -1):
         e, c = _suffix(key, n, k)
-        if k == 1:
-            # The next bytes of one last byte are in several shards: their parts are summed later.
+        if k == 2:
+            # What follows two bytes is in several shards: the parts (at most 2**24 sums) are added up later.
             yield _batch(k, e, c, c)
             return
         edge = np.flatnonzero(np.concatenate([[True], (e[1:] >> 8) != (e[:-1] >> 8)]))
@@ -218,8 +230,11 @@ class Trie:
 
     def score(self, data: np.ndarray) -> np.ndarray:
         """log10 probability of every byte of data from position order on."""
-        keys, at = np.unique(grams(data, self.order), return_inverse=True)
-        return self._of(keys)[at]
+        out = []
+        for lo in range(self.order, len(data), 2 * SLICE):
+            keys, at = np.unique(grams(data[lo - self.order : lo + 2 * SLICE], self.order), return_inverse=True)
+            out.append(self._of(keys)[at])
+        return np.concatenate(out) if out else np.zeros(0)
 
     def _of(self, full: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each key after the bytes before it."""
@@ -254,7 +269,7 @@ class Trie:
 
 
 def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
-    """The trie from count_grams; only entries that reach least are gathered, and the sums of order 1."""
+    """The trie from count_grams; only entries that reach least are gathered, and the sums of order 2."""
     summed = materialize(counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")), "ppm-entries")
 
     def gathered(k: int) -> list[np.ndarray]:
@@ -262,12 +277,17 @@ def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
         rows = summed.filter(F.col("k") == k).select("key", "n", "total").toArrow()
         return [rows.column(c).to_numpy() for c in range(3)]
 
-    one_key, one_n, _ = gathered(1)
-    zero_n = np.bincount(one_key & 255, weights=one_n, minlength=256)
-    low = {0: (np.arange(256), zero_n, np.full(256, zero_n.sum())), 1: (one_key, one_n, np.bincount(one_key >> 8, weights=one_n, minlength=256)[one_key >> 8])}
+    two_key, two_n, _ = gathered(2)
+    low = {}
+    for k in (2, 1, 0):
+        # Orders 2, 1 and 0 are sums over the parts of order 2.
+        key, at = np.unique(two_key & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
+        n = np.bincount(at, weights=two_n, minlength=len(key))
+        _, ctx = np.unique(key >> 8, return_inverse=True)
+        low[k] = (key, n, np.bincount(ctx, weights=n)[ctx] if len(key) else n)
     entries, nodes, raw = [], [], []
     for k in range(order + 1):
-        if k < 2:
+        if k < 3:
             key, n, t = (np.asarray(x)[low[k][1] >= max(1.0, least)] for x in low[k])
         else:
             key, n, t = gathered(k)

@@ -61,6 +61,21 @@ def global_index(df: DataFrame, keys: list[Column], name: str, into: str = "pos"
     )
 
 
+HOT = 256  # a key is hot if it holds at least this fraction (1/HOT) of all rows: fewer than HOT keys can
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Inner join of rows with a table of one row a key, n of rows each; hot keys are not dealt to one task.
+
+    The at most HOT hot keys are broadcast; every key that is left holds less than 1/HOT of the rows.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * HOT >= F.lit(total)
+    hot = F.broadcast(table.filter(is_hot))
+    cold = rows.join(hot.select(*keys), keys, "left_anti").join(table.filter(~is_hot), keys)
+    return rows.join(hot, keys).unionByName(cold).drop(n)
+
+
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of 0..n-1 over the links a-b."""
     lab = np.arange(n)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidebook.llm.common import components, local_roots, materialize
+from tidebook.llm.common import components, join_hot, local_roots, materialize
 
 SEED = 42
 CHUNK = 4096  # fingerprints of one tile that one task holds; larger tiles are split
@@ -165,13 +165,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root is the smallest fingerprint of the component: it tells components apart even where ids repeat.
     """
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    reps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    linked = components(links(reps, radius), "simhash-links")
+    reps = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "simhash-distinct")
+    linked = components(links(reps.select("fp"), radius), "simhash-links")
     member = linked.join(reps, F.col("node") == F.col("fp")).select("fp", "root", "low")
     root = member.groupBy("root").agg(F.min("low").alias("component_id"))
     found = member.join(root, "root").select("fp", "root", "component_id")
-    known = reps.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"))
-    return marked.join(known, "fp").select("doc_id", "fp", "component_id", "root")
+    known = reps.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "low").alias("component_id"), "n")
+    return join_hot(marked, materialize(known, "simhash-known"), ["fp"], "n").select("doc_id", "fp", "component_id", "root")
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:

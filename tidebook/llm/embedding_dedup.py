@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import components, local_roots, materialize
+from tidebook.llm.common import components, join_hot, local_roots, materialize
 
 TABLES, HASHES, PROBES = 8, 2, 2
 CHUNK = 2048
@@ -235,8 +235,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
         .join(linked.withColumnRenamed("node", "id"), "id", "left")
         .select(F.col("id").alias("rep"), (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id"))
     )
-    member = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("rep")).join(per_rep, "rep").select("k1", "k2", "n_links", "component_id", F.lit(True).alias("hit"))
-    out = rows.select("vec_id", "k1", "k2", "ok").join(member, ["k1", "k2"], "left")
-    links = F.when(F.col("ok") & F.col("hit"), F.col("n_links")).otherwise(0).cast("long")
-    comp = F.when(F.col("ok") & F.col("hit"), F.col("component_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", links.alias("n_links"), comp.alias("component_id"), (F.col("vec_id") == comp).alias("kept"))
+    member = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).join(per_rep, "rep").select("k1", "k2", "n_links", "component_id", "n")
+    found = join_hot(rows.filter("ok").select("vec_id", "k1", "k2"), materialize(member, "emb-members"), ["k1", "k2"], "n").select("vec_id", "n_links", "component_id")
+    alone = rows.filter("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = found.withColumn("n_links", F.col("n_links").cast("long")).unionByName(alone)
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

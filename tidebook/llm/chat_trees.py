@@ -97,7 +97,10 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     links = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = links.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
     up = F.when(F.col("known"), F.col("parent")).alias("up")
-    base = materialize(links.join(known, "parent", "left").select("tree", "node", up, F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-level")
+    one, total = F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")
+    # Messages without a parent all have the same null key: they stay out of the join.
+    roots = links.filter("parent IS NULL").select("tree", "node", F.col("parent").alias("up"), one, total)
+    base = materialize(roots.union(links.filter("parent IS NOT NULL").join(known, "parent", "left").select("tree", "node", up, one, total)), "chat-level")
     # Pointers that have reached a root rest; only the others are joined in the next round.
     ended = ["up IS NULL", "up IS NOT NULL"]
     rooted, moving, levels = base.filter(ended[0]), base.filter(ended[1]), []

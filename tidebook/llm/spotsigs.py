@@ -33,6 +33,7 @@ ANCHORS = (
     "al como con del el es esta la las lo los más no para por que se su un una y"
 )
 _MARK = "\x01"
+ZONES = 6  # id ranges for each shuffle partition
 
 
 def _anchor_pattern() -> str:
@@ -86,11 +87,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    n = max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = ZONES * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = src.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
-    bounds = F.array(*[F.lit(int(c)) for c in sorted(set(cuts or []))]) if cuts else F.expr("cast(array() as array<bigint>)")
     # Range 0 holds the largest ids; a null id is in the last one.
-    zone = F.size(F.filter(bounds, lambda b: F.col("doc_id").isNull() | (b >= F.col("doc_id")))).cast("int")
+    bounds = sorted({int(c) for c in cuts or []})
+    zone = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(len(bounds) - _below(bounds, F.col("doc_id"))).cast("int")
     dealt = src.withColumn("zone", zone)
     top = dealt.groupBy("zone").agg(F.max("doc_id").alias("top"))
     top = materialize(top, "spot-ranges")
@@ -106,6 +107,15 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return paired.join(heads, "zone").select("doc_id", "text", "sigs", F.coalesce("after", "head").alias("next_text"), F.coalesce("after_sigs", "head_sigs").alias("next_sigs"))
 
 
+def _below(bounds: list[int], x: Column) -> Column:
+    """How many of the sorted bounds are less than x, by bisection."""
+    if not bounds:
+        return F.lit(0)
+    table = F.expr(f"array({','.join(f'{b}L' for b in bounds)})")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < x, at + step).otherwise(at))
+
+
 def edited(text: Column, other: Column) -> Column:
     """text with its last half of code points replaced by as many, or all, from the start of other."""
     half = F.floor(F.length(text) / 2).cast("int")

@@ -144,3 +144,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+ORACLE_SQL["op1_embeddings"] = r"""
+WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(deg.n, 0) AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.a = v.vec_id LEFT JOIN deg ON deg.a = v.vec_id
+"""
+
+ORACLE_SQL["op3_html"] = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(body, '</?(?:p|h1)>'), lambda x: regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g')) AS parts FROM a),
+c AS (
+  SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#(39|x27);?', chr(39), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM b)
+SELECT page_id, url, coalesce(array_to_string(parts, chr(10)), '') AS text, length(coalesce(array_to_string(parts, chr(10)), '')) AS n_chars FROM c
+"""

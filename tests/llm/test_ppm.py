@@ -91,3 +91,23 @@ def test_query_beats_the_base_on_held_out(spark, sf_dir):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0) for r in rows)
     held = [r for r in rows if r["held_out"]]
     assert held and all(r["score"] < 0 for r in rows)
+
+
+def test_rare_entries_count_at_any_corpus_size(docs_of):
+    # Over 4 MB of training text: a share of the corpus as threshold would drop what was seen once.
+    texts = ["the cat sat on the mat " * 50_000] * 4 + ["a quick brown fox jumps over one lazy dog", "a dog sat on the quick mat"]
+    df, order = docs_of(list(enumerate(texts[-2:]))), 6
+    train = docs_of(list(enumerate(texts[:5])))
+    out = {r["doc_id"]: r["score"] for r in ppm.score(df, train).collect()}
+    totals, kept = slow_trie([texts[0], texts[4]], order, 1)
+    once = slow_trie([texts[4]], order, 1)
+    for k in range(order + 1):
+        for c in list(totals[k]):
+            totals[k][c] = 4 * (totals[k][c] - once[0][k][c]) + once[0][k][c]
+        for c, here in kept[k].items():
+            for b in here:
+                extra = once[1][k].get(c, {}).get(b, 0)
+                here[b] = 4 * (here[b] - extra) + extra
+    for i, t in enumerate(texts[-2:]):
+        want = slow_score(ppm.coded(ppm.tokens(t), order), order, totals, kept)
+        assert math.isclose(out[i], want, rel_tol=1e-4, abs_tol=1e-4), i

@@ -1,13 +1,15 @@
 """Language-model scoring by prediction by partial matching over bytes, beside a smoothed unigram base.
 
 Training counts every (context of ORDER bytes, next byte) of every training document; shorter contexts
-are sums of longer ones. An entry of the trie is a (context, byte) seen at least SHARE times the bytes of
-the training texts, so each order has about 1/SHARE entries at most at any input size, and the model that
-travels with the tasks is bounded by (ORDER + 1) / SHARE rows. Counts below the share are not lost: their mass
-is part of the context's escape weight, and the shorter contexts spread it.
+are sums of longer ones. An entry is a (context, byte) seen at least once, so the model grows with the
+corpus and is never gathered: it is a table dealt by the three bytes before the coded one, and what
+shares them holds all that orders 3 and up need. Documents are taken in chunks; a chunk asks each shard
+for the distinct grams it has there, the shard streams them past its own entries, and the answers are
+summed in the chunk. Only orders 0 to 2, which are at most 2**24 entries whatever the corpus, travel
+with the tasks.
 
 A byte is coded in the longest context known. Each seen byte weighs its count less one half; the
-halves and the mass below the share form the escape weight. On escape the bytes already ruled out are
+halves form the escape weight. On escape the bytes already ruled out are
 excluded from the next shorter context, and after the empty context a uniform code over the bytes left
 remains, so probabilities of all bytes sum to one. The code length of a document is that of its words
 (A-Z lower-cased) joined by one space, then an end mark.
@@ -29,16 +31,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.llm.common import fold, materialize
 
 ORDER = 6
-SHARE = 2.0**-21
+SHARE = 0.0  # of the training bytes that an entry must reach: every (context, byte) seen is one
+LEAST = 1.0  # times that an entry was seen at least, whatever the corpus
+LOW = 2  # the longest contexts that travel with the tasks
 WORD_SHARE = 2.0**-19
 SHARDS = 1024  # parts that byte counts are dealt into
 SLICE = 1 << 20  # bytes of text that a step of a Python worker handles
+CHUNK = 1 << 22  # bytes of text whose grams are asked for together
+ASKED = 1 << 18  # grams that a shard answers in one step
 END = b"\n"
 
 
@@ -75,6 +82,9 @@ def _slices(column, size: int = SLICE):
         yield part
 
 
+GRAMS = "shard int, kind int, chunk bigint, keys binary, counts binary"
+
+
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word binary, n) over all docs; the null word counts ends, that is documents."""
     src = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -100,48 +110,139 @@ def _words(words: Counter, step: int = 50_000):
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
 
-def count_grams(docs: DataFrame, least: float, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(k, key, n, total) for the entries of orders 3 and up that reach least, and all parts of order 2.
+def _tallied(texts, order: int):
+    """(keys, counts) of the grams of columns of texts, merged to bounded size; keys may come several times."""
+    held, size = [], 0
+    for column in texts:
+        for part in _slices(column):
+            for keys in _pieces([np.frombuffer(coded(tokens(t), order), np.uint8) for t in part], order):
+                held.append(np.unique(keys, return_counts=True))
+                size += len(held[-1][0])
+            if size > 1_500_000:
+                held = [_merge(held)]
+                size = len(held[0][0])
+                if size > 1_000_000:
+                    yield held[0]
+                    held, size = [], 0
+    if held:
+        yield _merge(held)
+
+
+def count_low(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(k, key, n, total): parts of the sums of order 2, of which orders 1 and 0 are sums."""
+    src = docs.select(F.col(text_col).cast("string").alias("text"))
 
-    Counts travel as packed arrays, dealt by the three bytes before the coded one: what shares them is all
-    that the contexts and entries of order 3 and up are summed from, so each shard finishes them alone.
-    """
+    def run(batches):
+        for counted in _tallied((b.column(0) for b in batches), LOW):
+            yield from _finished(counted, LEAST, LOW)
+
+    return src.mapInArrow(run, "k int, key bigint, n bigint, total bigint")
+
+
+def count_grams(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """(shard, kind 0, chunk null, keys, counts): the grams of docs with their counts, as packed arrays."""
     src = docs.select(F.col(text_col).cast("string").alias("text"))
 
-    def tally(batches):
-        held, size = [], 0
+    def run(batches):
+        for key, n in _tallied((b.column(0) for b in batches), order):
+            yield _shards(key, n, None)
+
+    return src.mapInArrow(run, GRAMS)
+
+
+def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """(chunk, ids, same, sizes, data): documents in groups of about CHUNK bytes, their coded bytes joined."""
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("same"))
+
+    def run(batches):
+        chunk = TaskContext.get().partitionId() << 32
         for b in batches:
-            for part in _slices(b.column(0)):
-                for keys in _pieces([np.frombuffer(coded(tokens(t), order), np.uint8) for t in part], order):
-                    held.append(np.unique(keys, return_counts=True))
-                    size += len(held[-1][0])
-                if size > 1_500_000:
-                    held = [_merge(held)]
-                    size = len(held[0][0])
-                    if size > 1_000_000:
-                        yield from _shards(held[0])
-                        held, size = [], 0
-        if held:
-            yield from _shards(_merge(held))
-
-    def finish(batches):
-        shard, held, size = None, [], 0
+            at = 0
+            for part in _slices(b.column(1), CHUNK):
+                raw = [coded(tokens(t), order) for t in part]
+                sub = b.slice(at, len(part))
+                at += len(part)
+                rows = [sub.column(0), sub.column(2), pa.array(map(len, raw), pa.int32())]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), x) for x in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([b"".join(raw)], pa.binary())], names=["chunk", "ids", "same", "sizes", "data"])
+                chunk += 1
+
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return materialize(src.mapInArrow(run, f"chunk bigint, ids array<{kind}>, same array<binary>, sizes array<int>, data binary"), "ppm-chunks")
+
+
+def ask(parts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(shard, kind 1, chunk, keys, counts null): the distinct grams of each chunk."""
+
+    def run(batches):
         for b in batches:
-            for s, k, n in zip(b.column(0), b.column(1), b.column(2)):
-                if s.as_py() != shard:
-                    if held:
-                        yield from _finished(_merge(held), least, order)
-                    shard, held, size = s.as_py(), [], 0
-                held.append((_unpack(k.as_py(), np.int64), _unpack(n.as_py(), np.uint32).astype(np.int64)))
-                size += len(held[-1][0])
-                if size > 1_500_000:
-                    held = [_merge(held)]
-                    size = len(held[0][0]) // 2
-        if held:
-            yield from _finished(_merge(held), least, order)
+            for chunk, data in zip(b.column(0), b.column(1)):
+                yield _shards(_distinct(np.frombuffer(data.as_py(), np.uint8), order), None, chunk.as_py())
+
+    return parts.select("chunk", "data").mapInArrow(run, GRAMS)
 
-    packed = src.mapInArrow(tally, "shard int, keys binary, counts binary").repartition("shard").sortWithinPartitions("shard")
-    return packed.mapInArrow(finish, "k int, key bigint, n bigint, total bigint")
+
+def answer(grams: DataFrame, low, order: int = ORDER) -> DataFrame:
+    """(chunk, shard, logp) for every question: log10 probabilities in the order of its keys.
+
+    A worker holds the entries of one shard at a time; the questions stream past them.
+    """
+
+    def run(batches):
+        shard, held, size, trie, asked, n_asked = None, [], 0, None, [], 0
+
+        def told():
+            p = trie.of(np.concatenate([k for _, k in asked])).astype(np.float32)
+            cut = np.cumsum([0, *(len(k) for _, k in asked)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in asked], pa.int64()), pa.array([shard] * len(asked), pa.int32()), pa.array([p[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary())],
+                names=["chunk", "shard", "logp"],
+            )
+
+        for b in batches:
+            for s, kind, chunk, k, n in (tuple(x.as_py() for x in row) for row in zip(*b.columns)):
+                if s != shard:
+                    if asked:
+                        yield told()
+                    shard, held, size, trie, asked, n_asked = s, [], 0, None, [], 0
+                keys = _unpack(k, np.int64)
+                if not kind:
+                    held.append((keys, _unpack(n, np.uint32).astype(np.int64)))
+                    size += len(keys)
+                    if size > 1_500_000:
+                        held = [_merge(held)]
+                        size = len(held[0][0]) // 2
+                    continue
+                if not len(low.value.entries[0][0]):
+                    continue
+                if trie is None:
+                    trie = low.value.grown(reversed(list(_layers(_merge(held), LEAST, order, LOW)))) if held else low.value
+                    held = []
+                asked.append((chunk, keys))
+                n_asked += len(keys)
+                if n_asked > ASKED:
+                    yield told()
+                    asked, n_asked = [], 0
+        if asked:
+            yield told()
+
+    dealt = grams.repartition("shard").sortWithinPartitions("shard", "kind")
+    return dealt.mapInArrow(run, "chunk bigint, shard int, logp binary")
+
+
+def _distinct(data: np.ndarray, order: int) -> np.ndarray:
+    """The sorted distinct grams of data."""
+    return np.unique(np.concatenate([np.unique(grams(data[lo - order : lo + SLICE], order)) for lo in range(order, len(data), SLICE)]))
+
+
+def _indexed(data: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The sorted distinct grams of data, and for each slice of data the places of its grams among them."""
+    keys, places = _distinct(data, order), []
+    for lo in range(order, len(data), SLICE):
+        k, at = np.unique(grams(data[lo - order : lo + SLICE], order), return_inverse=True)
+        places.append(np.searchsorted(keys, k).astype(np.int32)[at])
+    return keys, places
 
 
 def _pieces(raw: list[np.ndarray], order: int):
@@ -182,31 +283,44 @@ def _unpack(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def _shards(counted):
-    """One row a shard with the packed keys and counts that belong to it."""
-    key, n = counted
+def _dealt(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of sorted keys by shard, and where each shard starts among them."""
     shard = ((key >> 8) & 0xFFFFFF) * 2_654_435_761 % 4_294_967_296 >> 22
     by = np.argsort(shard, kind="stable")
-    cut = np.searchsorted(shard[by], np.arange(SHARDS + 1))
-    out = [(i, by[cut[i] : cut[i + 1]]) for i in range(SHARDS) if cut[i] < cut[i + 1]]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([i for i, _ in out], pa.int32()), pa.array([_pack(key[x]) for _, x in out], pa.binary()), pa.array([_pack(n[x].astype(np.uint32)) for _, x in out], pa.binary())],
-        names=["shard", "keys", "counts"],
-    )
+    return by, np.searchsorted(shard[by], np.arange(SHARDS + 1))
 
 
-def _finished(counted, least: float, order: int):
+def _shards(key: np.ndarray, n: np.ndarray | None, chunk: int | None):
+    """One row a shard with the packed keys that belong to it, and their counts or the chunk that asks."""
+    by, cut = _dealt(key)
+    out = [(i, by[cut[i] : cut[i + 1]]) for i in range(SHARDS) if cut[i] < cut[i + 1]]
+    counts = [None if n is None else _pack(n[x].astype(np.uint32)) for _, x in out]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([i for i, _ in out], pa.int32()), pa.array([int(n is None)] * len(out), pa.int32()), pa.array([chunk] * len(out), pa.int64()),
+            pa.array([_pack(key[x]) for _, x in out], pa.binary()), pa.array(counts, pa.binary()),
+        ],
+        names=["shard", "kind", "chunk", "keys", "counts"],
+    )
+
+
+def _layers(counted, least: float, order: int, low: int):
+    """(k, keys, counts, totals of their contexts) for the orders from order down to above low."""
     key, n = counted
-    for k in range(order, 1, -1):
+    for k in range(order, low, -1):
         e, c = _suffix(key, n, k)
-        if k == 2:
-            # What follows two bytes is in several shards: the parts (at most 2**24 sums) are added up later.
-            yield _batch(k, e, c, c)
-            return
         edge = np.flatnonzero(np.concatenate([[True], (e[1:] >> 8) != (e[:-1] >> 8)]))
         total = np.repeat(np.add.reduceat(c, edge), np.diff(np.concatenate([edge, [len(e)]])))
         keep = c >= least
-        yield _batch(k, e[keep], c[keep], total[keep])
+        yield k, e[keep], c[keep], total[keep]
+
+
+def _finished(counted, least: float, order: int):
+    for layer in _layers(counted, least, order, LOW):
+        yield _batch(*layer)
+    # What follows two bytes is in several parts (at most 2**24 sums), which are added up later.
+    e, c = _suffix(*counted, LOW)
+    yield _batch(LOW, e, c, c)
 
 
 def _suffix(key: np.ndarray, n: np.ndarray, k: int):
@@ -221,22 +335,56 @@ def _batch(k: int, key, n, total):
 
 @dataclass
 class Trie:
-    """The bounded model: for each order the entries and their contexts, as sorted arrays."""
+    """Entries and their contexts for each order, as sorted arrays; a shard's has its own part of orders 3 and up."""
 
     order: int
     entries: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # key, log weight, log probability when first
     nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # key, log total, log escape, log total below without own bytes
     uniform: float
+    raw: tuple[np.ndarray, np.ndarray]  # weights of the entries and totals of the contexts of the last order
+
+    def grown(self, layers) -> Trie:
+        """This trie with the further orders (k, keys, counts, totals of their contexts)."""
+        out = Trie(self.order, [*self.entries], [*self.nodes], self.uniform, self.raw)
+        for k, key, n, t in layers:
+            out._add(key, n, t)
+            out.order = k
+        return out
+
+    def _add(self, key: np.ndarray, n: np.ndarray, t: np.ndarray) -> None:
+        k = len(self.entries)
+        n, t = n.astype(np.float64), t.astype(np.float64)
+        by = np.argsort(key)
+        key, n, t = key[by], n[by], t[by]
+        ctx, first, size = np.unique(key >> 8, return_index=True, return_counts=True)
+        weight = n - 0.5
+        kept = np.add.reduceat(weight, first) if len(first) else np.zeros(0)
+        top = t[first]
+        escape = np.maximum(top - kept, 1e-9)
+        logw = np.log10(weight)
+        if k:
+            # Bytes of a context are seen after its suffix too, so the rest there is a plain difference.
+            low_weight, low_top = self.raw
+            at = np.searchsorted(self.entries[k - 1][0], key & ((1 << (8 * k)) - 1))
+            own = np.add.reduceat(low_weight[at], first) if len(first) else np.zeros(0)
+            rest = low_top[np.searchsorted(self.nodes[k - 1][0], ctx & ((1 << (8 * (k - 1))) - 1))] - own
+            below = np.log10(np.maximum(rest, 1e-9))
+        else:
+            below = np.zeros(len(ctx))
+        slim = lambda *parts: tuple(x.astype(np.float32) for x in parts)
+        self.entries.append((key, *slim(logw, logw - np.repeat(np.log10(top), size))))
+        self.nodes.append((ctx, *slim(np.log10(top), np.log10(escape), below)))
+        self.raw = (weight, top)
 
     def score(self, data: np.ndarray) -> np.ndarray:
         """log10 probability of every byte of data from position order on."""
         out = []
         for lo in range(self.order, len(data), 2 * SLICE):
             keys, at = np.unique(grams(data[lo - self.order : lo + 2 * SLICE], self.order), return_inverse=True)
-            out.append(self._of(keys)[at])
+            out.append(self.of(keys)[at])
         return np.concatenate(out) if out else np.zeros(0)
 
-    def _of(self, full: np.ndarray) -> np.ndarray:
+    def of(self, full: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each key after the bytes before it."""
         out = np.zeros(len(full), dtype=np.float64)
         live = np.arange(len(full))
@@ -269,85 +417,64 @@ class Trie:
 
 
 def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
-    """The trie from count_grams; only entries that reach least are gathered, and the sums of order 2."""
+    """The trie of order from parts as _finished makes them, gathered one order at a time; score() gathers LOW orders only."""
     summed = materialize(counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")), "ppm-entries")
 
     def gathered(k: int) -> list[np.ndarray]:
-        # One order at a time: at most about 1 / SHARE rows of three numbers.
         rows = summed.filter(F.col("k") == k).select("key", "n", "total").toArrow()
         return [rows.column(c).to_numpy() for c in range(3)]
 
-    two_key, two_n, _ = gathered(2)
-    low = {}
-    for k in (2, 1, 0):
+    two_key, two_n, _ = gathered(LOW)
+    none = np.zeros(0)
+    out = Trie(order, [], [], 0.0, (none, none))
+    for k in range(order + 1):
+        if k > LOW:
+            out._add(*gathered(k))
+            continue
         # Orders 2, 1 and 0 are sums over the parts of order 2.
         key, at = np.unique(two_key & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
         n = np.bincount(at, weights=two_n, minlength=len(key))
         _, ctx = np.unique(key >> 8, return_inverse=True)
-        low[k] = (key, n, np.bincount(ctx, weights=n)[ctx] if len(key) else n)
-    entries, nodes, raw = [], [], []
-    for k in range(order + 1):
-        if k < 3:
-            key, n, t = (np.asarray(x)[low[k][1] >= max(1.0, least)] for x in low[k])
-        else:
-            key, n, t = gathered(k)
-        n, t = n.astype(np.float64), t.astype(np.float64)
-        by = np.argsort(key)
-        key, n, t = key[by], n[by], t[by]
-        ctx, first, size = np.unique(key >> 8, return_index=True, return_counts=True)
-        weight = n - 0.5
-        kept = np.add.reduceat(weight, first) if len(first) else np.zeros(0)
-        top = t[first]
-        escape = np.maximum(top - kept, 1e-9)
-        logw = np.log10(weight)
-        entries.append((key, logw, logw - np.repeat(np.log10(top), size)))
-        raw.append((weight, top))
-        if k:
-            # Bytes of a context are seen after its suffix too, so the rest there is a plain difference.
-            low_weight, low_top = raw[k - 1]
-            at = np.searchsorted(entries[k - 1][0], key & ((1 << (8 * k)) - 1))
-            own = np.add.reduceat(low_weight[at], first) if len(first) else np.zeros(0)
-            rest = low_top[np.searchsorted(nodes[k - 1][0], ctx & ((1 << (8 * (k - 1))) - 1))] - own
-            below = np.log10(np.maximum(rest, 1e-9))
-        else:
-            below = np.zeros(len(ctx))
-        nodes.append((ctx, np.log10(top), np.log10(escape), below))
-    left = 256 - len(entries[0][0])
-    slim = lambda parts: [(p[0], *(x.astype(np.float32) for x in p[1:])) for p in parts]
-    return Trie(order, slim(entries), slim(nodes), -math.log10(left) if left else 0.0)
+        t = np.bincount(ctx, weights=n)[ctx] if len(key) else n
+        enough = n >= max(LEAST, least)
+        out._add(key[enough], n[enough], t[enough])
+    left = 256 - len(out.entries[0][0])
+    out.uniform = -math.log10(left) if left else 0.0
+    return out
 
 
 def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """docs' ids with n_tokens, n_known, train_tokens, base_score and score; train is what is learned from."""
     spark = docs.sparkSession
-    size = train.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    least = max(1.0, SHARE * size)
-    trie = build(count_grams(train, least, text_col, order), least, order)
+    trie = build(count_low(train, text_col), LEAST, LOW)
+    low = spark.sparkContext.broadcast(trie)
+    untold = math.nan if len(trie.entries[0][0]) else trie.uniform  # without training all bytes are alike
     words = count_words(train, text_col)
     n_all, v_all = words.agg(F.sum("n"), F.count("*")).first()
     n_all = n_all or 0
     whole = math.log10(n_all + 0.1 * (v_all + 1))
     often = words.filter(F.col("n") >= WORD_SHARE * n_all)
     hot = {r["word"]: r["n"] for r in often.select("word", "n").collect()}
-    shared = spark.sparkContext.broadcast((trie, {None if k is None else bytes(k): math.log10(n + 0.1) - whole for k, n in hot.items()}))
+    shared = spark.sparkContext.broadcast({None if k is None else bytes(k): math.log10(n + 0.1) - whole for k, n in hot.items()})
     none = math.log10(0.1) - whole
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("same"))
+    parts = chunks(docs, id_col, text_col, order)
+    told = answer(count_grams(train, text_col, order).unionByName(ask(parts, order)), low, order)
+    told = told.groupBy("chunk").agg(F.collect_list(F.struct("shard", "logp")).alias("told"))
 
     def run(batches):
-        model, known = shared.value
+        known = shared.value
+        end = known.get(None)
         for b in batches:
-            at = 0
-            for part in _slices(b.column(1)):
-                toks = [tokens(t) for t in part]
-                raw = [np.frombuffer(coded(w, order), np.uint8) for w in toks]
-                # One array for the slice; what spans two documents is cut out again below.
-                each = model.score(np.concatenate(raw))
-                stop = np.cumsum([len(r) for r in raw]) - order
+            for ids, same, sizes, data, told in zip(*(b.column(c) for c in range(5))):
+                data = data.as_py()
+                each = _priced(np.frombuffer(data, np.uint8), told.as_py(), untold, order)
+                # What spans two documents of the chunk is cut out again here.
+                stop = np.cumsum(sizes.as_py()) - order
                 start = np.concatenate([[0], stop[:-1] + order])
                 total = np.concatenate([[0.0], np.cumsum(each)])
                 n, n_hot, base, rare, times = [], [], [], [], []
-                end = known.get(None)
-                for w in toks:
+                for lo, hi in zip(start, stop):
+                    w = data[lo + order : hi + order - 1].split()
                     p = list(map(known.get, w))
                     unseen = p.count(None)
                     mine = Counter(x for x, q in zip(w, p) if q is None) if unseen else Counter()
@@ -358,16 +485,14 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
                     base.append(sum(q for q in p if q is not None) + (end or 0.0))
                     rare.append(list(mine))
                     times.append(list(mine.values()))
-                sub = b.slice(at, len(part))
-                at += len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [sub.column(0), sub.column(2), pa.array(n, pa.int64()), pa.array(n_hot, pa.int64()), pa.array(base, pa.float64()), pa.array(total[stop] - total[start]), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
+                    [ids.values, same.values, pa.array(n, pa.int64()), pa.array(n_hot, pa.int64()), pa.array(base, pa.float64()), pa.array(total[stop] - total[start]), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
                     names=["doc_id", "same", "n_tokens", "n_hot", "base_hot", "score", "rare", "times"],
                 )
 
-    kind = src.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema[id_col].dataType.simpleString()
     scored = materialize(
-        src.mapInArrow(run, f"doc_id {kind}, same binary, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored"
+        parts.join(told, "chunk", "left").select("ids", "same", "sizes", "data", F.coalesce("told", F.array()).alias("told")).mapInArrow(run, f"doc_id {kind}, same binary, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored"
     )
     # Rare words are looked up once for each distinct text.
     texts = scored.groupBy("same").agg(F.any_value("rare").alias("rare"), F.any_value("times").alias("times"))
@@ -393,6 +518,17 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
     )
 
 
+def _priced(data: np.ndarray, told, untold: float, order: int) -> np.ndarray:
+    """log10 probability of every byte of data from position order on, from the shards' answers; untold where they name none."""
+    keys, places = _indexed(data, order)
+    by, cut = _dealt(keys)
+    logp = np.full(len(keys), untold)
+    for row in told:
+        i = row["shard"]
+        logp[by[cut[i] : cut[i + 1]]] = np.frombuffer(row["logp"], np.float32)
+    return np.concatenate([logp[at] for at in places])
+
+
 def held_out(id_col: str = "doc_id"):
     """True for the tenth of ids that is not learned from."""
     return fold(id_col, 10) == 0

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import mixing, pii, simhash, spm, toxicity
+from tidebook.llm import mixing, pii, spm, spotsigs, toxicity
 from tidebook.llm.common import materialize
 from tidebook.session import table
 
@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.distinct_documents(docs)
+    """One document of each group linked by a likeness of 0.8 or more of their five-word runs; op4's digest bits miss most of these."""
+    return spotsigs.distinct_documents(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,15 @@ def test_stages_take_effect_one_after_the_other(spark, sf_dir):
 def test_run_is_the_same_again(spark, sf_dir):
     a, b = (sorted((r["doc_id"], r["n_tokens"]) for r in corpus_pipeline.run(spark, sf_dir).collect()) for _ in range(2))
     assert a == b and a
+
+
+def test_edited_copies_are_dropped(spark, docs_of):
+    words = [f"w{i}" for i in range(120)]
+    edit = [*words[:50], "changed", *words[51:]]  # likeness 111 / 121 of five-word runs
+    half = [*words[:60], *(f"v{i}" for i in range(60))]  # below 0.8
+    rows = [(3, " ".join(words)), (5, " ".join(edit)), (7, " ".join(half)), (2, " ".join(words).upper()), (9, None), (8, ""), (None, "one"), (None, "one"), (6, "a b"), (6, "a b")]
+    df = docs_of(rows)
+    out = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 2, 6, 7, 8]
+    assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0

@@ -61,3 +61,15 @@ def test_added_spans_and_redaction(docs_of):
     assert out.columns == df.columns
     text = {r["doc_id"]: r["text"] for r in out.collect()}
     assert text[3] == "write to [EMAIL] or call [PHONE] today" and text[103] == dict(plain)[103] and text[501] is None
+
+
+def test_rare_kinds_are_calibrated_beside_a_common_one(docs_of):
+    # 3,000 phone-like candidates and few addresses: a plain sample of 40 holds next to no verified address.
+    many = [(i, " ".join(f"call +1 (200) 555-{1000 + 30 * i + k}" for k in range(30))) for i in range(100)]
+    few = [(1000 + i, f"write to user{i}@mail{i}.example.com") for i in range(3)]
+    few += [(2000 + i, f"number 20012345{i:02d} of the list") for i in range(60)]
+    seen = pii.annotate(docs_of(many + few).select("doc_id", "text"))
+    model = pii.train(seen, sample=40)
+    every = seen.select(F.explode("_cands").alias("x")).filter("x.y").groupBy("x.k").agg(F.avg(F.expr(model.probability("x"))).alias("p"))
+    want = {r["k"]: pii.HALF * r["p"] for r in every.collect()}
+    assert {0, 3} <= set(want) and all(abs(model.thresholds[k] - p) < 1e-9 for k, p in want.items())

@@ -3,9 +3,9 @@
 Exact patterns give the base spans (email, ip, card, phone), each kind leftmost and non-overlapping.
 Wider generators propose further, overlapping candidates for each kind: addresses with spelled-out
 signs, numbers in loose card and phone formats, colon-separated addresses. Boosted trees, trained on a
-bounded sample of candidates (SAMPLE rows, by hash) with the verified base spans as positive labels,
+bounded sample of candidates (about SAMPLE, by kind, label and hash) with the verified base spans as positive labels,
 score each candidate from its format and context. Base spans are a part of the true ones only, so the
-threshold of a kind is calibrated as HALF of the mean score that its own verified candidates reach.
+threshold of a kind is calibrated as HALF of the mean score that all its own verified candidates reach.
 Candidates above it that touch no base span, and no better candidate, are added; base spans stay.
 
 The trees are turned into SQL expressions, so that finding and redacting is a map over the rows: no
@@ -170,24 +170,31 @@ def _tree(node) -> str:
 
 
 def train(annotated: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit the trees on at most about sample candidates of a written, annotated table."""
-    n = annotated.agg(F.sum(F.size("_cands"))).first()[0] or 0
+    """Fit the trees on about sample candidates of a written, annotated table; calibrate on all of them.
+
+    The sample is drawn by kind and label, so that no rare one vanishes, and weighted back to the whole.
+    """
+    every = annotated.select(F.col(id_col).alias("id"), F.explode("_cands").alias("x"))
+    sizes = {(r["k"], r["y"]): r["n"] for r in every.groupBy(F.col("x.k").alias("k"), F.col("x.y").alias("y")).agg(F.count("*").alias("n")).collect()}
+    n = sum(sizes.values())
     if not n:
         return Model()
-    rows = annotated.select(F.col(id_col).alias("id"), F.explode("_cands").alias("x"))
-    rate = min(1.0, sample / n)
-    rows = rows.filter(F.pmod(F.xxhash64("id", "x.s", "x.k"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
-    rows = materialize(rows.select("x", F.col("x.y").cast("double").alias("label")).coalesce(2), "pii-sample")
+    rate = F.lit(1.0)
+    if n > sample:
+        for (k, y), m in sizes.items():
+            rate = F.when((F.col("x.k") == k) & (F.col("x.y") == y), min(1.0, sample / len(sizes) / m)).otherwise(rate)
+    rows = every.withColumn("rate", rate).filter(F.pmod(F.xxhash64("id", "x.s", "x.k"), F.lit(1 << 40)) < F.col("rate") * (1 << 40))
+    rows = materialize(rows.select("x", F.col("x.y").cast("double").alias("label"), (1.0 / F.col("rate")).alias("weight")).coalesce(2), "pii-sample")
     seen = {r["label"] for r in rows.select("label").distinct().collect()}
     if seen != {0.0, 1.0}:
         return Model() if 1.0 not in seen else Model("1.0D", (0.0,) * len(KINDS))
-    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, featuresCol="features", labelCol="label")
-    fitted = gbt.fit(rows.select("label", array_to_vector("x.f").alias("features")))
+    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, featuresCol="features", labelCol="label", weightCol="weight")
+    fitted = gbt.fit(rows.select("label", "weight", array_to_vector("x.f").alias("features")))
     weights = fitted.treeWeights
     java = fitted._java_obj.trees()
     margin = " + ".join(f"{w!r}D * ({_tree(java[i].rootNode())})" for i, w in enumerate(weights))
     model = Model(margin)
-    means = rows.filter("label = 1").groupBy(F.col("x.k").alias("k")).agg(F.avg(F.expr(model.probability("x"))).alias("p")).collect()
+    means = every.filter("x.y").groupBy(F.col("x.k").alias("k")).agg(F.avg(F.expr(model.probability("x"))).alias("p")).collect()
     found = {r["k"]: r["p"] for r in means}
     # A kind without verified spans has nothing to calibrate by and adds none.
     model.thresholds = tuple(float(HALF * found[k]) if k in found else 2.0 for k in range(len(KINDS)))

@@ -1,12 +1,13 @@
 """Language-model scoring by prediction by partial matching over bytes, beside a smoothed unigram base.
 
 Training counts every (context of ORDER bytes, next byte) of every training document; shorter contexts
-are sums of longer ones. An entry is a (context, byte) seen at least once, so the model grows with the
-corpus and is never gathered: it is a table dealt by the three bytes before the coded one, and what
-shares them holds all that orders 3 and up need. Documents are taken in chunks; a chunk asks each shard
-for the distinct grams it has there, the shard streams them past its own entries, and the answers are
-summed in the chunk. Only orders 0 to 2, which are at most 2**24 entries whatever the corpus, travel
-with the tasks.
+are sums of longer ones. Every entry seen is kept, so the model grows with the corpus and is never
+gathered: it is a table dealt by the three bytes before the coded one, and what shares them holds all
+that orders 3 and up need. One pass over the documents takes them in chunks of about CHUNK bytes; it
+counts the grams of what is learned from and notes the distinct grams of each chunk. The counts of a
+shard are merged, the chunks' grams stream past them (several tasks share a shard where there are many
+chunks), and the answers are summed in the chunk. Only orders 0 to 2, which are at most 2**24 entries
+whatever the corpus, travel with the tasks.
 
 A byte is coded in the longest context known. Each seen byte weighs its count less one half; the
 halves form the escape weight. On escape the bytes already ruled out are
@@ -19,8 +20,9 @@ tokens travel with the tasks (their summed length is bounded by the mean word le
 all others are looked up by a join.
 
 Defined results: a null text scores as the empty one, which is the end mark alone; equal texts score
-equally; with no training documents every byte costs log10 of 1/256 and base counts are zero; an empty
-table gives an empty result; other columns are ignored.
+equally; a very long text is a chunk of its own, worked through in slices; with no training documents
+every byte costs log10 of 1/256 and base counts are zero; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,19 +34,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import fold, materialize
+from tidebook.llm.common import fold, join_hot, materialize
 
 ORDER = 6
-SHARE = 0.0  # of the training bytes that an entry must reach: every (context, byte) seen is one
-LEAST = 1.0  # times that an entry was seen at least, whatever the corpus
 LOW = 2  # the longest contexts that travel with the tasks
 WORD_SHARE = 2.0**-19
 SHARDS = 1024  # parts that byte counts are dealt into
-SLICE = 1 << 20  # bytes of text that a step of a Python worker handles
-CHUNK = 1 << 22  # bytes of text whose grams are asked for together
+CHUNK = 1 << 22  # bytes of text whose grams are asked for together, and that a step of a Python worker handles
+TOGETHER = 512  # chunks whose questions one task answers for a shard
+MERGED = 1_000_000  # entries that a worker holds before it passes them on
 ASKED = 1 << 18  # grams that a shard answers in one step
 END = b"\n"
 
@@ -69,7 +70,24 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
     return (windows & np.uint64((1 << (8 * (order + 1))) - 1)).astype(np.int64)
 
 
-def _slices(column, size: int = SLICE):
+def indexed(data: np.ndarray, order: int, chunk: int = CHUNK) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The sorted distinct grams of data, and for each slice of data the places of its grams among them."""
+    keys, places = [], []
+    for lo in range(order, max(len(data), order + 1), chunk):
+        d = pa.array(grams(data[lo - order : lo + chunk], order)).dictionary_encode()
+        k = d.dictionary.to_numpy()
+        by = np.argsort(k)
+        rank = np.empty(len(k), dtype=np.int32)
+        rank[by] = np.arange(len(k), dtype=np.int32)
+        keys.append(k[by])
+        places.append(rank[d.indices.to_numpy()])
+    if len(keys) == 1:
+        return keys[0], places
+    every = np.unique(np.concatenate(keys))
+    return every, [np.searchsorted(every, k).astype(np.int32)[at] for k, at in zip(keys, places)]
+
+
+def _slices(column, size: int = CHUNK):
     """Lists of consecutive texts of about size characters."""
     part, held = [], 0
     for t in column:
@@ -82,255 +100,222 @@ def _slices(column, size: int = SLICE):
         yield part
 
 
-GRAMS = "shard int, kind int, chunk bigint, keys binary, counts binary"
+# Rows of the one pass: parts of the counts of grams (0), grams a chunk asks for (1), parts of the sums of
+# order LOW (2), parts of the counts of words (3; the null word counts ends), and the chunks themselves (4).
+COUNTS, ASKS, SUMS, WORDS, CHUNKS = range(5)
+_NAMES = ("kind", "shard", "chunk", "keys", "counts", "ids", "same", "sizes", "data", "word", "n")
 
 
-def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(word binary, n) over all docs; the null word counts ends, that is documents."""
-    src = docs.select(F.col(text_col).cast("string").alias("text"))
+def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = MERGED) -> DataFrame:
+    """The rows above from docs (doc_id, text, learn, ask), written."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"kind int, shard int, chunk bigint, keys binary, counts binary, ids array<{kind}>, same array<binary>, sizes array<int>, data binary, word binary, n bigint"
+    src = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("same"), "text", "learn", "ask")
 
     def run(batches):
-        words: Counter = Counter()
+        chunk = TaskContext.get().partitionId() << 32
+        types = None
+        held, size, words = [], 0, Counter()
+
+        def rows(kind: int, size: int, **given):
+            cols = [pa.array(np.full(size, kind), pa.int32()) if name == "kind" else given[name] if name in given else pa.nulls(size, types[name]) for name in _NAMES]
+            return pa.RecordBatch.from_arrays(cols, names=list(_NAMES))
+
+        def counted():
+            key, n = _merge(held)
+            m, given = _shards(key, n)
+            yield rows(COUNTS, m, **given)
+            low, sums = _suffix(key, n, LOW)
+            yield rows(SUMS, 1, keys=pa.array([_pack(low)], pa.binary()), counts=pa.array([_pack(sums)], pa.binary()))
+
+        def told():
+            items = list(words.items())
+            for at in range(0, len(items), 50_000):
+                part = items[at : at + 50_000]
+                yield rows(WORDS, len(part), word=pa.array([w for w, _ in part], pa.binary()), n=pa.array([n for _, n in part], pa.int64()))
+
         for b in batches:
-            for t in b.column(0):
-                words.update(tokens(t.as_py()))
-                words[None] += 1
+            if types is None:
+                types = {"shard": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary(), "ids": pa.list_(b.column(0).type), "same": pa.list_(pa.binary()), "sizes": pa.list_(pa.int32()), "data": pa.binary(), "word": pa.binary(), "n": pa.int64()}
+            learn, ask = (b.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (3, 4))
+            at = 0
+            for part in _slices(b.column(2), step):
+                here = slice(at, at + len(part))
+                at += len(part)
+                raw = []
+                for t, learns in zip(part, learn[here]):
+                    w = tokens(t)
+                    raw.append(coded(w, order))
+                    if learns:
+                        words.update(w)
+                        words[None] += 1
+                data = b"".join(raw)
+                sizes = np.array([len(r) for r in raw])
+                keys, places = indexed(np.frombuffer(data, np.uint8), order, step)
+                if learn[here].any():
+                    # What spans two documents is no gram of either.
+                    use = np.repeat(learn[here], sizes)
+                    for k in range(1, order + 1):
+                        use[np.cumsum(sizes) - k] = False
+                    total, lo = np.zeros(len(keys), dtype=np.int64), 0
+                    for p in places:
+                        total += np.bincount(p[use[lo : lo + len(p)]], minlength=len(keys))
+                        lo += len(p)
+                    seen = total > 0
+                    held.append((keys[seen], total[seen]))
+                    size += len(held[-1][0])
+                    if size > most and len(held) > 1:
+                        held = [_merge(held)]
+                        size = len(held[0][0])
+                    if size > most:
+                        yield from counted()
+                        held, size = [], 0
+                if ask[here].any():
+                    n, given = _shards(keys)
+                    yield rows(ASKS, n, chunk=pa.array(np.full(n, chunk), pa.int64()), **given)
+                    sub = b.slice(here.start, len(part))
+                    lists = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), x) for x in (sub.column(0), sub.column(1).cast(pa.binary()), pa.array(sizes, pa.int32()))]
+                    yield rows(CHUNKS, 1, chunk=pa.array([chunk], pa.int64()), ids=lists[0], same=lists[1], sizes=lists[2], data=pa.array([data], pa.binary()))
+                    chunk += 1
                 if len(words) > 300_000:
-                    yield from _words(words)
+                    yield from told()
                     words = Counter()
-        yield from _words(words)
-
-    return materialize(src.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "ppm-words")
+        if held:
+            yield from counted()
+        if words:
+            yield from told()
 
+    return materialize(src.mapInArrow(run, schema), "ppm-pass")
 
-def _words(words: Counter, step: int = 50_000):
-    items = list(words.items())
-    for at in range(0, len(items), step):
-        part = items[at : at + step]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["word", "n"])
 
-
-def _tallied(texts, order: int):
-    """(keys, counts) of the grams of columns of texts, merged to bounded size; keys may come several times."""
-    held, size = [], 0
-    for column in texts:
-        for part in _slices(column):
-            for keys in _pieces([np.frombuffer(coded(tokens(t), order), np.uint8) for t in part], order):
-                held.append(np.unique(keys, return_counts=True))
-                size += len(held[-1][0])
-            if size > 1_500_000:
-                held = [_merge(held)]
-                size = len(held[0][0])
-                if size > 1_000_000:
-                    yield held[0]
-                    held, size = [], 0
-    if held:
-        yield _merge(held)
+def _merge(parts):
+    """Sorted distinct keys and their summed counts."""
+    if len(parts) == 1:
+        return parts[0]
+    key = np.concatenate([p[0] for p in parts])
+    n = np.concatenate([p[1] for p in parts])
+    by = np.argsort(key, kind="stable")
+    return _sums(key[by], n[by])
 
 
-def count_low(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(k, key, n, total): parts of the sums of order 2, of which orders 1 and 0 are sums."""
-    src = docs.select(F.col(text_col).cast("string").alias("text"))
+def _sums(key: np.ndarray, n: np.ndarray):
+    if not len(key):
+        return key, n
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n, first)
 
-    def run(batches):
-        for counted in _tallied((b.column(0) for b in batches), LOW):
-            yield from _finished(counted, LEAST, LOW)
 
-    return src.mapInArrow(run, "k int, key bigint, n bigint, total bigint")
+def _suffix(key: np.ndarray, n: np.ndarray, k: int):
+    low = key & ((1 << (8 * (k + 1))) - 1)
+    by = np.argsort(low, kind="stable")
+    return _sums(low[by], n[by])
 
 
-def count_grams(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(shard, kind 0, chunk null, keys, counts): the grams of docs with their counts, as packed arrays."""
-    src = docs.select(F.col(text_col).cast("string").alias("text"))
+def _pack(x: np.ndarray) -> bytes:
+    """Bytes of x by place value: sorted keys then compress well on the way."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
 
-    def run(batches):
-        for key, n in _tallied((b.column(0) for b in batches), order):
-            yield _shards(key, n, None)
 
-    return src.mapInArrow(run, GRAMS)
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """(chunk, ids, same, sizes, data): documents in groups of about CHUNK bytes, their coded bytes joined."""
-    text = F.col(text_col).cast("string")
-    src = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("same"))
+def _dealt(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of sorted keys by shard, and where each shard starts among them."""
+    shard = (((key >> 8) & 0xFFFFFF) * 2_654_435_761 % 4_294_967_296 >> 22).astype(np.uint16)
+    by = np.argsort(shard, kind="stable")
+    return by, np.searchsorted(shard[by], np.arange(SHARDS + 1))
 
-    def run(batches):
-        chunk = TaskContext.get().partitionId() << 32
-        for b in batches:
-            at = 0
-            for part in _slices(b.column(1), CHUNK):
-                raw = [coded(tokens(t), order) for t in part]
-                sub = b.slice(at, len(part))
-                at += len(part)
-                rows = [sub.column(0), sub.column(2), pa.array(map(len, raw), pa.int32())]
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), x) for x in rows]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists, pa.array([b"".join(raw)], pa.binary())], names=["chunk", "ids", "same", "sizes", "data"])
-                chunk += 1
 
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return materialize(src.mapInArrow(run, f"chunk bigint, ids array<{kind}>, same array<binary>, sizes array<int>, data binary"), "ppm-chunks")
+def _shards(key: np.ndarray, n: np.ndarray | None = None):
+    """How many shards the keys belong to, and columns with the packed keys (and counts) of each."""
+    by, cut = _dealt(key)
+    key = key[by]
+    out = [i for i in range(SHARDS) if cut[i] < cut[i + 1]]
+    cols = {"shard": pa.array(out, pa.int32()), "keys": pa.array([_pack(key[cut[i] : cut[i + 1]]) for i in out], pa.binary())}
+    if n is not None:
+        n = n[by]
+        cols["counts"] = pa.array([_pack(n[cut[i] : cut[i + 1]]) for i in out], pa.binary())
+        return len(out), cols
+    return len(out), cols
 
 
-def ask(parts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(shard, kind 1, chunk, keys, counts null): the distinct grams of each chunk."""
+def merged(rows: DataFrame) -> DataFrame:
+    """(shard, keys, counts), written: the counts of every gram, one row a shard."""
 
     def run(batches):
+        shard, held, size = None, [], 0
         for b in batches:
-            for chunk, data in zip(b.column(0), b.column(1)):
-                yield _shards(_distinct(np.frombuffer(data.as_py(), np.uint8), order), None, chunk.as_py())
+            for s, k, n in zip(*(c.to_pylist() for c in b.columns)):
+                if s != shard:
+                    if held:
+                        yield _row(shard, *_merge(held))
+                    shard, held, size = s, [], 0
+                held.append((_unpack(k), _unpack(n)))
+                size += len(held[-1][0])
+                if size > MERGED:
+                    held = [_merge(held)]
+                    size = len(held[0][0]) // 2
+        if held:
+            yield _row(shard, *_merge(held))
+
+    src = rows.filter(F.col("kind") == COUNTS).select("shard", "keys", "counts")
+    return materialize(src.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, keys binary, counts binary"), "ppm-entries")
+
 
-    return parts.select("chunk", "data").mapInArrow(run, GRAMS)
+def _row(shard: int, key: np.ndarray, n: np.ndarray):
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([_pack(key)], pa.binary()), pa.array([_pack(n)], pa.binary())], names=["shard", "keys", "counts"])
 
 
-def answer(grams: DataFrame, low, order: int = ORDER) -> DataFrame:
+def answer(rows: DataFrame, low, order: int = ORDER) -> DataFrame:
     """(chunk, shard, logp) for every question: log10 probabilities in the order of its keys.
 
     A worker holds the entries of one shard at a time; the questions stream past them.
     """
 
     def run(batches):
-        shard, held, size, trie, asked, n_asked = None, [], 0, None, [], 0
+        shard, trie, asked, n_asked = None, None, [], 0
 
         def told():
             p = trie.of(np.concatenate([k for _, k in asked])).astype(np.float32)
             cut = np.cumsum([0, *(len(k) for _, k in asked)])
             return pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in asked], pa.int64()), pa.array([shard] * len(asked), pa.int32()), pa.array([p[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary())],
+                [pa.array([c for c, _ in asked], pa.int64()), pa.array([shard[0]] * len(asked), pa.int32()), pa.array([p[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:])], pa.binary())],
                 names=["chunk", "shard", "logp"],
             )
 
         for b in batches:
-            for s, kind, chunk, k, n in (tuple(x.as_py() for x in row) for row in zip(*b.columns)):
-                if s != shard:
+            for s, part, chunk, k, n in zip(*(c.to_pylist() for c in b.columns)):
+                if (s, part) != shard:
                     if asked:
                         yield told()
-                    shard, held, size, trie, asked, n_asked = s, [], 0, None, [], 0
-                keys = _unpack(k, np.int64)
-                if not kind:
-                    held.append((keys, _unpack(n, np.uint32).astype(np.int64)))
-                    size += len(keys)
-                    if size > 1_500_000:
-                        held = [_merge(held)]
-                        size = len(held[0][0]) // 2
+                    shard, trie, asked, n_asked = (s, part), low.value, [], 0
+                if n is not None:
+                    trie = low.value.grown(reversed(list(_layers(_unpack(k), _unpack(n), order, LOW))))
                     continue
-                if not len(low.value.entries[0][0]):
-                    continue
-                if trie is None:
-                    trie = low.value.grown(reversed(list(_layers(_merge(held), LEAST, order, LOW)))) if held else low.value
-                    held = []
-                asked.append((chunk, keys))
-                n_asked += len(keys)
+                asked.append((chunk, _unpack(k)))
+                n_asked += len(asked[-1][1])
                 if n_asked > ASKED:
                     yield told()
                     asked, n_asked = [], 0
         if asked:
             yield told()
 
-    dealt = grams.repartition("shard").sortWithinPartitions("shard", "kind")
+    chunks = rows.filter(F.col("kind") == CHUNKS).select("chunk").count()
+    parts = max(1, -(-chunks // TOGETHER))
+    share = F.pmod(F.xxhash64("chunk"), F.lit(parts)).cast("int")
+    asks = rows.filter(F.col("kind") == ASKS).select("shard", share.alias("part"), "chunk", "keys", F.lit(None).cast("binary").alias("counts"))
+    known = merged(rows).select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(None).cast("bigint").alias("chunk"), "keys", "counts")
+    dealt = known.unionByName(asks).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("chunk").asc_nulls_first())
     return dealt.mapInArrow(run, "chunk bigint, shard int, logp binary")
 
 
-def _distinct(data: np.ndarray, order: int) -> np.ndarray:
-    """The sorted distinct grams of data."""
-    return np.unique(np.concatenate([np.unique(grams(data[lo - order : lo + SLICE], order)) for lo in range(order, len(data), SLICE)]))
-
-
-def _indexed(data: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The sorted distinct grams of data, and for each slice of data the places of its grams among them."""
-    keys, places = _distinct(data, order), []
-    for lo in range(order, len(data), SLICE):
-        k, at = np.unique(grams(data[lo - order : lo + SLICE], order), return_inverse=True)
-        places.append(np.searchsorted(keys, k).astype(np.int32)[at])
-    return keys, places
-
-
-def _pieces(raw: list[np.ndarray], order: int):
-    """Keys of all documents, in arrays of bounded size whatever the length of a document."""
-    short = [grams(r, order) for r in raw if len(r) <= 2 * SLICE]
-    if short:
-        yield np.concatenate(short)
-    for r in raw:
-        if len(r) > 2 * SLICE:
-            for at in range(order, len(r), SLICE):
-                yield grams(r[at - order : at + SLICE], order)
-
-
-def _merge(parts):
-    """Sorted distinct keys and their summed counts."""
-    if len(parts) == 1:
-        return parts[0]
-    key = np.concatenate([p[0] for p in parts])
-    n = np.concatenate([p[1] for p in parts])
-    by = np.argsort(key, kind="stable")
-    return _sums(key[by], n[by])
-
-
-def _sums(key: np.ndarray, n: np.ndarray):
-    if not len(key):
-        return key, n
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[first], np.add.reduceat(n, first)
-
-
-def _pack(x: np.ndarray) -> bytes:
-    """Bytes of x by place value: sorted keys then compress well on the way."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
-
-
-def _unpack(raw: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
-def _dealt(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of sorted keys by shard, and where each shard starts among them."""
-    shard = ((key >> 8) & 0xFFFFFF) * 2_654_435_761 % 4_294_967_296 >> 22
-    by = np.argsort(shard, kind="stable")
-    return by, np.searchsorted(shard[by], np.arange(SHARDS + 1))
-
-
-def _shards(key: np.ndarray, n: np.ndarray | None, chunk: int | None):
-    """One row a shard with the packed keys that belong to it, and their counts or the chunk that asks."""
-    by, cut = _dealt(key)
-    out = [(i, by[cut[i] : cut[i + 1]]) for i in range(SHARDS) if cut[i] < cut[i + 1]]
-    counts = [None if n is None else _pack(n[x].astype(np.uint32)) for _, x in out]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([i for i, _ in out], pa.int32()), pa.array([int(n is None)] * len(out), pa.int32()), pa.array([chunk] * len(out), pa.int64()),
-            pa.array([_pack(key[x]) for _, x in out], pa.binary()), pa.array(counts, pa.binary()),
-        ],
-        names=["shard", "kind", "chunk", "keys", "counts"],
-    )
-
-
-def _layers(counted, least: float, order: int, low: int):
+def _layers(key: np.ndarray, n: np.ndarray, order: int, low: int):
     """(k, keys, counts, totals of their contexts) for the orders from order down to above low."""
-    key, n = counted
     for k in range(order, low, -1):
         e, c = _suffix(key, n, k)
         edge = np.flatnonzero(np.concatenate([[True], (e[1:] >> 8) != (e[:-1] >> 8)]))
-        total = np.repeat(np.add.reduceat(c, edge), np.diff(np.concatenate([edge, [len(e)]])))
-        keep = c >= least
-        yield k, e[keep], c[keep], total[keep]
-
-
-def _finished(counted, least: float, order: int):
-    for layer in _layers(counted, least, order, LOW):
-        yield _batch(*layer)
-    # What follows two bytes is in several parts (at most 2**24 sums), which are added up later.
-    e, c = _suffix(*counted, LOW)
-    yield _batch(LOW, e, c, c)
-
-
-def _suffix(key: np.ndarray, n: np.ndarray, k: int):
-    low = key & ((1 << (8 * (k + 1))) - 1)
-    by = np.argsort(low, kind="stable")
-    return _sums(low[by], n[by])
-
-
-def _batch(k: int, key, n, total):
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k), pa.int32()), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(total, pa.int64())], names=["k", "key", "n", "total"])
+        yield k, e, c, np.repeat(np.add.reduceat(c, edge), np.diff(np.concatenate([edge, [len(e)]])))
 
 
 @dataclass
@@ -379,8 +364,8 @@ class Trie:
     def score(self, data: np.ndarray) -> np.ndarray:
         """log10 probability of every byte of data from position order on."""
         out = []
-        for lo in range(self.order, len(data), 2 * SLICE):
-            keys, at = np.unique(grams(data[lo - self.order : lo + 2 * SLICE], self.order), return_inverse=True)
+        for lo in range(self.order, len(data), CHUNK):
+            keys, at = np.unique(grams(data[lo - self.order : lo + CHUNK], self.order), return_inverse=True)
             out.append(self.of(keys)[at])
         return np.concatenate(out) if out else np.zeros(0)
 
@@ -416,40 +401,49 @@ class Trie:
         return out
 
 
-def build(counts: DataFrame, least: float, order: int = ORDER) -> Trie:
-    """The trie of order from parts as _finished makes them, gathered one order at a time; score() gathers LOW orders only."""
-    summed = materialize(counts.groupBy("k", "key").agg(F.sum("n").alias("n"), F.max("total").alias("total")), "ppm-entries")
-
-    def gathered(k: int) -> list[np.ndarray]:
-        rows = summed.filter(F.col("k") == k).select("key", "n", "total").toArrow()
-        return [rows.column(c).to_numpy() for c in range(3)]
-
-    two_key, two_n, _ = gathered(LOW)
+def build(key: np.ndarray, n: np.ndarray, order: int = ORDER) -> Trie:
+    """The trie of order from the distinct grams of order and their counts; score() gathers LOW orders only."""
     none = np.zeros(0)
     out = Trie(order, [], [], 0.0, (none, none))
-    for k in range(order + 1):
-        if k > LOW:
-            out._add(*gathered(k))
-            continue
-        # Orders 2, 1 and 0 are sums over the parts of order 2.
-        key, at = np.unique(two_key & ((1 << (8 * (k + 1))) - 1), return_inverse=True)
-        n = np.bincount(at, weights=two_n, minlength=len(key))
-        _, ctx = np.unique(key >> 8, return_inverse=True)
-        t = np.bincount(ctx, weights=n)[ctx] if len(key) else n
-        enough = n >= max(LEAST, least)
-        out._add(key[enough], n[enough], t[enough])
+    for k, *layer in reversed(list(_layers(key, n, order, -1))) if len(key) else [(k, np.zeros(0, np.int64), none, none) for k in range(order + 1)]:
+        out._add(*layer)
     left = 256 - len(out.entries[0][0])
     out.uniform = -math.log10(left) if left else 0.0
     return out
 
 
-def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
-    """docs' ids with n_tokens, n_known, train_tokens, base_score and score; train is what is learned from."""
+def _sums_of(rows: DataFrame) -> Trie:
+    """The trie of orders up to LOW, from at most 2**24 sums."""
+
+    def run(batches):
+        for b in batches:
+            for k, n in zip(*(c.to_pylist() for c in b.columns)):
+                yield pa.RecordBatch.from_arrays([pa.array(_unpack(k)), pa.array(_unpack(n))], names=["key", "n"])
+
+    parts = rows.filter(F.col("kind") == SUMS).select("keys", "counts").mapInArrow(run, "key bigint, n bigint")
+    sums = parts.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    key, n = (sums.column(c).to_numpy() for c in range(2))
+    by = np.argsort(key)
+    return build(key[by], n[by], LOW)
+
+
+def score(docs: DataFrame, train: DataFrame | Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, step: int = CHUNK, most: int = MERGED) -> DataFrame:
+    """docs' ids with n_tokens, n_known, train_tokens, base_score and score.
+
+    What is learned from is another table, or the rows of docs for which a column holds.
+    """
     spark = docs.sparkSession
-    trie = build(count_low(train, text_col), LEAST, LOW)
+    text = F.col(text_col).cast("string").alias("text")
+    if isinstance(train, Column):
+        src = docs.select(F.col(id_col).alias("doc_id"), text, F.coalesce(train, F.lit(False)).alias("learn"), F.lit(True).alias("ask"))
+    else:
+        src = docs.select(F.col(id_col).alias("doc_id"), text, F.lit(False).alias("learn"), F.lit(True).alias("ask"))
+        src = src.unionByName(train.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), text, F.lit(True).alias("learn"), F.lit(False).alias("ask")))
+    rows = gather(src, order, step, most)
+    trie = _sums_of(rows)
     low = spark.sparkContext.broadcast(trie)
     untold = math.nan if len(trie.entries[0][0]) else trie.uniform  # without training all bytes are alike
-    words = count_words(train, text_col)
+    words = materialize(rows.filter(F.col("kind") == WORDS).groupBy("word").agg(F.sum("n").alias("n")), "ppm-words")
     n_all, v_all = words.agg(F.sum("n"), F.count("*")).first()
     n_all = n_all or 0
     whole = math.log10(n_all + 0.1 * (v_all + 1))
@@ -457,21 +451,20 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
     hot = {r["word"]: r["n"] for r in often.select("word", "n").collect()}
     shared = spark.sparkContext.broadcast({None if k is None else bytes(k): math.log10(n + 0.1) - whole for k, n in hot.items()})
     none = math.log10(0.1) - whole
-    parts = chunks(docs, id_col, text_col, order)
-    told = answer(count_grams(train, text_col, order).unionByName(ask(parts, order)), low, order)
-    told = told.groupBy("chunk").agg(F.collect_list(F.struct("shard", "logp")).alias("told"))
+    told = answer(rows, low, order).groupBy("chunk").agg(F.collect_list(F.struct("shard", "logp")).alias("told"))
+    parts = rows.filter(F.col("kind") == CHUNKS).select("chunk", "ids", "same", "sizes", "data")
 
     def run(batches):
         known = shared.value
         end = known.get(None)
         for b in batches:
-            for ids, same, sizes, data, told in zip(*(b.column(c) for c in range(5))):
+            for at in range(b.num_rows):
+                ids, same, sizes, data, told = (b.column(c)[at] for c in range(5))
                 data = data.as_py()
-                each = _priced(np.frombuffer(data, np.uint8), told.as_py(), untold, order)
+                total = np.cumsum(np.concatenate([[0.0], _priced(np.frombuffer(data, np.uint8), told.as_py(), untold, order, step)]))
                 # What spans two documents of the chunk is cut out again here.
                 stop = np.cumsum(sizes.as_py()) - order
                 start = np.concatenate([[0], stop[:-1] + order])
-                total = np.concatenate([[0.0], np.cumsum(each)])
                 n, n_hot, base, rare, times = [], [], [], [], []
                 for lo, hi in zip(start, stop):
                     w = data[lo + order : hi + order - 1].split()
@@ -491,24 +484,25 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = materialize(
-        parts.join(told, "chunk", "left").select("ids", "same", "sizes", "data", F.coalesce("told", F.array()).alias("told")).mapInArrow(run, f"doc_id {kind}, same binary, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored"
-    )
+    scored = parts.join(told, "chunk", "left").select("ids", "same", "sizes", "data", F.coalesce("told", F.array()).alias("told"))
+    scored = materialize(scored.mapInArrow(run, f"doc_id {kind}, same binary, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored")
     # Rare words are looked up once for each distinct text.
     texts = scored.groupBy("same").agg(F.any_value("rare").alias("rare"), F.any_value("times").alias("times"))
     asked = texts.select("same", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("same", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     rare_words = words.filter(F.col("n") < WORD_SHARE * n_all)
     logp = F.log10(F.col("n") + 0.1) - F.lit(whole)
     found = asked.filter("word IS NOT NULL").join(rare_words.filter("word IS NOT NULL"), "word", "left")
-    rest = found.groupBy("same").agg(
+    found = found.groupBy("same").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).cast("long").alias("n_rare"),
         F.sum(F.col("times") * F.coalesce(logp, F.lit(none))).alias("base_rare"),
     )
+    # One text may be that of a great share of the rows, so its rows are not dealt to one task.
+    rest = materialize(scored.groupBy("same").agg(F.count("*").alias("rows")).join(found, "same", "left"), "ppm-rare")
     # The end mark is a frequent token unless there was no training document or documents are very long.
     end_n = words.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
     end_rare = 0 if end_n >= WORD_SHARE * n_all and end_n else 1
     end_logp = math.log10(end_n + 0.1) - whole
-    return scored.drop("rare", "times").join(rest, "same", "left").select(
+    return join_hot(scored.drop("rare", "times"), rest, ["same"], "rows").select(
         "doc_id",
         "n_tokens",
         (F.col("n_hot") + F.coalesce("n_rare", F.lit(0)) + (1 if end_rare and end_n else 0)).cast("long").alias("n_known"),
@@ -518,11 +512,13 @@ def score(docs: DataFrame, train: DataFrame, keep=None, id_col: str = "doc_id",
     )
 
 
-def _priced(data: np.ndarray, told, untold: float, order: int) -> np.ndarray:
+def _priced(data: np.ndarray, told, untold: float, order: int, step: int = CHUNK) -> np.ndarray:
     """log10 probability of every byte of data from position order on, from the shards' answers; untold where they name none."""
-    keys, places = _indexed(data, order)
+    keys, places = indexed(data, order, step)
     by, cut = _dealt(keys)
     logp = np.full(len(keys), untold)
+    if not math.isnan(untold):
+        told = ()
     for row in told:
         i = row["shard"]
         logp[by[cut[i] : cut[i + 1]]] = np.frombuffer(row["logp"], np.float32)

@@ -44,7 +44,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = ppm.score(docs, docs.filter(~ppm.held_out()))
+    out = ppm.score(docs, ~ppm.held_out())
     return out.select("doc_id", ppm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

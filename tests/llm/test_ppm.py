@@ -35,8 +35,8 @@ def slow_score(data, order, totals, kept):
             here = kept[k].get(ctx)
             if not here:
                 continue
-            weights = {b: n - 0.5 for b, n in here.items() if b not in out_of}
-            escape = totals[k][ctx] - sum(n - 0.5 for n in here.values())
+            weights = {b: n - ppm.DISCOUNT for b, n in here.items() if b not in out_of}
+            escape = totals[k][ctx] - sum(n - ppm.DISCOUNT for n in here.values())
             total = escape + sum(weights.values())
             if s in weights:
                 out += math.log10(weights[s] / total)

@@ -9,8 +9,8 @@ shard are merged, the chunks' grams stream past them (several tasks share a shar
 chunks), and the answers are summed in the chunk. Only orders 0 to 2, which are at most 2**24 entries
 whatever the corpus, travel with the tasks.
 
-A byte is coded in the longest context known. Each seen byte weighs its count less one half; the
-halves form the escape weight. On escape the bytes already ruled out are
+A byte is coded in the longest context known. Each seen byte weighs its count less DISCOUNT;
+what is taken off forms the escape weight. On escape the bytes already ruled out are
 excluded from the next shorter context, and after the empty context a uniform code over the bytes left
 remains, so probabilities of all bytes sum to one. The code length of a document is that of its words
 (A-Z lower-cased) joined by one space, then an end mark.
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from tidebook.llm.common import fold, join_hot, materialize
 
-ORDER = 6
+ORDER = 5
+DISCOUNT = 0.25  # of a seen byte's count that goes to the escape weight
 LOW = 2  # the longest contexts that travel with the tasks
 WORD_SHARE = 2.0**-19
 SHARDS = 1024  # parts that byte counts are dealt into
@@ -185,7 +186,7 @@ def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = M
         if words:
             yield from told()
 
-    return materialize(src.mapInArrow(run, schema), "ppm-pass")
+    return materialize(src.mapInArrow(run, schema), "ppm-pass", "zstd")
 
 
 def _merge(parts):
@@ -342,7 +343,7 @@ class Trie:
         by = np.argsort(key)
         key, n, t = key[by], n[by], t[by]
         ctx, first, size = np.unique(key >> 8, return_index=True, return_counts=True)
-        weight = n - 0.5
+        weight = n - DISCOUNT
         kept = np.add.reduceat(weight, first) if len(first) else np.zeros(0)
         top = t[first]
         escape = np.maximum(top - kept, 1e-9)

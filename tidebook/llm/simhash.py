@@ -6,14 +6,20 @@ fingerprints within the radius have count vectors whose distance (sum of absolut
 at most the radius, so every other pair of tiles is skipped; the tiles that remain are compared in
 full with exclusive-or and bit counts. The comparison is exact: no pair within the radius is missed.
 
+near_texts() finds groups by the Jaccard likeness of sets of five-word shingles instead: SimHashes of
+256 bits are compared tile by tile within a radius that such pairs keep to, and verified exactly.
+
 Defined results: a null or empty text has no words and the fingerprint zero, which links like any
-other; fewer words than a shingle give one shingle of all words; repeated rows each get a row; a
+other (for near_texts(): the empty set, equal to itself only); a very long text is one value, hashed in
+blocks; fewer words than a shingle give one shingle of all words; repeated rows each get a row; a
 null doc_id is fingerprinted and grouped, and is never a component_id unless all members' ids are
 null; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from itertools import product
 
 import numpy as np
@@ -21,13 +27,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tidebook.llm.common import components, join_hot, local_roots, materialize
 
 SEED = 42
 CHUNK = 4096  # fingerprints of one tile that one task holds; larger tiles are split
 STEP = 1 << 20  # comparisons in one numpy block
+WIDE = 4  # 64-bit words of the fingerprints that near_texts() compares
+HEADS = 16  # smallest hashes that tiles are made of
+RADIUS_SIGMA = 4.0  # deviations that the radius of wide fingerprints leaves room for
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -174,24 +182,231 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_hot(marked, materialize(known, "simhash-known"), ["fp"], "n").select("doc_id", "fp", "component_id", "root")
 
 
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """docs with one row left of each group of near-duplicates: the one of smallest id, then fingerprint."""
-    found = materialize(near_duplicates(docs, id_col, text_col, shingle, radius), "simhash-found")
-    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("b"))
-    keep = best.select(F.col("b.doc_id").alias("keep"), F.col("b.fp").alias("kept"), F.xxhash64("b.doc_id", "b.fp").alias("key"))
-    # The row travels as one value, so that its other columns may have any names.
-    src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
-    at = docs.columns.index(text_col)
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th 64-bit word derived from each hash."""
+    x = h + np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The sorted distinct XXH64 values of a text's runs of words; fewer words are one run."""
+    w = (text or "").encode("utf-8").lower().split()
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    n = max(1, len(w) - words + 1) if w else 0
+    return np.unique(np.fromiter((digest(join(w[i : i + words]), SEED) for i in range(n)), dtype=np.uint64, count=n))
+
+
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of hashes, WIDE words of 64 bits."""
+    out = np.zeros(WIDE, dtype=np.uint64)
+    for k in range(WIDE):
+        bits = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(h), 4096):
+            bits += np.unpackbits(_mixed(h[at : at + 4096], k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out[k] = np.packbits(bits * 2 > len(h), bitorder="little").view(np.uint64)[0]
+    return out
+
+
+def sketches(docs: DataFrame, words: int, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, same, key, size, fp, heads) for every row: digests of its text and of its set of shingles, the set's
+    size, wide SimHash, and smallest hashes: as many as exactness asks for, HEADS at most."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(text)).alias("same"), text.alias("text"))
+
+    def run(batches):
+        for b in batches:
+            keys, sizes, fps, heads = [], [], [], []
+            for t in b.column(2):
+                h = shingles(t.as_py(), words)
+                keys.append(hashlib.md5(h.tobytes()).digest())
+                sizes.append(len(h))
+                fps.append(wide_fingerprint(h).view(np.int64))
+                heads.append(h[: min(HEADS, len(h) - math.ceil(least * len(h) - 1e-9) + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1).cast(pa.binary()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(fps, pa.list_(pa.int64())), pa.array(heads, pa.list_(pa.int64()))],
+                names=["doc_id", "same", "key", "size", "fp", "heads"],
+            )
+
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return materialize(src.mapInArrow(run, f"doc_id {kind}, same binary, key binary, size int, fp array<bigint>, heads array<bigint>"), "simhash-sketches")
+
+
+class _Pairs:
+    """One task's share of a tile of wide fingerprints: its own, then visitors as they stream past."""
+
+    def __init__(self, radius: int, least: float, every: bool):
+        self.radius, self.least, self.every = radius, least, every
+        self.home, self.rows, self.out, self.best = [], None, [], None
+
+    def own(self, rows: dict) -> None:
+        self.home.append(rows)
+
+    def visit(self, rows: dict) -> None:
+        self._settle()
+        self._meet(rows, False)
+
+    def _settle(self) -> None:
+        if self.rows is None:
+            first = self.home[0] if self.home else None
+            self.rows = {k: np.concatenate([h[k] for h in self.home]) for k in first} if first else {k: np.zeros((0, WIDE) if k == "fp" else 0, np.uint64) for k in ("key", "size", "root", "pop", "fp")}
+            self.best = np.full(len(self.rows["size"]), self.radius + 1, dtype=np.uint16), np.empty(len(self.rows["size"]), dtype=object)
+            self._meet(self.rows, True)
+
+    def _meet(self, other: dict, same: bool) -> None:
+        """Compare the own rows with others in blocks; blocks whose sizes or population counts rule out a link are skipped."""
+        mine = self.rows
+        n = len(mine["size"])
+        if not n:
+            return
+        wide = max(1, STEP // n)
+        low, high = self.least * float(mine["size"].min()), float(mine["size"].max()) / self.least
+        fit = np.flatnonzero((other["size"] >= low - 1e-9) & (other["size"] <= high + 1e-9))
+        fit = fit[np.argsort(other["pop"][fit], kind="stable")]
+        spread = int(mine["pop"].min()) - self.radius, int(mine["pop"].max()) + self.radius
+        for at in range(0, len(fit), wide):
+            j = fit[at : at + wide]
+            pop = other["pop"][j]
+            if pop[-1] < spread[0] or pop[0] > spread[1]:
+                continue
+            far = np.zeros((n, len(j)), dtype=np.uint16)
+            for k in range(WIDE):
+                far += np.bitwise_count(mine["fp"][:, k][:, None] ^ other["fp"][j, k][None, :])
+            a, b = mine["size"][:, None], other["size"][j][None, :]
+            bad = (mine["root"][:, None] == other["root"][j][None, :]) | (np.minimum(a, b) < self.least * np.maximum(a, b) - 1e-9)
+            far[bad] = self.radius + 1
+            if self.every:
+                x, y = np.nonzero(far <= self.radius)
+                if same:
+                    x, y = x[x < j[y]], y[x < j[y]]
+                self.out.append((mine["key"][x], other["key"][j[y]]))
+                continue
+            # Each row's nearest partner here.
+            x = far.argmin(axis=0)
+            hit = np.flatnonzero(far[x, np.arange(len(j))] <= self.radius)
+            self.out.append((mine["key"][x[hit]], other["key"][j[hit]]))
+            if not same:
+                y = far.argmin(axis=1)
+                near = far[np.arange(n), y]
+                better = near < self.best[0]
+                self.best[0][better] = near[better]
+                self.best[1][better] = other["key"][j[y[better]]]
+
+    def pairs(self) -> tuple[list, list]:
+        self._settle()
+        if not self.every:
+            hit = self.best[0] <= self.radius
+            self.out.append((self.rows["key"][hit], self.best[1][hit]))
+        return [x for p in self.out for x in p[0]], [x for p in self.out for x in p[1]]
+
+
+def _candidates(index: DataFrame, radius: int, least: float, every: bool) -> DataFrame:
+    """(a, b): pairs of rows (sig, chunks, key, size, fp, root) of unlike root that share sig and lie within the radius.
+
+    Each row's nearest partner in a task, or every pair. A tile is what shares sig; one of several chunks is dealt
+    so that each task holds one chunk and the rows of the earlier ones stream past.
+    """
+    sent = (
+        index.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+        .withColumn("part", F.explode(F.sequence(F.col("mine"), F.col("chunks") - 1)))
+        .select("sig", "part", (F.col("mine") != F.col("part")).cast("int").alias("visitor"), "key", "size", F.xxhash64("root").alias("root"), "fp")
+    )
 
     def run(batches):
+        at, tile = None, None
+
+        def told():
+            a, b = tile.pairs()
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(0).field(at)), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], names=["row", "id", "fp"])
+            sig, part, visitor, key, size, root = (b.column(c).to_numpy(zero_copy_only=False) for c in range(6))
+            fp = b.column(6).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDE)
+            pop = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
+            cut = np.flatnonzero((np.diff(sig) != 0) | (np.diff(part) != 0) | (np.diff(visitor) != 0)) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(sig)]):
+                if lo == hi:
+                    continue
+                if (sig[lo], part[lo]) != at:
+                    if tile is not None:
+                        yield from told()
+                    at, tile = (sig[lo], part[lo]), _Pairs(radius, least, every)
+                rows = {"key": key[lo:hi], "size": size[lo:hi].astype(np.float64), "root": root[lo:hi], "pop": pop[lo:hi], "fp": fp[lo:hi]}
+                (tile.visit if visitor[lo] else tile.own)(rows)
+        if tile is not None:
+            yield from told()
+
+    found = sent.repartition("sig", "part").sortWithinPartitions("sig", "part", "visitor").mapInArrow(run, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """(sketches, (key, root)): root names the class of each set of shingles, linked by a Jaccard likeness of least or more.
 
-    marked = src.mapInArrow(run, StructType([*src.schema.fields, StructField("fp", LongType())])).withColumn("key", F.xxhash64("id", "fp"))
-    left = marked.join(keep, "key").filter(F.col("id").eqNullSafe(F.col("keep")) & (F.col("fp") == F.col("kept")))
-    # Rows repeated with the same id and fingerprint meet after the join anyway; one of them stays.
-    first = F.row_number().over(Window.partitionBy("key", "fp", "id").orderBy(f"row.{text_col}"))
+    Sets that share one of their smallest hashes make a tile. Two sets of likeness least share none of HEADS
+    with probability (1 - least) ** HEADS, 7e-12 at 0.8; small sets keep all the hashes that make this exact.
+    In a tile wide SimHashes are compared in full, and a pair within the radius is verified by the exact
+    likeness of its sets. Rounds verify each set's nearest partner of another class until nothing more is
+    linked; then every pair within the radius that is still in different classes is verified, so that no
+    link is lost and the pairs of one class are never listed.
+    """
+    found = sketches(docs, words, least, id_col, text_col)
+    first = [F.any_value(c).alias(c) for c in ("same", "size", "fp", "heads")]
+    reps = materialize(found.groupBy("key").agg(*first), "simhash-sets")
+    # SimHash bits differ at a rate of angle / pi; RADIUS_SIGMA deviations above the mean at least are let pass.
+    rate = math.acos(2 * least / (1 + least)) / math.pi
+    radius = math.ceil(64 * WIDE * rate + RADIUS_SIGMA * math.sqrt(64 * WIDE * rate * (1 - rate)))
+    index = reps.select("key", "size", "fp", F.explode("heads").alias("sig"))
+    sizes = index.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "simhash-tiles")
+    index = materialize(join_hot(index, sizes, ["sig"], "n"), "simhash-index")
+    pairs = materialize(_candidates(index.withColumn("root", F.col("key")), radius, least, False), "simhash-pairs")
+    # Whatever has a partner within the radius is in a pair now; the sets of all else are not needed.
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = materialize(wanted.join(reps.select("key", "same"), "key"), "simhash-wanted")
+    index = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.unhex(F.md5(text)).alias("same"), text.alias("text")).join(wanted, "same").groupBy("key").agg(F.any_value("text").alias("text"))
+
+    def run(batches):
+        for b in batches:
+            sets = [shingles(t.as_py(), words).view(np.int64) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "set"])
+
+    sets = materialize(texts.mapInArrow(run, "key binary, set array<bigint>"), "simhash-exact")
+    x, y = (sets.select(F.col("key").alias(c), F.col("set").alias(f"s{c}")) for c in "ab")
+    both = F.size(F.array_intersect("sa", "sb"))
+    like = both >= F.lit(least) * (F.size("sa") + F.size("sb") - both) - 1e-9
+    known, links, every = wanted.select("key", F.col("key").alias("root")), None, False
+    while True:
+        good = materialize(pairs.join(x, "a").join(y, "b").filter(like).select("a", "b"), "simhash-good")
+        more = not good.isEmpty()
+        if more:
+            links = good if links is None else materialize(links.union(good), "simhash-links")
+            classes = components(links, "simhash-classes").withColumnRenamed("node", "key")
+            known = materialize(wanted.select("key").join(classes, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-roots")
+        if every:
+            break
+        every = not more
+        pairs = materialize(_candidates(index.join(known, "key"), radius, least, every), "simhash-pairs")
+    return found, reps.select("key").join(known, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+
+
+def distinct_documents(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row left of each group of near-duplicates (see near_texts): the smallest id's, null ids last."""
+    rows, known = near_texts(docs, words, least, id_col, text_col)
+    # Of rows with one set the best is found first, so that copies do not meet in one task.
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("b")
+    keep = rows.groupBy("key").agg(best).join(known, "key").groupBy("root").agg(F.min("b").alias("b"))
+    keep = materialize(keep.select(F.col("b.doc_id").alias("keep"), F.col("b.same").alias("kept"), F.xxhash64("b.doc_id", "b.same").alias("_at")), "simhash-kept")
+    # The row travels as one value, so that its other columns may have any names.
+    same = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), same.alias("same"))
+    left = src.withColumn("_at", F.xxhash64("id", "same")).join(keep, "_at").filter(F.col("id").eqNullSafe(F.col("keep")) & (F.col("same") == F.col("kept")))
+    # Rows repeated with the same id and text meet after the join anyway; one of them stays.
+    first = F.row_number().over(Window.partitionBy("_at", "id", "same").orderBy(f"row.{text_col}"))
     return left.withColumn("n", first).filter("n = 1").select("row.*")
 
 

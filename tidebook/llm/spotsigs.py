@@ -1,4 +1,4 @@
-"""Document fingerprints by SpotSigs, in DataFrame functions (the runs of words of the pipeline's stage apart).
+"""Document fingerprints by SpotSigs, in DataFrame functions.
 
 A signature starts at an anchor, a common function word, and chains the next CHAIN content words; words
 in between that are themselves anchors are stepped over. Where CHAIN + 2 content words follow each other
@@ -19,9 +19,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,42 +129,6 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     return rows.join(linked(rows, least), "key").select("doc_id", fingerprint(F.col("sigs")).alias("fingerprint"), "component_id")
 
 
-def with_shingles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """(doc_id, same, sigs): each row's hashes of its runs of words (ASCII lower case), fewer words being one run."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    src = docs.select(F.col(id_col).alias("doc_id"), F.md5(text).alias("same"), text.alias("text"))
-
-    def run(batches):
-        digest, join = xxhash.xxh64_intdigest, b" ".join
-        for b in batches:
-            sigs = []
-            for t in b.column(2):
-                w = t.as_py().encode("utf-8").lower().split()
-                each = (digest(join(w[i : i + words])) for i in range(max(1, len(w) - words + 1) if w else 0))
-                sigs.append(np.unique(np.fromiter(each, dtype=np.uint64)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sigs, pa.list_(pa.int64()))], names=["doc_id", "same", "sigs"])
-
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, same string, sigs array<bigint>")
-
-
-def distinct_documents(docs: DataFrame, least: float = 0.8, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row left of each group linked by a likeness of least or more of its runs of words: the smallest id's.
-
-    The links are exact, see linked().
-    """
-    rows = materialize(with_shingles(docs, id_col, text_col, words).withColumn("key", F.xxhash64("sigs")), "shingle-sets")
-    known = linked(rows, least)
-    # Of rows with one set the best is found first, so that copies do not meet in one task.
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("b")
-    keep = rows.groupBy("key").agg(best).join(known, "key").groupBy("root").agg(F.min("b").alias("b"))
-    keep = materialize(keep.select(F.col("b.doc_id").alias("keep"), F.col("b.same").alias("kept"), F.xxhash64("b.doc_id", "b.same").alias("_at")), "shingle-kept")
-    # The row travels as one value, so that its other columns may have any names.
-    src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("same"))
-    left = src.withColumn("_at", F.xxhash64("id", "same")).join(keep, "_at").filter(F.col("id").eqNullSafe(F.col("keep")) & (F.col("same") == F.col("kept")))
-    first = F.row_number().over(Window.partitionBy("_at", "id", "same").orderBy(f"row.{text_col}"))
-    return left.withColumn("n", first).filter("n = 1").select("row.*")
-
-
 def linked(rows: DataFrame, least: float) -> DataFrame:
     """(key, root, component_id) for every set of the written rows (doc_id, sigs, key), linked by a likeness of least.
 
@@ -216,4 +177,3 @@ def linked(rows: DataFrame, least: float) -> DataFrame:
             break
     named = root.join(sets, "key").groupBy("root").agg(F.min("low").alias("component_id"))
     return materialize(root.join(named, "root").select("key", "root", "component_id"), "spot-known")
-

@@ -1,22 +1,28 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Tokens are the start tags of a page, told apart by their path of tags and class names, and its text
-nodes outside semantic articles. Over the pages of one host every token has an occurrence vector, its
-count on each page; tokens with equal vectors form an equivalence class. Classes that are large and
-frequent enough are valid: the one whose tokens occur once on (nearly) every page is the template's
-root, and every other class nests in the class of its parent token. The gaps between template tokens
-are the slots; the host's main slot is the element of the root class that holds the article: a semantic
-one (article, main) if the template has it, else the smallest element that holds most of the text
-that is not links. Extraction reads that element and leaves out what is template text or furniture
-(menus, sidebars, adverts, notices, forms, scripts, reader comments and the like).
-
-Vectors are compared by their XOR-ed hashes, so hosts of any size are deduced by aggregates over
-(host, token); no task holds the pages of a host.
-
-Defined results: a null or empty page has the empty text; a page whose host is null or that lacks the
-host's main element is judged by itself; repeated rows each get a row; a line break element is white
-space; table cells are parted by a space, rows are blocks; an empty table gives an empty result; other
-columns are ignored.
+nodes, told apart by the block element that holds them and their words. Over the distinct pages of one
+host every token has an occurrence vector, its count on each page; tokens with equal vectors form an
+equivalence class. A class is valid if it is large (LARGE tokens) and frequent (FREQUENT pages). The
+valid classes nest into the host's template: a class lies in a slot of the class that holds the nearest
+enclosing tag of a valid class; the tags that occur once on nearly every page are the template's root.
+
+A slot holds data if its text varies. A block element of a valid class whose texts are all template
+text themselves (each belongs to a valid class) is fixed: labels, adverts and notices, be they repeated
+on a page or found on some pages only. The main slot is the smallest root element that holds most of the
+host's text that is not links, one of the semantic ones (article, main) before others. Extraction reads the main slot and leaves out fixed blocks, headings
+apart, and furniture (menus, sidebars, adverts, notices, forms, scripts, reader comments and the like).
+
+Vectors are compared by sums of hashes, so hosts of any size are deduced by aggregates over (host,
+token); no task holds the pages of a host.
+
+Defined results: a null or empty page has the empty text; a page whose host is null, that lacks the
+host's main element, or that is the only distinct page of its host is judged by itself, by its article
+or main elements if it has any; the template never empties a page's main slot: if nothing else is left,
+fixed blocks stay; of equally good main elements the deepest, then the one of most text, then the one of
+the largest hash is taken; identical pages count once in a vector and have equal texts, repeated rows each get a
+row; a line break element is white space; table cells are parted by a space, rows are blocks; a very long
+page is one value, read in one pass; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import materialize
+from tidebook.llm.common import HOT, materialize
 
-FREQUENT = 0.9  # share of a host's pages on which a token of the root class occurs
+ROOT = 0.9  # share of a host's pages on which a tag of the root occurs
 LARGE = 2  # tokens that a valid class has at least
+FREQUENT = 3  # pages that a valid class is found on at least; all of them on a host of fewer
 MOST = 0.6  # share of the unlinked text that the main element holds at least
-SALTS = 16  # parts that a host's pages are dealt into where templates are joined by a shuffle
-SMALL = 50_000  # hosts up to this many have their templates broadcast
+SALTS = 64  # parts that the pages of a hot host are dealt into
 
 # Element names by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +55,7 @@ BLOCKS = frozenset(
 CLOSES_P = BLOCKS - {"html", "body", "tbody", "tfoot", "thead", "tr", "dialog"}
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ()}
 SCOPE = frozenset("ul ol dl table select article section main aside nav body".split())
+CONTAINERS = frozenset("html body div section center table tbody tr td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header menu modal nav navbar "
@@ -84,7 +91,7 @@ class Page:
     """What one pass over a page finds: start tags and text nodes in order."""
 
     tags: list[tuple[int, int, bool, str]] = field(default_factory=list)  # token, parent, semantic, name
-    texts: list[tuple[str, tuple[int, ...], bool, bool, bool]] = field(default_factory=list)  # text, open tokens, dropped, linked, in semantic
+    texts: list[tuple[str, tuple[int, ...], bool, bool, int]] = field(default_factory=list)  # text, open tokens, dropped, linked, its block's token (0 in a heading)
     breaks: list[int] = field(default_factory=list)  # text index at which a block starts
 
 
@@ -117,7 +124,8 @@ def read(page: str) -> Page:
             raw = page[lo:hi]
             top = stack[-1] if stack else None
             dropped = top is not None and top.dropped or (top is not None and any(n.header for n in stack) and not any(n.name in HEADINGS for n in stack))
-            out.texts.append((raw, tokens, dropped, any(n.name == "a" for n in stack), any(n.semantic for n in stack)))
+            block = next((n for n in reversed(stack) if n.name in BLOCKS), None)
+            out.texts.append((raw, tokens, dropped, any(n.name == "a" for n in stack), 0 if block is None or block.name in HEADINGS else block.token))
 
     def close(index: int) -> None:
         nonlocal tokens
@@ -148,7 +156,7 @@ def read(page: str) -> Page:
                     out.breaks.append(len(out.texts))
             continue
         if name == "br" or name in ("td", "th"):
-            out.texts.append((" ", tokens, False, False, True))
+            out.texts.append((" ", tokens, False, False, 0))
         if name in BLOCKS:
             out.breaks.append(len(out.texts))
         if name in CLOSES_P or name in SAME:
@@ -187,66 +195,66 @@ def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def main_text(page: str | None, main: int | None = None, template: frozenset[int] = frozenset()) -> str:
-    """The article of a page: the text of its main element without furniture and template texts."""
+def main_text(page: str | None, main: int | None = None, fixed: frozenset[int] = frozenset()) -> str:
+    """The article of a page: the text of its main slot without furniture and the template's fixed blocks."""
     if not page:
         return ""
     p = read(page)
-    present = {t for t, _, _, _ in p.tags}
-    semantic = [t for t, _, s, _ in p.tags if s]
-    if main in present and (not semantic or main in semantic):
-        wanted = main
-    elif semantic:
-        held = {t: sum(len(x[0]) for x in p.texts if t in x[1] and not x[2]) for t in semantic}
-        wanted = max(semantic, key=lambda t: held[t])
-    else:
-        wanted = None
+    wanted = main
+    if wanted is None or all(t != wanted for t, _, _, _ in p.tags):
+        wanted, fixed = None, frozenset()
+        semantic = [t for t, _, s, _ in p.tags if s]
+        if semantic:
+            held = {t: sum(len(x[0]) for x in p.texts if t in x[1] and not x[2]) for t in semantic}
+            wanted = max(semantic, key=lambda t: held[t])
+    return _text(p, wanted, fixed) or _text(p, wanted, frozenset())
+
+
+def _text(p: Page, wanted: int | None, fixed: frozenset[int]) -> str:
     blocks: list[str] = []
     cuts, part = set(p.breaks), []
 
     def flush():
         text = _clean("".join(part))
-        if text and (semantic or _hash("text", text) not in template):
+        if text:
             blocks.append(text)
         part.clear()
 
-    for i, (raw, tokens, dropped, _, _) in enumerate(p.texts):
+    for i, (raw, tokens, dropped, _, block) in enumerate(p.texts):
         if i in cuts:
             flush()
-        if not dropped and (wanted is None or wanted in tokens):
+        if not dropped and block not in fixed and (wanted is None or wanted in tokens):
             part.append(raw)
     flush()
     return "\n".join(blocks)
 
 
 def profile(page: str | None) -> dict[int, list[int]]:
-    """token -> [count, parent, kind, chars, linked chars, depth]; kind 0 tag, 1 semantic tag, 2 text."""
+    """token -> [count, parent, kind, chars, linked chars, depth]; kind 0 tag, 1 semantic tag, 2 text, whose parent is its block, 3 other container."""
     out: dict[int, list[int]] = {}
     if not page:
         return out
     p = read(page)
     depth: dict[int, int] = {0: 0}
-    for token, parent, semantic, _ in p.tags:
+    for token, parent, semantic, name in p.tags:
         depth[token] = depth.get(parent, 0) + 1
         if token in out:
             out[token][0] += 1
         else:
-            out[token] = [1, parent, int(semantic), 0, 0, depth[token]]
-    for raw, tokens, dropped, linked, inside in p.texts:
+            out[token] = [1, parent, 1 if semantic else 3 if name in CONTAINERS else 0, 0, 0, depth[token]]
+    for raw, tokens, dropped, linked, block in p.texts:
         size = len(raw.strip())
-        if not size:
+        if not size or dropped:
             continue
-        if not dropped:
-            for t in tokens:
-                out[t][3] += size
-                out[t][4] += size * linked
-        if not inside:
-            parent = tokens[-1] if tokens else 0
-            token = _hash("text", _clean(raw))
+        for t in tokens:
+            out[t][3] += size
+            out[t][4] += size * linked
+        if block:
+            token = _hash("text", block, _clean(raw))
             if token in out:
                 out[token][0] += 1
             else:
-                out[token] = [1, parent, 2, 0, 0, 0]
+                out[token] = [1, block, 2, 0, 0, 0]
     return out
 
 
@@ -257,63 +265,84 @@ def host_of(url: str = "url"):
 
 
 def template(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, token, parent, kind, class_id, class_size, pages, host_pages, root, chars, linked, depth) of valid classes."""
-    src = pages.select(host_of(url_col).alias("host"), F.xxhash64(url_col, html_col).alias("page"), F.col(html_col).cast("string").alias("html")).filter("host IS NOT NULL")
+    """(host, token, parent, kind, class_id, up_class, valid, root, pages, chars, linked, depth) of hosts of several distinct pages.
+
+    up_class is the class in whose slot the token's class lies: that of the nearest enclosing tag of a valid
+    class, or 0 for the page itself.
+    """
+    html_text = F.col(html_col).cast("string")
+    src = pages.select(host_of(url_col).alias("host"), F.xxhash64(html_text).alias("page"), html_text.alias("html")).filter("host IS NOT NULL")
 
     def run(batches):
         for b in batches:
-            toks = [[(k, *v) for k, v in profile(x.as_py()).items()] for x in b.column(2)]
-            kind = pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([[list(t) for t in ts] for ts in toks], kind)], names=["host", "page", "toks"])
+            toks = [[[k, *v] for k, v in profile(x.as_py()).items()] for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(toks, pa.list_(pa.list_(pa.int64())))], names=["host", "page", "toks"])
 
-    each = src.mapInArrow(run, "host string, page bigint, toks array<array<bigint>>")
+    each = src.mapInArrow(run, "host string, page bigint, toks array<array<bigint>>").dropDuplicates(["host", "page"])
+    # Token 0 stands for the page itself, so its count is the host's number of distinct pages.
     rows = each.select("host", "page", F.explode(F.concat("toks", F.array(F.array(*[F.lit(x).cast("bigint") for x in (0, 1, 0, 3, 0, 0, 0)])))).alias("t"))
-    t = F.col("t")
-    # Token 0 stands for the page itself, so its count is the host's number of pages.
+    t, mark = F.col("t"), F.xxhash64("page", F.col("t")[1])
     tokens = rows.groupBy("host", t[0].alias("token")).agg(
-        F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", t[1])).alias("vector"), F.max(t[1]).alias("most"), F.min(t[2]).alias("parent"),
-        F.min(t[3]).alias("kind"), F.sum(t[4]).alias("chars"), F.sum(t[5]).alias("linked"), F.min(t[6]).alias("depth"),
-    )
+        F.count("*").alias("pages"), F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("v1"), F.sum(F.shiftrightunsigned(mark, 32)).alias("v2"), F.max(t[1]).alias("most"),
+        F.min(t[2]).alias("parent"), F.max(t[3]).alias("kind"), F.sum(t[4]).alias("chars"), F.sum(t[5]).alias("linked"), F.min(t[6]).alias("depth"),
+    )
     tokens = materialize(tokens, "html-tokens")
-    hosts = tokens.filter("token = 0").select("host", F.col("pages").alias("host_pages"))
-    classes = tokens.filter("token <> 0").groupBy("host", "pages", "vector").agg(F.count("*").alias("class_size"), F.min("token").alias("class_id"))
-    # A text on a single page is no template; tags are, where a page is the only one of its host.
-    valid = tokens.filter("token <> 0").join(classes, ["host", "pages", "vector"]).join(hosts, "host").filter(
-        (F.col("class_size") >= LARGE) & (F.col("pages") >= F.least(F.lit(2), F.col("host_pages"))) & ((F.col("kind") < 2) | (F.col("pages") >= 3))
-    )
-    root = (F.col("most") == 1) & (F.col("pages") >= FREQUENT * F.col("host_pages"))
-    return valid.select("host", "token", "parent", "kind", "class_id", "class_size", "pages", "host_pages", root.alias("root"), "chars", "linked", "depth")
-
-
-def main_slots(valid: DataFrame) -> DataFrame:
-    """(host, main, texts): the token of each host's main element, and its template texts outside articles."""
-    tags = valid.filter("root AND kind < 2")
+    hosts = tokens.filter("token = 0 AND pages > 1").select("host", F.col("pages").alias("host_pages"))
+    known = tokens.filter("token <> 0").join(hosts, "host")
+    vector = ["host", "pages", "v1", "v2"]
+    classes = known.groupBy(*vector).agg(F.count("*").alias("class_size"), F.min("token").alias("class_id"))
+    valid = (F.col("class_size") >= LARGE) & (F.col("pages") >= F.least(F.lit(FREQUENT), F.col("host_pages")))
+    root = valid & (F.col("most") == 1) & (F.col("pages") >= ROOT * F.col("host_pages")) & (F.col("kind") != 2)
+    out = known.join(classes, vector).select("host", "token", "parent", "kind", "class_id", valid.alias("valid"), root.alias("root"), "pages", "chars", "linked", "depth")
+    out = materialize(out, "html-classes")
+    return out.join(_nested(out), ["host", "token"], "left").withColumn("up_class", F.coalesce("up_class", F.lit(0).cast("bigint")))
+
+
+def _nested(tokens: DataFrame) -> DataFrame:
+    """(host, token, up_class) for tokens inside a valid class; pointers over tags of no valid class are doubled until none is left."""
+    tags = tokens.filter("kind <> 2")
+    up = tokens.select("host", "token", F.col("parent").alias("up"))
+    skip = tags.filter("NOT valid").select("host", F.col("token").alias("up"), F.col("parent").alias("next"))
+    while not (stuck := up.join(skip, ["host", "up"])).isEmpty():
+        up = materialize(stuck.select("host", "token", F.col("next").alias("up")).unionByName(up.join(skip, ["host", "up"], "left_anti")), "html-nested")
+        beyond = skip.select("host", F.col("up").alias("next"), F.col("next").alias("beyond"))
+        skip = materialize(skip.join(beyond, ["host", "next"], "left").select("host", "up", F.coalesce("beyond", "next").alias("next")), "html-skipped")
+    named = tags.filter("valid").select("host", F.col("token").alias("up"), F.col("class_id").alias("up_class"))
+    return up.join(named, ["host", "up"]).select("host", "token", "up_class")
+
+
+def main_slots(known: DataFrame) -> DataFrame:
+    """(host, main, fixed): the tag of each host's main slot, and its block elements whose text never varies."""
+    tags = known.filter("root AND kind IN (1, 3)")
     plain = F.col("chars") - 2 * F.col("linked")
     top = tags.groupBy("host").agg(F.max(plain).alias("top"))
     good = tags.join(top, "host").filter(plain >= MOST * F.col("top"))
-    rank = F.struct((F.col("kind") == 1).alias("a"), F.col("depth"), plain.alias("b"), F.col("token"))
-    main = good.groupBy("host").agg(F.max(rank).alias("m")).select("host", F.col("m.token").alias("main"))
-    texts = valid.filter("root AND kind = 2").groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("texts"))
-    return main.join(texts, "host", "left").select("host", "main", "texts")
+    main = good.groupBy("host").agg(F.max(F.struct((F.col("kind") == 1).alias("a"), "depth", plain.alias("b"), "token")).alias("m")).select("host", F.col("m.token").alias("main"))
+    texts = known.filter("kind = 2").groupBy("host", F.col("parent").alias("token")).agg(F.bool_and("valid").alias("same"))
+    fixed = known.filter("valid AND kind <> 2").join(texts.filter("same"), ["host", "token"])
+    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("fixed"))
+    return main.join(fixed, "host", "left").select("host", "main", "fixed")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text) for every row."""
     slots = materialize(main_slots(template(pages, url_col, html_col)), "html-slots")
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host_of(url_col).alias("host"))
-    if slots.count() <= SMALL:
-        joined = src.join(F.broadcast(slots), "host", "left")
-    else:
-        salt = F.array(*[F.lit(k) for k in range(SALTS)])
-        dealt = src.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
-        joined = dealt.join(slots.withColumn("salt", F.explode(salt)), ["host", "salt"], "left")
-    joined = joined.select("page_id", "url", "html", "main", "texts")
+    # A host of at least 1/HOT of the pages is hot: HOT names at most, whose pages are dealt by their content.
+    sizes = materialize(src.filter("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("n")), "html-hosts")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    hot = sizes.filter(F.col("n") * HOT >= F.lit(total)).select("host", F.lit(SALTS).alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = src.join(F.broadcast(hot), "host", "left").withColumn("salt", F.pmod(F.xxhash64("html"), parts).cast("int"))
+    known = slots.join(F.broadcast(hot), "host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    joined = dealt.drop("parts").filter("host IS NOT NULL").join(known, ["host", "salt"], "left").select("page_id", "url", "html", "main", "fixed")
+    alone = src.filter("host IS NULL").select("page_id", "url", "html", F.lit(None).cast("bigint").alias("main"), F.lit(None).cast("array<bigint>").alias("fixed"))
 
     def run(batches):
         for b in batches:
             texts = []
-            for page, main, known in zip(b.column(2), b.column(3), b.column(4)):
-                texts.append(main_text(page.as_py(), main.as_py(), frozenset(known.as_py() or ())))
+            for page, main, fixed in zip(b.column(2), b.column(3), b.column(4)):
+                texts.append(main_text(page.as_py(), main.as_py(), frozenset(fixed.as_py() or ())))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    return joined.mapInArrow(run, f"page_id {src.schema['page_id'].dataType.simpleString()}, url string, text string")
+    return joined.union(alone).mapInArrow(run, f"page_id {src.schema['page_id'].dataType.simpleString()}, url string, text string")

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import fold, join_hot, materialize
+from tidebook.llm.common import fold, materialize
 
 ORDER = 5
 DISCOUNT = 0.25  # of a seen byte's count that goes to the escape weight
@@ -104,14 +104,14 @@ def _slices(column, size: int = CHUNK):
 # Rows of the one pass: parts of the counts of grams (0), grams a chunk asks for (1), parts of the sums of
 # order LOW (2), parts of the counts of words (3; the null word counts ends), and the chunks themselves (4).
 COUNTS, ASKS, SUMS, WORDS, CHUNKS = range(5)
-_NAMES = ("kind", "shard", "chunk", "keys", "counts", "ids", "same", "sizes", "data", "word", "n")
+_NAMES = ("kind", "shard", "chunk", "keys", "counts", "ids", "sizes", "data", "word", "n")
 
 
 def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = MERGED) -> DataFrame:
     """The rows above from docs (doc_id, text, learn, ask), written."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"kind int, shard int, chunk bigint, keys binary, counts binary, ids array<{kind}>, same array<binary>, sizes array<int>, data binary, word binary, n bigint"
-    src = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("same"), "text", "learn", "ask")
+    schema = f"kind int, shard int, chunk bigint, keys binary, counts binary, ids array<{kind}>, sizes array<int>, data binary, word binary, n bigint"
+    src = docs.select("doc_id", "text", "learn", "ask")
 
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
@@ -137,10 +137,10 @@ def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = M
 
         for b in batches:
             if types is None:
-                types = {"shard": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary(), "ids": pa.list_(b.column(0).type), "same": pa.list_(pa.binary()), "sizes": pa.list_(pa.int32()), "data": pa.binary(), "word": pa.binary(), "n": pa.int64()}
-            learn, ask = (b.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (3, 4))
+                types = {"shard": pa.int32(), "chunk": pa.int64(), "keys": pa.binary(), "counts": pa.binary(), "ids": pa.list_(b.column(0).type), "sizes": pa.list_(pa.int32()), "data": pa.binary(), "word": pa.binary(), "n": pa.int64()}
+            learn, ask = (b.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in (2, 3))
             at = 0
-            for part in _slices(b.column(2), step):
+            for part in _slices(b.column(1), step):
                 here = slice(at, at + len(part))
                 at += len(part)
                 raw = []
@@ -175,8 +175,8 @@ def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = M
                     n, given = _shards(keys)
                     yield rows(ASKS, n, chunk=pa.array(np.full(n, chunk), pa.int64()), **given)
                     sub = b.slice(here.start, len(part))
-                    lists = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), x) for x in (sub.column(0), sub.column(1).cast(pa.binary()), pa.array(sizes, pa.int32()))]
-                    yield rows(CHUNKS, 1, chunk=pa.array([chunk], pa.int64()), ids=lists[0], same=lists[1], sizes=lists[2], data=pa.array([data], pa.binary()))
+                    lists = [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), x) for x in (sub.column(0), pa.array(sizes, pa.int32()))]
+                    yield rows(CHUNKS, 1, chunk=pa.array([chunk], pa.int64()), ids=lists[0], sizes=lists[1], data=pa.array([pa.compress(data, "zstd", asbytes=True)], pa.binary()))
                     chunk += 1
                 if len(words) > 300_000:
                     yield from told()
@@ -453,18 +453,20 @@ def score(docs: DataFrame, train: DataFrame | Column, id_col: str = "doc_id", te
     shared = spark.sparkContext.broadcast({None if k is None else bytes(k): math.log10(n + 0.1) - whole for k, n in hot.items()})
     none = math.log10(0.1) - whole
     told = answer(rows, low, order).groupBy("chunk").agg(F.collect_list(F.struct("shard", "logp")).alias("told"))
-    parts = rows.filter(F.col("kind") == CHUNKS).select("chunk", "ids", "same", "sizes", "data")
+    parts = rows.filter(F.col("kind") == CHUNKS).select("chunk", "ids", "sizes", "data")
 
     def run(batches):
         known = shared.value
         end = known.get(None)
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
             for at in range(b.num_rows):
-                ids, same, sizes, data, told = (b.column(c)[at] for c in range(5))
-                data = data.as_py()
+                ids, sizes, data, told = (b.column(c)[at] for c in range(4))
+                sizes = sizes.as_py()
+                data = pa.decompress(data.as_py(), sum(sizes), "zstd", asbytes=True)
                 total = np.cumsum(np.concatenate([[0.0], _priced(np.frombuffer(data, np.uint8), told.as_py(), untold, order, step)]))
                 # What spans two documents of the chunk is cut out again here.
-                stop = np.cumsum(sizes.as_py()) - order
+                stop = np.cumsum(sizes) - order
                 start = np.concatenate([[0], stop[:-1] + order])
                 n, n_hot, base, rare, times = [], [], [], [], []
                 for lo, hi in zip(start, stop):
@@ -480,30 +482,28 @@ def score(docs: DataFrame, train: DataFrame | Column, id_col: str = "doc_id", te
                     rare.append(list(mine))
                     times.append(list(mine.values()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.values, same.values, pa.array(n, pa.int64()), pa.array(n_hot, pa.int64()), pa.array(base, pa.float64()), pa.array(total[stop] - total[start]), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
-                    names=["doc_id", "same", "n_tokens", "n_hot", "base_hot", "score", "rare", "times"],
+                    [ids.values, pa.array(np.arange(row, row + len(n))), pa.array(n, pa.int64()), pa.array(n_hot, pa.int64()), pa.array(base, pa.float64()), pa.array(total[stop] - total[start]), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32()))],
+                    names=["doc_id", "row", "n_tokens", "n_hot", "base_hot", "score", "rare", "times"],
                 )
+                row += len(n)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = parts.join(told, "chunk", "left").select("ids", "same", "sizes", "data", F.coalesce("told", F.array()).alias("told"))
-    scored = materialize(scored.mapInArrow(run, f"doc_id {kind}, same binary, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored")
-    # Rare words are looked up once for each distinct text.
-    texts = scored.groupBy("same").agg(F.any_value("rare").alias("rare"), F.any_value("times").alias("times"))
-    asked = texts.select("same", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("same", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
+    scored = parts.join(told, "chunk", "left").select("ids", "sizes", "data", F.coalesce("told", F.array()).alias("told"))
+    scored = materialize(scored.mapInArrow(run, f"doc_id {kind}, row bigint, n_tokens bigint, n_hot bigint, base_hot double, score double, rare array<binary>, times array<int>"), "ppm-scored", "zstd")
+    # Each row asks for its rare words; none of them is in many rows.
+    asked = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     rare_words = words.filter(F.col("n") < WORD_SHARE * n_all)
     logp = F.log10(F.col("n") + 0.1) - F.lit(whole)
     found = asked.filter("word IS NOT NULL").join(rare_words.filter("word IS NOT NULL"), "word", "left")
-    found = found.groupBy("same").agg(
+    rest = found.groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).cast("long").alias("n_rare"),
         F.sum(F.col("times") * F.coalesce(logp, F.lit(none))).alias("base_rare"),
     )
-    # One text may be that of a great share of the rows, so its rows are not dealt to one task.
-    rest = materialize(scored.groupBy("same").agg(F.count("*").alias("rows")).join(found, "same", "left"), "ppm-rare")
     # The end mark is a frequent token unless there was no training document or documents are very long.
     end_n = words.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
     end_rare = 0 if end_n >= WORD_SHARE * n_all and end_n else 1
     end_logp = math.log10(end_n + 0.1) - whole
-    return join_hot(scored.drop("rare", "times"), rest, ["same"], "rows").select(
+    return scored.drop("rare", "times").join(rest, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_hot") + F.coalesce("n_rare", F.lit(0)) + (1 if end_rare and end_n else 0)).cast("long").alias("n_known"),

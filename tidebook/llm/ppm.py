@@ -44,8 +44,9 @@ DISCOUNT = 0.25  # of a seen byte's count that goes to the escape weight
 LOW = 2  # the longest contexts that travel with the tasks
 WORD_SHARE = 2.0**-19
 SHARDS = 1024  # parts that byte counts are dealt into
-CHUNK = 1 << 22  # bytes of text whose grams are asked for together, and that a step of a Python worker handles
-TOGETHER = 512  # chunks whose questions one task answers for a shard
+CHUNK = 1 << 23  # bytes of text whose grams are asked for together
+SLICE = 1 << 21  # bytes of text that a step of a Python worker handles
+TOGETHER = 256  # chunks whose questions one task answers for a shard
 MERGED = 1_000_000  # entries that a worker holds before it passes them on
 ASKED = 1 << 18  # grams that a shard answers in one step
 END = b"\n"
@@ -71,11 +72,11 @@ def grams(data: np.ndarray, order: int) -> np.ndarray:
     return (windows & np.uint64((1 << (8 * (order + 1))) - 1)).astype(np.int64)
 
 
-def indexed(data: np.ndarray, order: int, chunk: int = CHUNK) -> tuple[np.ndarray, list[np.ndarray]]:
+def indexed(data: np.ndarray, order: int, step: int = SLICE) -> tuple[np.ndarray, list[np.ndarray]]:
     """The sorted distinct grams of data, and for each slice of data the places of its grams among them."""
     keys, places = [], []
-    for lo in range(order, max(len(data), order + 1), chunk):
-        d = pa.array(grams(data[lo - order : lo + chunk], order)).dictionary_encode()
+    for lo in range(order, max(len(data), order + 1), step):
+        d = pa.array(grams(data[lo - order : lo + step], order)).dictionary_encode()
         k = d.dictionary.to_numpy()
         by = np.argsort(k)
         rank = np.empty(len(k), dtype=np.int32)
@@ -152,7 +153,7 @@ def gather(docs: DataFrame, order: int = ORDER, step: int = CHUNK, most: int = M
                         words[None] += 1
                 data = b"".join(raw)
                 sizes = np.array([len(r) for r in raw])
-                keys, places = indexed(np.frombuffer(data, np.uint8), order, step)
+                keys, places = indexed(np.frombuffer(data, np.uint8), order, min(step, SLICE))
                 if learn[here].any():
                     # What spans two documents is no gram of either.
                     use = np.repeat(learn[here], sizes)
@@ -365,8 +366,8 @@ class Trie:
     def score(self, data: np.ndarray) -> np.ndarray:
         """log10 probability of every byte of data from position order on."""
         out = []
-        for lo in range(self.order, len(data), CHUNK):
-            keys, at = np.unique(grams(data[lo - self.order : lo + CHUNK], self.order), return_inverse=True)
+        for lo in range(self.order, len(data), SLICE):
+            keys, at = np.unique(grams(data[lo - self.order : lo + SLICE], self.order), return_inverse=True)
             out.append(self.of(keys)[at])
         return np.concatenate(out) if out else np.zeros(0)
 
@@ -515,7 +516,7 @@ def score(docs: DataFrame, train: DataFrame | Column, id_col: str = "doc_id", te
 
 def _priced(data: np.ndarray, told, untold: float, order: int, step: int = CHUNK) -> np.ndarray:
     """log10 probability of every byte of data from position order on, from the shards' answers; untold where they name none."""
-    keys, places = indexed(data, order, step)
+    keys, places = indexed(data, order, min(step, SLICE))
     by, cut = _dealt(keys)
     logp = np.full(len(keys), untold)
     if not math.isnan(untold):

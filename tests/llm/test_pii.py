@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -70,6 +71,46 @@ def test_rare_kinds_are_calibrated_beside_a_common_one(docs_of):
     few += [(2000 + i, f"number 20012345{i:02d} of the list") for i in range(60)]
     seen = pii.annotate(docs_of(many + few).select("doc_id", "text"))
     model = pii.train(seen, sample=40)
-    every = seen.select(F.explode("_cands").alias("x")).filter("x.y").groupBy("x.k").agg(F.avg(F.expr(model.probability("x"))).alias("p"))
-    want = {r["k"]: pii.HALF * r["p"] for r in every.collect()}
-    assert {0, 3} <= set(want) and all(abs(model.thresholds[k] - p) < 1e-9 for k, p in want.items())
+    assert all(pii.LEAST <= model.thresholds[k] <= 1 for k in (0, 3)) and model.thresholds[1] == model.thresholds[2] == 2.0
+
+
+def test_precision_and_recall_of_added_spans(docs_of):
+    """Planted formats that no exact pattern takes, beside look-alikes: documents of the second half are not learned from."""
+    rng = random.Random(8)
+
+    def card(n):
+        stem = "".join(str(rng.randint(0, 9)) for _ in range(n - 1))
+        return next(stem + d for d in "0123456789" if luhn(stem + d))
+
+    plain = {
+        "email": lambda i: f"please write to user{i % 89}.x@mail{i % 9}.example.com soon",
+        "ip": lambda i: f"the server address {i % 250}.{i % 91}.3.{i % 77} failed",
+        "card": lambda i: f"card number {card(16)} was charged",
+        "phone": lambda i: f"call me at +1 ({200 + i % 700}) 555-{1000 + 7 * i % 8999} today",
+    }
+    odd = {"email": lambda i: (f"user{i % 97}.x(at)mail{i % 9}.example(dot)com", "please write to {} soon"), "card": lambda i: (card(15), "card number {} was charged"), "phone": lambda i: (f"001 ({200 + i % 700}) 555-{1000 + 7 * i % 8999}", "call me at {} today")}
+    decoys = [lambda i: f"invoice {rng.randint(10**15, 10**16 - 1)} of the year", lambda i: f"version {i}.{i}.300.4000 came out", lambda i: f"in {1900 + i % 120} there were {rng.randint(10**6, 10**8)} of them"]
+    rows, truth = [], {}
+    for i in range(400):
+        rows.append((i, plain[rng.choice(list(plain))](i) if i % 2 else rng.choice(decoys)(i)))
+    for i in range(1000, 1090):
+        kind = rng.choice(list(odd))
+        text, frame = odd[kind](i)
+        rows.append((i, frame.format(text)))
+        truth[i] = f"{kind}:{frame.index('{')}:{frame.index('{') + len(text)}"
+    for i in range(2000, 2200):
+        text = rng.choice(decoys)(i)
+        rows.append((i, text))
+    got = {r["doc_id"]: set(r["s"].split(",")) - {""} for r in pii.find(docs_of(rows)).select("doc_id", pii.joined(F.col("_spans")).alias("s")).collect()}
+    found = sum(truth[i] in got[i] for i in truth)
+    wrong = sum(len(got[i] - set(base(dict(rows)[i]))) for i in got if i >= 2000 or i < 400)
+    assert found >= 0.85 * len(truth), (found, len(truth))
+    assert wrong <= 0.05 * found, wrong
+
+
+def test_many_spans_in_one_text(docs_of):
+    text = " ".join(f"a{i}@b.example 10.0.{i % 256}.7" for i in range(1500))
+    r = pii.add_spans(pii.annotate(docs_of([(1, text)]).select("doc_id", "text")), pii.Model()).select(pii.joined(F.col("_spans")).alias("s")).first()
+    assert r["s"] == ",".join(base(text))
+    clean = pii.redact(docs_of([(1, text), (2, "1.2.3.4@x.y and 4111111111111111@z.example")])).orderBy("doc_id").collect()
+    assert clean[0]["text"] == " ".join(["[EMAIL] [IP]"] * 1500) and clean[1]["text"] == "[EMAIL] and [EMAIL]"

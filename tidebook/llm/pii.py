@@ -2,18 +2,22 @@
 
 Exact patterns give the base spans (email, ip, card, phone), each kind leftmost and non-overlapping.
 Wider generators propose further, overlapping candidates for each kind: addresses with spelled-out
-signs, numbers in loose card and phone formats, colon-separated addresses. Boosted trees, trained on a
-bounded sample of candidates (about SAMPLE, by kind, label and hash) with the verified base spans as positive labels,
-score each candidate from its format and context. Base spans are a part of the true ones only, so the
-threshold of a kind is calibrated as HALF of the mean score that all its own verified candidates reach.
-Candidates above it that touch no base span, and no better candidate, are added; base spans stay.
+signs, numbers in loose card and phone formats, colon-separated addresses. Boosted trees score each
+candidate from its format and context. They are fitted on a bounded sample (about SAMPLE rows, by kind
+and label) of: verified candidates (those that touch a base span of their kind) and the same rewritten
+in formats that the exact patterns do not take, as positives; verified ones broken so that they are
+no address or number any more, and at a low weight all other candidates, as negatives. A kind's threshold is calibrated
+on the verified and rewritten candidates of documents kept out of the fit, all of them: all but MISSED
+of these pass it, and it is LEAST at least. Candidates above it that touch no base span, and no better
+candidate, are added; base spans stay.
 
 The trees are turned into SQL expressions, so that finding and redacting is a map over the rows: no
-exchange, no Python.
+exchange, no Python. Spans of a kind are sorted and apart, so what touches a span is found by bisection.
 
 Offsets are code points, end exclusive. Defined results: a null text has no spans; repeated rows each
-get a row; without verified spans to learn from nothing is added; an empty table gives an empty
-result; other columns are kept by redact() and ignored by find().
+get a row; equal scores go to the longer candidate, then to the earlier kind and the earlier start;
+without verified spans to learn from nothing is added; a very long text is one value, whose offsets are
+summed in blocks; an empty table gives an empty result; other columns are kept by redact() and ignored by find().
 """
 
 from __future__ import annotations
@@ -27,9 +31,13 @@ from tidebook.llm.common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
-TREES, DEPTH = 8, 3
-HALF = 0.5
+TREES, DEPTH, RATE = 16, 4, 0.4
+KEPT_OUT = 4  # one in so many documents is left out of the fit, to calibrate on
+MISSED = 0.05  # share of the calibrating positives that a threshold lets go
+LEAST = 0.5  # the lowest threshold
+UNSURE = 0.1  # weight of a candidate that is not verified, which may be personal data all the same
 CONTEXT = 24  # characters of left context that features see
+BLOCK = 256  # values that a running sum or maximum takes at once
 
 # Possessive and look-behind forms of the contract's patterns: same matches, linear time and no deep recursion.
 BASE = {
@@ -39,7 +47,7 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 WIDE = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]{1,64}+(?:@|[ ]?[\[(](?:at|AT)[\])][ ]?)[A-Za-z0-9-]++(?:(?:\.|[ ]?[\[(](?:dot|DOT)[\])][ ]?)[A-Za-z0-9-]++)*+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++(?:@|[ ]?[\[(](?:at|AT)[\])][ ]?)[A-Za-z0-9-]++(?:(?:\.|[ ]?[\[(](?:dot|DOT)[\])][ ]?)[A-Za-z0-9-]++)*+",
     "ip": r"(?<![0-9A-Za-z.:])(?:[0-9]{1,4}(?:\.[0-9]{1,4}){3,5}+|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}+)(?![0-9A-Za-z])",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![ -]?[0-9])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+|00)?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}+(?![0-9A-Za-z])",
@@ -59,25 +67,52 @@ WORDS = {  # fixed values: context words of each kind
 _SPAN = "struct<s:bigint,e:bigint,m:string,l:string,r:string>"
 
 
+def _running(values: Column, most: bool = False) -> Column:
+    """Running sums, or maxima, of an array of longs, in blocks, so that long arrays are not copied at each step."""
+    both = (lambda a, b: F.greatest(a, b)) if most else (lambda a, b: a + b)
+    none = F.expr("cast(array() as array<bigint>)")
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+
+    def add(acc, x):
+        now = both(acc["at"], x)
+        return F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out"))
+
+    scan = lambda part: F.aggregate(part, start, add, lambda acc: acc["out"])
+    n = F.size(values)
+    firsts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(BLOCK))).otherwise(F.expr("cast(array() as array<int>)"))
+    parts = F.transform(firsts, lambda at: scan(F.slice(values, at, F.lit(BLOCK))))
+    ends = scan(F.transform(parts, lambda p: F.element_at(p, -1)))
+    before = F.concat(F.array(F.lit(0).cast("bigint")), ends)
+    return F.flatten(F.transform(parts, lambda p, k: F.transform(p, lambda x: both(x, F.get(before, k)))))
+
+
 def _spans(text: Column, pattern: str, context: bool) -> Column:
     """Leftmost non-overlapping matches as array<struct<s,e,m,l,r>>: offsets, match, left and right context."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.split(text, pattern, -1)
-    first = F.slice(parts, 1, F.size(found))
-    rest = F.slice(parts, 2, F.size(found))
+    steps = F.transform(found, lambda m, i: (F.length(F.get(parts, i)) + F.length(m)).cast("bigint"))
+
+    def span(end, i):
+        m = F.get(found, i)
+        left = F.substring(F.get(parts, i), -CONTEXT, CONTEXT) if context else F.lit("")
+        right = F.substring(F.get(parts, i + 1), 1, 8) if context else F.lit("")
+        return F.struct((end - F.length(m)).alias("s"), end.alias("e"), m.alias("m"), left.alias("l"), right.alias("r"))
+
     none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    return F.when(F.size(found) > 0, F.transform(_running(steps), span)).otherwise(none)
 
-    def add(acc, x):
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.length(x["m"])
-        left = F.substring(x["p"], -CONTEXT, CONTEXT) if context else F.lit("")
-        right = F.substring(x["q"], 1, 8) if context else F.lit("")
-        span = F.struct(s.cast("bigint").alias("s"), e.cast("bigint").alias("e"), x["m"].alias("m"), left.alias("l"), right.alias("r"))
-        return F.struct(e.cast("bigint").alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    zipped = F.arrays_zip(found.alias("m"), first.alias("p"), rest.alias("q"))
-    return F.aggregate(zipped, zero, add, lambda acc: acc["out"])
+def _below(spans: Column, limit: Column, of: str) -> Column:
+    """How many of the sorted spans have their start or end (of) before or at limit's side, by bisection."""
+    steps = F.expr("array(" + ",".join(str(1 << k) for k in reversed(range(27))) + ")")
+    less = (lambda x: x["s"] < limit) if of == "s" else (lambda x: x["e"] <= limit)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(less(F.get(spans, at + step - 1)), at + step).otherwise(at))
+
+
+def _touching(spans: Column, c: Column) -> Column:
+    """Those of the sorted spans, which are apart from each other, that share a character with c."""
+    first = _below(spans, c["s"], "e")
+    return F.slice(spans, first + 1, F.greatest(_below(spans, c["e"], "s") - first, F.lit(0)))
 
 
 def _digits(x: Column) -> Column:
@@ -108,13 +143,12 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _features(kind: str, x: Column) -> Column:
-    """Format and context features of a candidate, as array<double>; the verifying checks are left out."""
-    m, left, right = x["m"], x["l"], x["r"]
-    n = F.length(_digits(m))
-    near = F.lower(left)
+def _features(k: Column, m: Column, left: Column, right: Column) -> Column:
+    """Format and context features of a candidate m of kind number k, as array<double>."""
+    digits, near = _digits(m), F.lower(left)
+    n = F.length(digits)
     values = [
-        *[F.lit(1.0 if kind == k else 0.0) for k in KINDS],
+        *[k == i for i in range(len(KINDS))],
         F.length(m),
         n,
         n / F.length(m),
@@ -123,33 +157,60 @@ def _features(kind: str, x: Column) -> Column:
         m.startswith("+"),
         F.length(F.regexp_replace(m, r"[^.]", "")),
         F.length(F.regexp_replace(m, r"[^:]", "")),
+        m.rlike(r"(?i)(?:@|[\[(]at[\])]).*(?:\.|[\[(]dot[\])])"),
+        m.rlike(r"(?i)[\[(](?:at|dot)[\])]"),
+        n.between(13, 19) & _luhn(digits),
+        m.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.|$)){4}$"),
         left.rlike(r"[A-Za-z0-9]$"),
         left.rlike(r"[\"'=/]$"),
         right.rlike(r"^[A-Za-z0-9]"),
         right.rlike(r"^[\"'=/%]"),
-        *[near.rlike(rf"\b(?:{WORDS[k]})") for k in KINDS],
+        *[near.rlike(rf"\b(?:{WORDS[kind]})") for kind in KINDS],
     ]
-    return F.array(*[v.cast("double") for v in values])
+    return F.array(*[F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
+
+
+def _rewritten(k: Column, m: Column) -> Column:
+    """Other formats (label 1) and broken forms (label 0) of a verified candidate, as array<struct<m,label>>."""
+    digits = _digits(m)
+    stem = F.substring(digits, F.lit(1), F.lit(14))
+    check = F.expr("array('0','1','2','3','4','5','6','7','8','9')")
+    amex = F.concat(stem, F.element_at(F.filter(check, lambda d: _luhn(F.concat(stem, d))), 1))
+    wrong = F.concat(F.substring(digits, F.lit(1), F.length(digits) - 1), ((F.substring(digits, -1, 1).cast("int") + 1) % 10).cast("string"))
+    forms = {
+        "email": ([F.regexp_replace(m, "@", "(at)"), F.regexp_replace(F.regexp_replace(m, "@", "(at)"), r"\.(?=[A-Za-z0-9-]+$)", "(dot)"), F.regexp_replace(F.regexp_replace(m, "@", " [at] "), r"\.(?=[A-Za-z0-9-]+$)", " [dot] ")], [F.regexp_extract(m, r"^[^@(\[]*@?[A-Za-z0-9-]+", 0)]),
+        "ip": ([F.regexp_replace(m, r"(?<![0-9])(?=[0-9]\.)", "00")], [F.regexp_replace(m, "^[0-9]+", "999"), F.concat(m, F.lit(".1.2"))]),
+        "card": ([F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1 "), amex], [wrong]),
+        "phone": ([F.regexp_replace(m, r"^[+]", ""), F.regexp_replace(m, r"^[+]", "00"), F.regexp_replace(m, "[ ().-]+", "-")], []),
+    }
+    out = F.expr("cast(array() as array<struct<m:string,label:double>>)")
+    for i, kind in enumerate(KINDS):
+        made = [F.struct(x.alias("m"), F.lit(float(y)).alias("label")) for y, xs in zip((1, 0), forms[kind]) for x in xs]
+        out = F.when(k == i, F.array(*made)).otherwise(out)
+    return out
+
+
+def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with, for each kind k, _b<k> (its base spans: s, e) and _c<k> (its candidates: s, e, m, l, r, whether verified)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    for k, kind in enumerate(KINDS):
+        docs = _of_kind(docs, text, k, kind)
+    return docs
 
 
-def _of_kind(text: Column, k: int, kind: str) -> tuple[Column, Column]:
-    """The base spans and the candidates of one kind."""
+def _of_kind(docs: DataFrame, text: Column, k: int, kind: str) -> DataFrame:
     maybe = text.rlike(MAYBE[kind])
     none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    at = lambda x: (F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"))
     exact = F.when(maybe, F.filter(_spans(text, BASE[kind], False), lambda x: _valid(kind, x["m"]))).otherwise(none)
+    docs = docs.withColumn(f"_b{k}", F.transform(exact, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
     wide = F.when(maybe, _spans(text, WIDE[kind], True)).otherwise(none)
-    return F.transform(exact, lambda x: F.struct(*at(x))), F.transform(wide, lambda x: F.struct(*at(x), _features(kind, x).alias("f")))
+    verified = lambda x: (F.size(_touching(F.col(f"_b{k}"), x)) > 0).alias("y")
+    return docs.withColumn(f"_c{k}", F.transform(wide, lambda x: F.struct(*[x[c].alias(c) for c in ("s", "e", "m", "l", "r")], verified(x))))
 
 
-def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with base (array of kind order, s, e) and cands (array of k, s, e, base flag, features)."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base, cands = zip(*[_of_kind(text, k, kind) for k, kind in enumerate(KINDS)])
-    out = docs.withColumn("_base", F.concat(*base)).withColumn("_wide", F.concat(*cands))
-    touched = lambda c: F.exists(F.col("_base"), lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]) & (b["k"] == c["k"]))
-    marked = F.transform("_wide", lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e"), touched(c).alias("y"), c["f"].alias("f")))
-    return out.withColumn("_cands", marked).drop("_wide")
+def _numbered(spans: str, k: int, *fields: str) -> Column:
+    """Spans with the number of their kind before the fields."""
+    return F.transform(spans, lambda x: F.struct(F.lit(k).alias("k"), *[x[c].alias(c) for c in fields]))
 
 
 class Model:
@@ -169,56 +230,95 @@ def _tree(node) -> str:
     return f"CASE WHEN x.f[{cut.featureIndex()}] <= {cut.threshold()!r}D THEN {_tree(node.leftChild())} ELSE {_tree(node.rightChild())} END"
 
 
+def examples(annotated: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(fold, k, label, trust, f): candidates as found, and the rewritten forms of verified ones; fold 0 is kept out of the fit."""
+    marked = [_numbered(f"_c{k}", k, *"smlry") for k in range(len(KINDS))]
+    every = annotated.select(F.col(id_col).alias("id"), F.explode(F.concat(*marked)).alias("x"))
+    own = F.array(F.struct(F.col("x.m").alias("m"), F.col("x.y").cast("double").alias("label")))
+    forms = F.when(F.col("x.y"), F.concat(own, _rewritten(F.col("x.k"), F.col("x.m")))).otherwise(own)
+    every = every.select("id", "x", F.posexplode(forms).alias("form", "v"))
+    fold = F.pmod(F.xxhash64("id"), F.lit(KEPT_OUT))
+    return every.select(
+        fold.alias("fold"), F.col("x.k").alias("k"), F.col("v.label").alias("label"), F.when((F.col("form") == 0) & ~F.col("x.y"), UNSURE).otherwise(1.0).alias("trust"), F.xxhash64("id", "x.s", "x.k", "form").alias("draw"),
+        _features(F.col("x.k"), F.col("v.m"), F.col("x.l"), F.col("x.r")).alias("f"),
+    )
+
+
 def train(annotated: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit the trees on about sample candidates of a written, annotated table; calibrate on all of them.
+    """Fit the trees on about sample examples of a written, annotated table; calibrate on all that are kept out.
 
     The sample is drawn by kind and label, so that no rare one vanishes, and weighted back to the whole.
     """
-    every = annotated.select(F.col(id_col).alias("id"), F.explode("_cands").alias("x"))
-    sizes = {(r["k"], r["y"]): r["n"] for r in every.groupBy(F.col("x.k").alias("k"), F.col("x.y").alias("y")).agg(F.count("*").alias("n")).collect()}
-    n = sum(sizes.values())
-    if not n:
-        return Model()
+    every = examples(annotated, id_col)
+    sizes = {(r["k"], r["label"]): r["n"] for r in every.filter("fold <> 0").groupBy("k", "label").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        every = every.withColumn("fold", F.lit(1))
+        sizes = {(r["k"], r["label"]): r["n"] for r in every.groupBy("k", "label").agg(F.count("*").alias("n")).collect()}
     rate = F.lit(1.0)
-    if n > sample:
-        for (k, y), m in sizes.items():
-            rate = F.when((F.col("x.k") == k) & (F.col("x.y") == y), min(1.0, sample / len(sizes) / m)).otherwise(rate)
-    rows = every.withColumn("rate", rate).filter(F.pmod(F.xxhash64("id", "x.s", "x.k"), F.lit(1 << 40)) < F.col("rate") * (1 << 40))
-    rows = materialize(rows.select("x", F.col("x.y").cast("double").alias("label"), (1.0 / F.col("rate")).alias("weight")).coalesce(2), "pii-sample")
+    for (k, label), m in sizes.items():
+        rate = F.when((F.col("k") == k) & (F.col("label") == label), min(1.0, sample / len(sizes) / m)).otherwise(rate)
+    rows = every.filter("fold <> 0").withColumn("rate", rate).filter(F.pmod("draw", F.lit(1 << 40)) < F.col("rate") * (1 << 40))
+    rows = materialize(rows.select("f", "label", (F.col("trust") / F.col("rate")).alias("weight")).coalesce(2), "pii-sample")
     seen = {r["label"] for r in rows.select("label").distinct().collect()}
     if seen != {0.0, 1.0}:
-        return Model() if 1.0 not in seen else Model("1.0D", (0.0,) * len(KINDS))
-    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, featuresCol="features", labelCol="label", weightCol="weight")
-    fitted = gbt.fit(rows.select("label", "weight", array_to_vector("x.f").alias("features")))
+        return Model() if 1.0 not in seen else Model("1.0D", (LEAST,) * len(KINDS))
+    gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=RATE, seed=7, featuresCol="features", labelCol="label", weightCol="weight")
+    fitted = gbt.fit(rows.select("label", "weight", array_to_vector("f").alias("features")))
     weights = fitted.treeWeights
     java = fitted._java_obj.trees()
     margin = " + ".join(f"{w!r}D * ({_tree(java[i].rootNode())})" for i, w in enumerate(weights))
     model = Model(margin)
-    means = every.filter("x.y").groupBy(F.col("x.k").alias("k")).agg(F.avg(F.expr(model.probability("x"))).alias("p")).collect()
-    found = {r["k"]: r["p"] for r in means}
-    # A kind without verified spans has nothing to calibrate by and adds none.
-    model.thresholds = tuple(float(HALF * found[k]) if k in found else 2.0 for k in range(len(KINDS)))
+    score = F.expr(model.probability("x"))
+    right = every.filter("label = 1").select("k", (F.col("fold") == 0).alias("out"), F.struct("f").alias("x")).withColumn("p", score)
+    lows = {(r["k"], r["out"]): r["low"] for r in right.groupBy("k", "out").agg(F.percentile_approx("p", MISSED, 10_000).alias("low")).collect()}
+    # A kind that no document kept out has is calibrated on the others; one without verified spans adds none.
+    model.thresholds = tuple(max(LEAST, float(lows.get((k, True), lows.get((k, False), 2.0)))) for k in range(len(KINDS)))
     return model
 
 
 def add_spans(annotated: DataFrame, model: Model) -> DataFrame:
-    """annotated with _spans: base spans and the added ones, by kind and start."""
-    base = F.col("_base")
+    """annotated with _base and _spans (k, s, e): the base spans, and those with the added ones, by kind and start."""
+    kinds = range(len(KINDS))
+    out = annotated.withColumn("_base", F.array_sort(F.concat(*[_numbered(f"_b{k}", k, "s", "e") for k in kinds])))
     if model.margin is None:
-        return annotated.withColumn("_spans", F.array_sort(base))
-    cut = "array(" + ",".join(f"{t!r}D" for t in model.thresholds) + ")"
-    p = model.probability("c")
-    scored = F.expr(
-        f"filter(transform(_cands, c -> named_struct('k', c.k, 's', c.s, 'e', c.e, 'p', {p})), "
-        f"c -> c.p >= {cut}[c.k] AND NOT exists(_base, b -> b.s < c.e AND c.s < b.e))"
-    )
-    # Of candidates that touch, the best stays: higher score, then longer, then earlier kind.
-    best = F.expr(
-        "filter(_scored, c -> NOT exists(_scored, d -> d.s < c.e AND c.s < d.e AND "
-        "struct(d.p, d.e - d.s, -d.k, -d.s) > struct(c.p, c.e - c.s, -c.k, -c.s)))"
-    )
-    added = F.transform(best, lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e")))
-    return annotated.withColumn("_scored", scored).withColumn("_spans", F.array_sort(F.concat(base, added))).drop("_scored")
+        return out.withColumn("_spans", F.col("_base"))
+    for k in kinds:
+        out = out.withColumn(f"_f{k}", _free(k))
+        out = out.withColumn(f"_f{k}", F.expr(f"filter(transform(_f{k}, c -> named_struct('s', c.s, 'e', c.e, 'p', {model.probability('c')})), c -> c.p >= {model.thresholds[k]!r}D)"))
+    for k in kinds:
+        out = out.withColumn(f"_a{k}", _best(k))
+    added = [_numbered(f"_a{k}", k, "s", "e") for k in kinds]
+    return out.withColumn("_spans", F.array_sort(F.concat("_base", *added))).drop(*[f"_{c}{k}" for k in kinds for c in "fa"])
+
+
+def _free(k: int) -> Column:
+    """The candidates of a kind that touch no base span, with their features."""
+
+    def free(c):
+        touched = F.lit(False)
+        for j in range(len(KINDS)):
+            touched = touched | (F.size(_touching(F.col(f"_b{j}"), c)) > 0)
+        return ~c["y"] & ~touched
+
+    return F.transform(F.filter(f"_c{k}", free), lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _features(F.lit(k), c["m"], c["l"], c["r"]).alias("f")))
+
+
+def _best(k: int) -> Column:
+    """Of the scored candidates of all kinds that touch, the best one stays: higher score, then longer, then earlier kind and start."""
+
+    def value(c, j):
+        return F.struct(c["p"].alias("p"), (c["e"] - c["s"]).alias("n"), F.lit(-j).alias("k"), (-c["s"]).alias("s"))
+
+    def beaten_by(c, j):
+        return F.exists(_touching(F.col(f"_f{j}"), c), lambda d: value(d, j) > value(c, k))
+
+    def best(c):
+        beaten = F.lit(False)
+        for j in range(len(KINDS)):
+            beaten = beaten | beaten_by(c, j)
+        return ~beaten
+
+    return F.filter(f"_f{k}", best)
 
 
 def joined(spans: Column) -> Column:
@@ -235,22 +335,22 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with every span of text_col replaced by its kind in brackets; other columns are kept."""
-    seen = annotate(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    model = train(materialize(seen.filter(F.size("_cands") > 0).drop("text"), "pii-candidates"))
+    """docs with every span of text_col replaced by its kind in brackets, the earliest of those that overlap; other columns are kept."""
     # The row travels as one value, so that its other columns may have any names.
-    packed = docs.select(F.struct("*").alias("_row"), F.col(text_col).cast("string").alias("text"))
-    spans = add_spans(annotate(packed), model)
+    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = materialize(annotate(packed), "pii-candidates")
+    spans = add_spans(found, train(found.drop("_row", "text")))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     order = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    text = F.col("text")
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    spans = spans.withColumn("_order", order)
+    spans = spans.withColumn("_past", F.concat(F.array(F.lit(0).cast("bigint")), _running(F.transform("_order", lambda x: x["e"]), most=True)))
+    text, past = F.col("text"), F.col("_past")
 
-    def step(acc, x):
-        gap = F.greatest(F.lit(0).cast("bigint"), x["s"] - acc["at"]).cast("int")
-        new = F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), gap), F.when(x["s"] >= acc["at"], F.element_at(names, x["k"] + 1)).otherwise(""))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), new.alias("out"))
+    def piece(x, i):
+        """What lies between the spans before and this one, and its name unless it starts inside one of them."""
+        gap = F.greatest(F.lit(0).cast("bigint"), x["s"] - F.get(past, i)).cast("int")
+        return F.concat(F.substring(text, (F.get(past, i) + 1).cast("int"), gap), F.when(x["s"] >= F.get(past, i), F.element_at(names, x["k"] + 1)).otherwise(""))
 
-    cut = F.aggregate(order, zero, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    clean = F.when(F.size("_spans") > 0, cut).otherwise(text)
+    rest = F.substring(text, (F.element_at("_past", -1) + 1).cast("int"), F.lit(2**31 - 1))
+    clean = F.when(F.size("_order") > 0, F.concat(F.array_join(F.transform("_order", piece), ""), rest)).otherwise(text)
     return spans.select(F.col("_row").withField(text_col, clean).alias("_row")).select("_row.*")

@@ -13,7 +13,8 @@ escaped get one more), so that no text can forge a turn and unescaping restores
 Defined results: a null text or role formats as the empty one; rows of equal turn are ordered by role,
 then text, and all kept; rows of a null conv_id form one conversation; a message whose parent is null
 or unknown is a root; messages on a cycle reach no root and are in no conversation; ties of branch
-score go to the smallest leaf id; an empty table gives an empty result; other columns are ignored.
+score go to the smallest leaf id; a
+conversation, however long, is one value; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from tidebook.llm.common import global_index, materialize
 
 START, END = "<|im_start|>", "<|im_end|>"
 BLOCK = 256  # turns gathered at once on the way to one conversation
-MAX_ROUNDS = 40  # pointers then reach 2**40 messages up
 TRAINED = "assistant"
 
 _TAILS = r"(/?s>|/?INST\]|/?SYS>>|<SYS>>|</SYS>>|unk>|pad>|\|[A-Za-z0-9_]+\|>)"
@@ -104,9 +104,9 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     # Pointers that have reached a root rest; only the others are joined in the next round.
     ended = ["up IS NULL", "up IS NOT NULL"]
     rooted, moving, levels = base.filter(ended[0]), base.filter(ended[1]), []
-    for _ in range(MAX_ROUNDS):
-        if moving.isEmpty():
-            break
+    # A branch has no more messages than there are: pointers that reach further up are on a cycle.
+    n = base.count()
+    while 1 << len(levels) <= n and not moving.isEmpty():
         levels.append(moving.select(F.col("node").alias("at"), F.col("up").alias("above")))
         far = rooted.union(moving).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
         both = moving.join(far, "up").select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("total") + F.col("total2")).alias("total"))

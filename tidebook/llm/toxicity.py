@@ -4,14 +4,18 @@ Texts are folded (lower case, accents off, homoglyphs and digit substitutions un
 matched with one Aho-Corasick automaton, hits inside an exception phrase are void, and the summed
 weights are normalised by length before a logistic curve turns them into a score from 0 to 1.
 
-The lexicon holds word beginnings and whole words. Their weights, the exception phrases and the curve
-are learned from a bounded sample of labelled rows (SAMPLE_TOXIC and SAMPLE_CLEAN rows, lowest hash
-of the id first); without usable labels a small fixed lexicon is used. Labels, language, source and
+The lexicon holds word beginnings and whole words: all whose share among toxic texts is above that among
+clean ones by SURE standard errors of the log odds and a factor of exp(ODDS) at least. Exception phrases
+are words, alone or with the word before or after, that hold a lexicon entry and yet are found more often
+in clean texts. Weights, phrases and the curve are learned from a bounded sample of labelled rows
+(SAMPLE_TOXIC and SAMPLE_CLEAN rows, lowest hash of the id first), all of whose words count; without
+usable labels every text has one and the same score, below the threshold. Labels, language, source and
 id never enter a score.
 
 Defined results: a null text scores as the empty one; equal texts score equally; labels that disagree
-on a doc_id count as toxic; a document without words has no hits; an empty table gives an empty
-result; other columns are kept.
+on a doc_id count as toxic; a document without words has no hits; a very long text is one value, matched
+in one pass; an empty table gives an empty result; other columns are kept, but one of the name of the
+new column is replaced (score() takes another name for it).
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -33,7 +39,9 @@ from tidebook.llm.common import fold, materialize
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
 PREFIX = range(3, 9)  # lengths of word beginnings that may enter the lexicon
-CANDIDATES = 1000  # entries that the weights are fitted over
+SURE = 2.5  # standard errors of its log odds that an entry stands out by
+ODDS = 1.5  # log odds that an entry has at least
+SEEN = 3  # clean texts that an exception phrase is found in at least
 THRESHOLD = 0.3
 BATCH = 2000  # rows a step of a Python worker
 
@@ -47,10 +55,6 @@ HOMOGLYPHS = {
 # Digits and signs read as letters; the signs only between letters.
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 SIGNS = {"@": "a", "$": "s", "!": "i", "|": "l"}
-# The lexicon and exception phrases used where no labels can be learned from.
-DEFAULT_LEXICON = {" idiot": 3.0, " moron": 3.0, " stupid": 2.5, " worthless": 2.0, " disgusting": 2.0, " pathetic": 2.0, " loser": 2.5, " scum": 2.5}
-DEFAULT_EXCEPTIONS = (" scumble", " stupidly simple ")
-
 _SIGN = re.compile(r"(?<=[^\W\d_])[@$!|](?=[^\W\d_])")
 
 
@@ -81,8 +85,8 @@ def fold_text(text: str | None) -> str:
 class Model:
     """What a score needs: entries with weights, exception phrases, and the curve's coefficients."""
 
-    lexicon: dict[str, float] = field(default_factory=lambda: dict(DEFAULT_LEXICON))
-    exceptions: tuple[str, ...] = DEFAULT_EXCEPTIONS
+    lexicon: dict[str, float] = field(default_factory=dict)
+    exceptions: tuple[str, ...] = ()
     curve: tuple[float, float, float] = (-3.0, 1.5, 1.0)
 
     def automaton(self):
@@ -96,8 +100,8 @@ class Model:
         return out
 
 
-def hits(automaton, folded: str) -> list[tuple[str, float]]:
-    """(entry, weight) of every lexicon match that no exception phrase covers."""
+def spots(automaton, folded: str) -> list[tuple[int, int, str, float]]:
+    """(start, end, entry, weight) of every lexicon match that no exception phrase covers."""
     if not len(automaton):
         return []
     found, void = [], []
@@ -107,8 +111,16 @@ def hits(automaton, folded: str) -> list[tuple[str, float]]:
         else:
             found.append((end - size, end, word, weight))
     if void:
-        found = [h for h in found if not any(a <= h[0] and h[1] <= b for a, b in void)]
-    return [(w, x) for _, _, w, x in found]
+        void.sort()
+        starts = [a for a, _ in void]
+        reach = list(accumulate((b for _, b in void), max))
+        found = [h for h in found if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
+    return found
+
+
+def hits(automaton, folded: str) -> list[tuple[str, float]]:
+    """(entry, weight) of every lexicon match that no exception phrase covers."""
+    return [(w, x) for _, _, w, x in spots(automaton, folded)]
 
 
 def measures(found: list[tuple[str, float]], n_words: int) -> tuple[float, float]:
@@ -118,25 +130,37 @@ def measures(found: list[tuple[str, float]], n_words: int) -> tuple[float, float
     return math.log1p(max(0.0, once)), math.log1p(100.0 * max(0.0, every) / max(1, n_words))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float, steps: int, positive: bool) -> np.ndarray:
-    """Weighted logistic regression by accelerated gradient steps; the last column is the free intercept."""
-    beta = np.zeros(x.shape[1], dtype=np.float64)
+def _logistic(times, back, size: float, columns: int, y: np.ndarray, w: np.ndarray, l2: float, steps: int) -> np.ndarray:
+    """Weighted logistic regression by accelerated gradient steps; weights are not negative, the last is the free intercept.
+
+    times(beta) and back(residual) are products with the matrix, size the largest squared norm of its rows.
+    """
+    beta = np.zeros(columns, dtype=np.float64)
     look, t = beta.copy(), 1.0
     total = w.sum()
-    rate = 4.0 / (float(np.max(np.einsum("ij,ij->i", x, x), initial=1.0)) + l2)
-    ridge = np.full(x.shape[1], l2 / total)
+    rate = 4.0 / (size + l2)
+    ridge = np.full(columns, l2 / total)
     ridge[-1] = 0.0
     for _ in range(steps):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ look, -30, 30)))
-        step = look - rate * (x.T @ (w * (p - y)) / total + ridge * look)
-        if positive:
-            step[:-1] = np.maximum(step[:-1], 0.0)
+        p = 1.0 / (1.0 + np.exp(-np.clip(times(look), -30, 30)))
+        step = look - rate * (back(w * (p - y)) / total + ridge * look)
+        step[:-1] = np.maximum(step[:-1], 0.0)
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         look = step + (t - 1) / t_next * (step - beta)
         beta, t = step, t_next
     return beta
 
 
+def _phrases(folded: str, start: int, end: int) -> list[str]:
+    """The word around a match, alone, with the word before it and with the one after it."""
+    lo, hi = folded.rfind(" ", 0, start + 2) + 1, folded.find(" ", max(end, start + 2))
+    word = folded[lo:hi]
+    before, after = folded[:lo].rstrip(" "), folded[hi:].lstrip(" ")
+    left = before[before.rfind(" ") + 1 :]
+    right = after[: after.find(" ")]
+    return [f" {word} ", *([f" {left} {word} "] if left else []), *([f" {word} {right} "] if right else [])]
+
+
 def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn a Model from the labelled rows for which the column keep (over doc_id) holds."""
     marked = (
@@ -163,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = set()
                 for word in set(fold_text(text).split()):
-                    found.add(f" {word[:60]} ")
+                    found.add(f" {word} ")
                     found.update(" " + word[:k] for k in PREFIX if k <= len(word))
                 for f in found:
                     seen.setdefault(f, [0, 0])[y] += 1
@@ -172,23 +196,36 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
                 seen = {}
         yield _counted(seen)
 
-    counted = rows.mapInArrow(features, "f string, neg bigint, pos bigint").groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    summed = lambda df: df.groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
+    counted = summed(rows.mapInArrow(features, "f string, neg bigint, pos bigint"))
     n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     odds = F.log((F.col("pos") + 0.5) / (n1 + 1.0)) - F.log((F.col("neg") + 0.5) / (n0 + 1.0))
-    counted = materialize(counted.withColumn("odds", odds).filter(F.col("pos") + F.col("neg") >= 3), "toxic-features")
-    least = max(3, n1 // 400)
-    top = counted.filter((F.col("pos") >= least) & (F.col("odds") > 1.5)).orderBy((F.col("odds") * F.sqrt("pos")).desc(), "f").limit(4 * CANDIDATES).collect()
+    error = F.sqrt(1.0 / (F.col("pos") + 0.5) + 1.0 / (F.col("neg") + 0.5))
+    # The sample is bounded, and so are the words of it that stand out.
+    top = counted.withColumn("odds", odds).filter((F.col("odds") > ODDS) & (F.col("odds") > SURE * error)).orderBy("f").collect()
     known = {r["f"]: r for r in top}
     # A beginning already says what its longer forms say unless those are cleaner.
-    names = [f for f, r in known.items() if not any((s := known.get(f[:k])) is not None and s["neg"] <= r["neg"] for k in range(4, len(f)))][:CANDIDATES]
+    names = [f for f, r in known.items() if not any((s := known.get(f[:k])) is not None and s["neg"] <= r["neg"] for k in range(4, len(f)))]
     if not names:
         return Model()
-    heads = F.broadcast(docs.sparkSession.createDataFrame([(x,) for x in names if not x.endswith(" ")] or [("",)], "head string"))
-    bad = counted.filter(F.col("f").endswith(" ") & (F.col("odds") < 0) & (F.col("neg") >= 3)).join(heads, F.col("f").startswith(F.col("head")) & (F.col("head") != ""))
-    exceptions = tuple(r["f"] for r in bad.select("f", "neg").distinct().orderBy(F.desc("neg"), "f").limit(CANDIDATES).collect())
+    bare = Model({x: 1.0 for x in names})
+
+    def phrases(batches):
+        auto, seen = bare.automaton(), {}
+        for b in batches:
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                folded = fold_text(text)
+                for f in {p for lo, hi, _, _ in spots(auto, folded) for p in _phrases(folded, lo, hi)}:
+                    seen.setdefault(f, [0, 0])[y] += 1
+            if len(seen) > 400_000:
+                yield _counted(seen)
+                seen = {}
+        yield _counted(seen)
 
-    plain = Model({x: 1.0 for x in names}, exceptions)
+    around = summed(rows.mapInArrow(phrases, "f string, neg bigint, pos bigint")).withColumn("odds", odds)
+    exceptions = tuple(r["f"] for r in around.filter((F.col("odds") < 0) & (F.col("neg") >= SEEN)).orderBy("f").collect())
+    plain = Model(bare.lexicon, exceptions)
     at = {x: i for i, x in enumerate(names)}
 
     def matched(batches):
@@ -200,18 +237,19 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
                 got: dict[int, int] = {}
                 for w, _ in hits(auto, folded):
                     got[at[w]] = got.get(at[w], 0) + 1
-                found.append([v for kv in got.items() for v in kv])
+                found.append([v for kv in sorted(got.items()) for v in kv])
                 size.append(len(folded.split()))
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.list_(pa.int32())), pa.array(size, pa.int64())], names=["y", "found", "n"])
 
     sample_rows = rows.select("text", "y").mapInArrow(matched, "y int, found array<int>, n bigint").collect()  # SAMPLE_* rows of small numbers
     y = np.array([r["y"] for r in sample_rows], dtype=np.float64)
     weight = np.where(y == 1, counts[1] / max(1, n1), counts[0] / max(1, n0))
-    x = np.zeros((len(y), len(names) + 1), dtype=np.float32)
-    x[:, -1] = 1.0
-    for i, r in enumerate(sample_rows):
-        x[i, r["found"][::2]] = 1.0
-    beta = _logistic(x, y, weight, 1.0, 300, True)
+    # The matrix has a one for each entry found in a text, and one for the intercept.
+    found = [np.array([*r["found"][::2], len(names)], dtype=np.int64) for r in sample_rows]
+    col, row = np.concatenate(found), np.repeat(np.arange(len(y)), [len(f) for f in found])
+    times = lambda beta: np.bincount(row, beta[col], minlength=len(y))
+    back = lambda rest: np.bincount(col, rest[row], minlength=len(names) + 1)
+    beta = _logistic(times, back, max(map(len, found)), len(names) + 1, y, weight, 1.0, 300)
     lexicon = {w: float(round(b, 6)) for w, b in zip(names, beta) if b > 0.05}
     if not lexicon:
         return Model()
@@ -219,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
     for i, r in enumerate(sample_rows):
         pairs = [(names[k], lexicon[names[k]], c) for k, c in zip(r["found"][::2], r["found"][1::2]) if names[k] in lexicon]
         z[i, :2] = measures([(w, x) for w, x, c in pairs for _ in range(c)], r["n"])
-    curve = _logistic(z, y, weight, 1e-3, 4000, True)
+    curve = _logistic(lambda beta: z @ beta, lambda rest: z.T @ rest, float(np.max(np.einsum("ij,ij->i", z, z))), 3, y, weight, 1e-3, 4000)
     return Model(lexicon, exceptions, (float(curve[2]), float(curve[0]), float(curve[1])))
 
 
@@ -237,10 +275,10 @@ def score_text(model: Model, automaton, text: str | None) -> float:
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, a + b * once + c * dense))))
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with a column score, in place of one of that name; the model (at most CANDIDATES entries) travels with the task."""
-    docs = docs.drop("score")
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+def score(docs: DataFrame, model: Model, text_col: str = "text", into: str = "score") -> DataFrame:
+    """docs with a column into, in place of one of that name; the model, bounded by the labelled sample, travels with the task."""
+    docs = docs.drop(into)
+    schema = StructType([*docs.schema.fields, StructField(into, DoubleType())])
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -249,11 +287,19 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             for lo in range(0, b.num_rows, BATCH):
                 part = b.slice(lo, BATCH)
                 s = pa.array([score_text(model, auto, t) for t in part.column(at).to_pylist()], pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, s], names=[*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, s], names=[*part.schema.names, into])
 
     return docs.mapInArrow(run, schema)
 
 
+def below(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs that score below the threshold, all columns kept whatever their names."""
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, model, text_col, name).filter(F.col(name) < THRESHOLD).select(*docs.columns)
+
+
 def held_out(id_col: str = "doc_id"):
     """True for the quarter of ids that labels are never learned from."""
     return fold(id_col, 4) == 2

@@ -20,7 +20,7 @@ MODEL = "piece_bpe_32k.model"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; labels teach the lexicon, none of them decides."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
-    return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.below(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

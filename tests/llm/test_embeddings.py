@@ -51,3 +51,43 @@ def test_empty_and_null_id(spark):
 def test_rotation_is_orthogonal():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(embedding_dedup.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_a_task_holds_its_own_chunk_only():
+    """Visitors many times the own vectors stream past: what is held does not grow, and links equal brute force."""
+    rng = np.random.default_rng(3)
+    dim, n, m = 16, 50, 4000
+    raw = np.concatenate([rng.normal(size=(n, dim)), np.repeat(rng.normal(size=(1, dim)), m, 0) + rng.normal(size=(m, dim)) * 0.02])
+    raw[:5] = raw[n] + rng.normal(size=(5, dim)) * 0.02
+    norm = np.linalg.norm(raw, axis=1)
+    own, probe = np.zeros((n + m, 1), dtype=np.int64), np.ones((n + m, 1, 1), dtype=np.int64)
+    cols = {"id": np.arange(n + m), "w": np.ones(n + m, dtype=np.int64), "role": np.array([0] * n + [1] * m), "table": np.zeros(n + m, dtype=np.int64), "group": np.zeros(n + m, dtype=np.int64), "own": own, "probe": probe, "raw": raw, "norm": norm, "x": raw / norm[:, None]}
+    work = embedding_dedup._Bucket(0.93)
+    work.own({k: x[:n] for k, x in cols.items()})
+    found = []
+    for lo in range(n, n + m, 100):
+        work.visit({k: x[lo : lo + 100] for k, x in cols.items()})
+        found += work.told(False)
+        assert len(work.home["id"]) == n and not work.parts and not work.out
+    found += work.told(True)
+    links = np.zeros(n + m, dtype=np.int64)
+    for ids, count, _ in found:
+        links[ids] += count
+    near = (cols["x"][:n] @ cols["x"].T >= 0.93) & (np.arange(n)[:, None] != np.arange(n + m)[None, :])
+    assert (links[:n] == near.sum(axis=1)).all() and (links[n:] == near[:, n:].sum(axis=0)).all()
+
+
+def test_recall_of_planted_pairs(spark):
+    """Pairs at a cosine of 0.93 to 0.95 among unrelated vectors: the hardest that must be found."""
+    rng = np.random.default_rng(12)
+    n, dim = 1500, 64
+    a = rng.normal(size=(n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=(n, dim))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9301, 0.95, size=(n, 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * side
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(np.concatenate([a, b]))]
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert sum(got[n + i] == i for i in range(n)) >= 0.99 * n

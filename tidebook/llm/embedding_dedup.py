@@ -9,7 +9,7 @@ Every candidate pair is verified by its cosine in double precision.
 Exact copies collapse to one representative with a weight. Pairs are verified inside the task that
 holds a bucket, which emits one row a vector (its links here and its class here), never one row a pair;
 a pair that meets in several buckets counts in the first of them only, which both vectors' bucket lists
-tell. Large buckets are split into chunks, and each pair of chunks is one task's share.
+tell. Large buckets are split into chunks; a task holds one chunk, past which the others it meets stream.
 
 Defined results: vectors of different or null label, or of different length, are not compared; a vector
 that is null, empty, zero, or holds null or non-finite components links with nothing, and so does one
@@ -93,61 +93,96 @@ def _met_before(oi, pi, oj, pj, table: int) -> np.ndarray:
 
 
 class _Bucket:
-    """Vectors of one task's share of a bucket: links are counted and classes formed in place."""
-
-    def __init__(self, least: float, tables: int, probes: int):
-        self.least, self.tables, self.probes = least, tables, probes
-
-    def links(self, rows: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(id, linked weight, class id) for the rows that link here."""
-        ids, x, weight, role = rows["id"], rows["x"], rows["w"], rows["role"]
-        own, probe, table, group = rows["own"], rows["probe"], rows["table"], rows["group"]
-        home = np.flatnonzero(role == 0)
-        count = np.zeros(len(ids), dtype=np.int64)
-        a_all, b_all = [], []
-        step = max(1, (1 << 20) // max(1, len(ids)))
-        for at in range(0, len(home), step):
-            h = home[at : at + step]
-            i, j = np.nonzero(x[h] @ x.T >= self.least - 1e-9)
-            i = h[i]
-            keep = (ids[i] != ids[j]) & (group[i] == group[j]) & ((role[j] != 0) | (i < j))
+    """One task's share of a bucket: its own vectors are held, visitors stream past; links are counted, classes formed in place."""
+
+    def __init__(self, least: float):
+        self.least, self.parts, self.home, self.out = least, [], None, []
+
+    def own(self, rows: dict) -> None:
+        self.parts.append(rows)
+
+    def _settle(self) -> None:
+        if self.home is None:
+            self.home = {k: np.concatenate([p[k] for p in self.parts]) for k in self.parts[0]} if self.parts else None
+            self.parts = []
+            if self.home is not None:
+                self.count = np.zeros(len(self.home["id"]), dtype=np.int64)
+                self.lab = np.arange(len(self.home["id"]))
+                self._meet(self.home, True)
+
+    def visit(self, rows: dict) -> None:
+        self._settle()
+        if self.home is not None:
+            self._meet(rows, False)
+
+    def _meet(self, other: dict, same: bool) -> None:
+        """Count the links of the own vectors with others, in blocks of bounded size; a visitor's row goes out at once."""
+        home = self.home
+        step = max(1, (1 << 20) // max(1, len(home["id"])))
+        for at in range(0, len(other["id"]), step):
+            part = {k: x[at : at + step] for k, x in other.items()}
+            i, j = np.nonzero(home["x"] @ part["x"].T >= self.least - 1e-9)
+            keep = (home["id"][i] != part["id"][j]) & (home["group"][i] == part["group"][j])
+            if same:
+                keep &= i < j + at
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            exact = (rows["raw"][i] * rows["raw"][j]).sum(axis=1) / (rows["norm"][i] * rows["norm"][j]) >= self.least
+            exact = (home["raw"][i] * part["raw"][j]).sum(axis=1) / (home["norm"][i] * part["norm"][j]) >= self.least
             i, j = i[exact], j[exact]
-            fresh = ~_met_before(own[i], probe[i], own[j], probe[j], table)
+            table = int(home["table"][0])
+            fresh = ~_met_before(home["own"][i], home["probe"][i], part["own"][j], part["probe"][j], table)
             # A pair that probes both ways meets in two buckets of this table: the smaller bucket counts it.
-            visit = role[j] == 2
-            oi, oj = own[i, table], own[j, table]
-            back = (probe[i, table] == oj[:, None]).any(axis=1)
-            fresh &= ~(visit & ((oi == oj) | (back & (oj < oi))))
+            oi, oj = home["own"][i, table], part["own"][j, table]
+            back = (home["probe"][i, table] == oj[:, None]).any(axis=1)
+            fresh &= ~((part["role"][j] == 2) & ((oi == oj) | (back & (oj < oi))))
             i, j = i[fresh], j[fresh]
-            np.add.at(count, i, weight[j])
-            np.add.at(count, j, weight[i])
-            a_all.append(i)
-            b_all.append(j)
-        if not a_all:
-            none = np.zeros(0, dtype=np.int64)
-            return none, none, none
-        a, b = np.concatenate(a_all), np.concatenate(b_all)
-        order = np.argsort(ids, kind="stable")
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        root = local_roots(len(ids), place[a], place[b])
-        hit = np.flatnonzero(count)
-        return ids[hit], count[hit], ids[order[root[place[hit]]]]
-
-
-def _columns(batch) -> dict:
-    """A batch of dealt rows as arrays; vectors are double precision."""
-    n = batch.num_rows
+            if not len(i):
+                continue
+            np.add.at(self.count, i, part["w"][j])
+            if same:
+                np.add.at(self.count, j + at, home["w"][i])
+                self._join(i, j + at)
+                continue
+            first = np.full(len(part["id"]), len(home["id"]))
+            np.minimum.at(first, j, i)
+            links = np.zeros(len(part["id"]), dtype=np.int64)
+            np.add.at(links, j, home["w"][i])
+            hit = np.unique(j)
+            self.out.append((part["id"][hit], links[hit], home["id"][first[hit]]))
+            self._join(i, first[j])
+
+    def _join(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Merge the classes of the own vectors i and j."""
+        self.lab = local_roots(len(self.lab), np.concatenate([np.arange(len(self.lab)), i]), np.concatenate([self.lab, j]))
+
+    def told(self, last: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(id, linked weight, id of one of its class) of the visitors that linked since, and at last of the own vectors."""
+        out, self.out = self.out, []
+        if last:
+            self._settle()
+            if self.home is not None:
+                hit = np.flatnonzero(self.count)
+                out.append((self.home["id"][hit], self.count[hit], self.home["id"][self.lab[hit]]))
+        return [p for p in out if len(p[0])]
+
+
+def _columns(batch, tables: int, probes: int):
+    """Runs of a batch's rows of one task and role kind as (task, visitors, arrays); vectors are double precision."""
     get = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
     flat = lambda name: batch.column(name).flatten().to_numpy(zero_copy_only=False)
-    return {
-        "task": get("task"), "id": get("id"), "w": get("w"), "role": get("role"), "table": get("table"), "group": get("group"), "dim": get("dim"),
-        "own": flat("own").reshape(n, -1), "probe": flat("probe").reshape(n, -1), "flat": flat("v"),
-    }
+    n = batch.num_rows
+    task, role, dim = get("task"), get("role"), get("dim")
+    cols = {"id": get("id"), "w": get("w"), "role": role, "table": get("table"), "group": get("group"), "own": flat("own").reshape(n, tables), "probe": flat("probe").reshape(n, tables, probes)}
+    values, at = flat("v"), np.concatenate([[0], np.cumsum(dim)])
+    cut = np.flatnonzero((np.diff(task) != 0) | (np.diff(role > 0) != 0)) + 1
+    for lo, hi in zip([0, *cut], [*cut, n]):
+        if lo == hi:
+            continue
+        raw = values[at[lo] : at[hi]].astype(np.float64).reshape(hi - lo, int(dim[lo]))
+        raw = raw / np.abs(raw).max(axis=1, keepdims=True)
+        norm = np.linalg.norm(raw, axis=1)
+        yield task[lo], role[lo] > 0, {k: x[lo:hi] for k, x in cols.items()} | {"raw": raw, "norm": norm, "x": raw / norm[:, None]}
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES, chunk: int = CHUNK) -> DataFrame:
@@ -184,47 +219,39 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     )
     sizes = dealt.groupBy("bucket").agg(F.count_if(F.col("role") == 0).alias("homes"), F.count("*").alias("all")).filter("homes > 0 AND all > 1")
     sizes = sizes.select("bucket", F.ceil(F.col("homes") / chunk).cast("int").alias("n"))
-    # Only places where vectors meet are kept, and only then do the vectors themselves travel.
+    # Only places where vectors meet are kept, and only then do the vectors themselves travel. A chunk of a bucket's
+    # own vectors meets itself, the chunks of the half circle after it, and all vectors that probe the bucket.
+    own_part = F.col("role") == 0
     sent = (
         dealt.join(sizes, "bucket")
-        .withColumn("mine", F.when(F.col("role") == 0, F.pmod(F.xxhash64("id"), F.col("n"))).otherwise(F.lit(-1)).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.greatest(F.col("mine"), F.lit(0)), F.col("n") - 1)))
-        .select("id", "table", F.xxhash64("bucket", "part").alias("task"), F.when(F.col("role") == 2, 2).otherwise((F.col("mine") != F.col("part")).cast("int")).alias("role"))
+        .withColumn("mine", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+        .withColumn("far", F.explode(F.sequence(F.lit(0), F.when(own_part, F.floor(F.col("n") / 2)).otherwise(F.col("n") - 1).cast("int"))))
+        .withColumn("part", F.when(own_part, (F.col("mine") + F.col("far")) % F.col("n")).otherwise(F.col("far")))
+        .filter(~(own_part & (F.col("far") > 0) & (2 * F.col("far") == F.col("n")) & (F.col("mine") > F.col("part"))))
+        .select("id", "table", F.xxhash64("bucket", "part").alias("task"), F.when(own_part, (F.col("far") > 0).cast("int")).otherwise(2).alias("role"))
         .join(signed, "id")
     )
 
     def verify(batches):
-        work = _Bucket(least, tables, probes)
-        held: dict | None = None
-
-        def run(rows):
-            dim = int(rows["dim"][0])
-            raw = rows["flat"].astype(np.float64).reshape(-1, dim)
-            raw = raw / np.abs(raw).max(axis=1, keepdims=True)
-            norm = np.linalg.norm(raw, axis=1)
-            n = len(raw)
-            return work.links({"id": rows["id"], "w": rows["w"], "role": rows["role"], "group": rows["group"], "own": rows["own"], "probe": rows["probe"].reshape(n, tables, probes), "table": int(rows["table"][0]), "raw": raw, "norm": norm, "x": raw / norm[:, None]})
-
-        def emit(parts):
+        at, work = None, None
+
+        def emit(last):
+            parts = work.told(last)
             if parts:
-                cols = [np.concatenate([p[k] for p in parts]) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "links", "root"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[k] for p in parts]), pa.int64()) for k in range(3)], names=["id", "links", "root"])
 
         for b in batches:
-            rows = _columns(b)
-            if held is not None:
-                rows = {k: np.concatenate([held[k], rows[k]]) for k in rows}
-            edge = np.flatnonzero(np.diff(rows["task"])) + 1
-            starts, stops = [0, *edge], [*edge, len(rows["task"])]
-            at = np.concatenate([[0], np.cumsum(rows["dim"])])
-            cut = lambda lo, hi: {k: (x[at[lo] : at[hi]] if k == "flat" else x[lo:hi]) for k, x in rows.items()}
-            out = [run(cut(lo, hi)) for lo, hi in zip(starts[:-1], stops[:-1]) if hi - lo > 1]
-            yield from emit([p for p in out if len(p[0])])
-            held = cut(starts[-1], stops[-1])
-        if held is not None and len(held["task"]) > 1:
-            yield from emit([p for p in [run(held)] if len(p[0])])
-
-    found = sent.repartition("task").sortWithinPartitions("task").mapInArrow(verify, "id bigint, links bigint, root bigint")
+            for task, visitors, rows in _columns(b, tables, probes):
+                if task != at:
+                    if work is not None:
+                        yield from emit(True)
+                    at, work = task, _Bucket(least)
+                (work.visit if visitors else work.own)(rows)
+                yield from emit(False)
+        if work is not None:
+            yield from emit(True)
+
+    found = sent.repartition("task").sortWithinPartitions("task", "role").mapInArrow(verify, "id bigint, links bigint, root bigint")
     found = materialize(found, "emb-links")
     linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "emb-classes")
     degree = found.groupBy("id").agg(F.sum("links").alias("links"))

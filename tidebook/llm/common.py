@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,11 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where the session names none (as in tests)."""
+    """The folder of spark.checkpoint.dir; one of our own, gone at exit, only where a local session names none (as in tests)."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidebook-checkpoints-")
+        atexit.register(shutil.rmtree, folder, True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder
@@ -64,12 +69,14 @@ def global_index(df: DataFrame, keys: list[Column], name: str, into: str = "pos"
 HOT = 256  # a key is hot if it holds at least this fraction (1/HOT) of all rows: fewer than HOT keys can
 
 
-def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int | None = None) -> DataFrame:
     """Inner join of rows with a table of one row a key, n of rows each; hot keys are not dealt to one task.
 
     The at most HOT hot keys are broadcast; every key that is left holds less than 1/HOT of the rows.
+    total is the number of rows where the caller knows it.
     """
-    total = table.agg(F.sum(n)).first()[0] or 0
+    if total is None:
+        total = table.agg(F.sum(n)).first()[0] or 0
     is_hot = F.col(n) * HOT >= F.lit(total)
     hot = F.broadcast(table.filter(is_hot))
     cold = rows.join(hot.select(*keys), keys, "left_anti").join(table.filter(~is_hot), keys)
@@ -100,15 +107,16 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     written to the shared folder, and stops once the edge set no longer changes.
     """
 
-    def step(e: DataFrame, small: bool) -> DataFrame:
+    def step(e: DataFrame, small: bool, total: int) -> DataFrame:
         if small:
             both = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         else:
             both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        out = both.join(low, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        # The smallest node of a large class is a hub, whose edges are not dealt to one task.
+        out = join_hot(both, low, ["u"], "n", total)
         if small:
-            out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u"), F.col("m")))
+            out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         else:
             out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         return out.filter("a <> b").distinct()
@@ -120,7 +128,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     e = materialize(edges.select("a", "b").filter("a <> b").distinct(), name)
     seen = mark(e)
     while seen[0]:
-        e = materialize(step(step(e, False), True), name)
+        e = materialize(step(step(e, False, 2 * seen[0]), True, seen[0]), name)
         now = mark(e)
         if now == seen:
             break

@@ -4,35 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.scalar import ratio
 
-STATES = (  # fixed values: (state, condition, action), first that holds
-    ("complete", "done_p7 AND labels >= expected_labels", "none"),
-    ("labels_partial", "done_p6 AND labels > 0", "resume_p7"),
-    ("ready_for_labels", "done_p6", "run_p7"),
-    ("failed", "failed", "inspect"),
-    ("excursions_pending", "done_p5", "run_p6"),
-    ("sampling_pending", "done_p4", "run_p5"),
-    ("aggregates_pending", "done_p3", "run_p4"),
-    ("features_pending", "done_p2", "run_p3"),
-    ("snapshots_pending", "done_p1", "run_p2"),
-    ("input_only", "has_input", "run_p1"),
-    ("missing_input", "true", "fetch_input"),
-)
-
-
 def union_days(parts: list[DataFrame]) -> DataFrame:
     """All days' tables as one; columns that some lack are null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def best_per_group(df: DataFrame, by: list[str], value: str, order: list[str]) -> DataFrame:
-    """The row of the largest value in each group, the first by order on ties."""
+def best_per_group(df: DataFrame, by: list[str], value: str, order: list[str], n: int = 1) -> DataFrame:
+    """The n rows of the largest values in each group, the first by order on ties."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(value), *order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def top_features(ranks: DataFrame, item: str, n: int = 20) -> DataFrame:
+    """The n items of the lowest mean rank, the first by name on ties; a report, so a limit."""
+    return ranks.orderBy("mean_rank", item).limit(n)
 
 
 def mean_ranks(df: DataFrame, by: list[str], item: str, value: str) -> DataFrame:
@@ -104,21 +94,6 @@ def matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return flag.agg(F.count_if("_hit").alias("n_matched"), F.count_if(F.col("_hit").isNull()).alias("n_missing"))
 
 
-def phase_state(phases: DataFrame) -> DataFrame:
-    """phases with state and action: the first rule of STATES that holds for its flags."""
-    state: Column = F.lit(None).cast("string")
-    action: Column = F.lit(None).cast("string")
-    for name, rule, act in reversed(STATES):
-        state = F.when(F.expr(rule), name).otherwise(state)
-        action = F.when(F.expr(rule), act).otherwise(action)
-    return phases.withColumns({"state": state, "action": action})
-
-
-def queues(states: DataFrame, day: str = "day") -> DataFrame:
-    """By action: how many days wait for it, the first and the last of them."""
-    return states.groupBy("action").agg(F.count("*").alias("n_days"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
-
-
 def command_counts(events: DataFrame, by: list[str] | None = None) -> DataFrame:
     """By command: records, and those that end a batch."""
     return events.groupBy(*(by or []), "command_name").agg(F.count("*").alias("n"), F.count_if("end_of_batch").alias("n_end_of_batch"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import scalar
 from tidebook.functions.windows import rolling_time
-from tidebook.operators import aggregates, audit, book, buckets, excursions, features, fusion, labels, metrics, sampling, splits
+from tidebook.operators import aggregates, audit, book, buckets, daystate, excursions, features, fusion, labels, metrics, sampling, splits
 from tidebook.plans.views import BOOK, COMMANDS, CUSUM, DELTAS, LADDER, MIDS, SNAPSHOTS, TAPE, TRADES, with_views
 from tidebook.session import table
 from tidebook.sources import adapters
@@ -621,30 +621,81 @@ def union_days(spark: SparkSession, sf: str) -> DataFrame:
     return audit.union_days([t.filter("sign > 0").select("day", "seq", "k"), t.filter("sign < 0").select("day", "seq", "value")])
 
 
-_PHASES = "ph AS (SELECT day, count(*) > 0 AS has_input, max(k) >= 90 AS done_p1, max(value) > 100 AS done_p2, max(value) > 150 AS done_p3, max(value) > 180 AS done_p4, max(value) > 200 AS done_p5, max(value) > 250 AS done_p6, max(value) > 300 AS done_p7, count(*) FILTER (WHERE k = 99) AS labels, 4 AS expected_labels, min(value) < 0.02 AS failed FROM tape GROUP BY day)"
-
-
-def _phases(spark: SparkSession, sf: str) -> DataFrame:
-    top = F.max("value")
-    flags = {f"done_p{i}": top > v for i, v in zip(range(2, 8), (100, 150, 180, 200, 250, 300))}
-    return adapters.tape(spark, sf).groupBy("day").agg(
-        (F.count("*") > 0).alias("has_input"), (F.max("k") >= 90).alias("done_p1"), *[c.alias(n) for n, c in flags.items()],
-        F.count_if(F.col("k") == 99).alias("labels"), F.lit(4).alias("expected_labels"), (F.min("value") < 0.02).alias("failed"),
-    )
-
-
-def _case(which: int) -> str:
-    return "CASE " + " ".join(f"WHEN {s[1]} THEN '{s[which]}'" for s in audit.STATES) + " END"
-
-
-@query(with_views(TAPE, _PHASES) + f"SELECT day, {_case(0)} AS state, {_case(2)} AS action FROM ph")
+def _runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Invented runs, one an event: reach phases done, then perhaps a failure, with or without output, and lost outputs."""
+    t = adapters.tape(spark, sf).select("day", "seq")
+    reach, odd = F.col("seq") % 10, F.floor(F.col("seq") / 10) % 5
+    flags = {}
+    for k in range(1, 9):
+        flags[f"done{k}"] = reach >= k
+        flags[f"failed{k}"] = (odd == 1) & (reach + 1 == k)
+        flags[f"out{k}"] = ((reach >= k) & ~((odd == 2) & (k >= reach - 1))) | ((odd == 1) & (reach + 1 == k) & (F.floor(F.col("seq") / 50) % 2 == 0))
+    rest = {
+        "seconds": F.when(F.floor(F.col("seq") / 100) % 6 == 1, F.col("seq") * 37 % 5000),
+        "labels": F.when(reach >= 7, F.lit(3)).otherwise(F.floor(F.col("seq") / 600) % 4),
+        "sentinels": F.floor(F.col("seq") / 2400) % 4,
+        "files": F.col("seq") % 3,
+    }
+    return t.select("day", "seq", *[c.alias(n) for n, c in (flags | rest).items()])
+
+
+# Written out from the description of the states, without the rules of the operator.
+_RUNS = """r0 AS (SELECT day, seq, seq % 10 AS reach, (seq // 10) % 5 AS odd, (seq // 50) % 2 = 0 AS left_over FROM tape),
+r AS (SELECT day, seq, reach, odd,
+  list_transform(range(1, 9), lambda k: reach >= k) AS done, list_transform(range(1, 9), lambda k: odd = 1 AND reach + 1 = k) AS failed,
+  list_transform(range(1, 9), lambda k: (reach >= k AND NOT (odd = 2 AND k >= reach - 1)) OR (odd = 1 AND reach + 1 = k AND left_over)) AS out,
+  CASE WHEN (seq // 100) % 6 = 1 THEN seq * 37 % 5000 END AS seconds, CASE WHEN reach >= 7 THEN 3 ELSE (seq // 600) % 4 END AS labels, (seq // 2400) % 4 AS sentinels, seq % 3 AS files FROM r0),
+g AS (SELECT *, failed[1] AND NOT out[1] AND files = 0 AS empty,
+  list_max(list_filter(range(1, 9), lambda k: done[k] AND CASE WHEN k = 7 THEN labels > 0 ELSE out[k] END)) AS last_ok,
+  list_max(list_filter(range(1, 5), lambda k: failed[k] AND out[k])) AS broken FROM r),
+st AS (SELECT day, seq, out, labels, sentinels, last_ok, empty,
+  CASE WHEN seconds IS NOT NULL THEN CASE WHEN seconds > 3600 THEN 'hung' WHEN seconds > 600 THEN 'slow' ELSE 'running' END
+       WHEN empty AND NOT out[1] AND NOT out[5] AND NOT out[6] THEN 'no_input'
+       WHEN done[8] THEN 'done' WHEN labels = 3 AND sentinels = 3 THEN 'ready_p8'
+       WHEN out[6] THEN CASE WHEN labels + sentinels > 0 THEN 'needs_p7' ELSE 'ready_p7' END
+       WHEN out[5] THEN 'needs_p6'
+       WHEN broken IS NOT NULL THEN 'needs_p' || broken
+       WHEN done[3] AND out[3] AND (failed[4] OR NOT out[4]) THEN 'needs_p4'
+       WHEN done[2] AND out[2] AND (failed[3] OR NOT out[3]) THEN 'needs_p3'
+       WHEN out[1] AND NOT done[2] THEN 'needs_p2'
+       WHEN failed[1] THEN CASE WHEN empty THEN 'no_input' ELSE 'needs_p1' END
+       WHEN reach = 0 THEN 'unknown' ELSE 'stalled' END AS state FROM g),
+ac AS (SELECT day, seq, state,
+  CASE state WHEN 'done' THEN 'none' WHEN 'ready_p8' THEN 'run_p8_only' WHEN 'ready_p7' THEN 'run_p7_candidates' WHEN 'needs_p7' THEN 'run_p7_candidates' WHEN 'needs_p6' THEN 'rerun_p6_only'
+    WHEN 'needs_p4' THEN CASE WHEN out[3] THEN 'rerun_p4_p6' ELSE 'inspect_p3_output' END WHEN 'needs_p3' THEN CASE WHEN out[2] THEN 'rerun_p3_p6' ELSE 'inspect_p2_output' END
+    WHEN 'needs_p2' THEN CASE WHEN out[1] THEN 'rerun_p2_p6' ELSE 'inspect_p1_input' END
+    WHEN 'needs_p1' THEN CASE WHEN empty THEN 'no_action_input_missing' WHEN out[1] THEN 'inspect_p1_checkpoint_bug' ELSE 'inspect_p1_input' END
+    WHEN 'no_input' THEN 'manual_review_input' WHEN 'running' THEN 'monitor' WHEN 'slow' THEN 'monitor' WHEN 'hung' THEN 'monitor'
+    WHEN 'stalled' THEN coalesce('rerun_from_' || ['p1_parse', 'p2_reconstruct', 'p3_features', 'p4_agg', 'p5_sample', 'p6_excursion', 'p7', 'p8_ml'][last_ok], 'manual_review')
+    ELSE 'manual_review' END AS action FROM st)"""
+
+
+@query(with_views(TAPE, _RUNS) + "SELECT seq, state, action FROM ac")
 def phase_state(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.phase_state(_phases(spark, sf)).select("day", "state", "action")
+    return daystate.states(_runs(spark, sf)).select("seq", "state", "action")
 
 
-@query(with_views(TAPE, _PHASES, f"st AS (SELECT day, {_case(2)} AS action FROM ph)") + "SELECT action, count(*) AS n_days, min(day) AS first_day, max(day) AS last_day FROM st GROUP BY action")
+@query(with_views(TAPE, _RUNS, """q AS (SELECT * FROM (VALUES (1, 'manual_review_input', 'Manual Review — Input Missing'), (2, 'manual_review', 'Manual Review — Unknown State'),
+  (0, 'no_action_input_missing', 'NO INPUT — Manual Required'), (3, 'inspect_p1_checkpoint_bug', 'Inspect — P1 Checkpoint Bug'), (4, 'inspect_p1_input', 'Inspect — P1 Input/Parse'),
+  (6, 'run_p8_only', 'Run P8 Only'), (7, 'run_p7_candidates', 'Run P7 Candidates (all 3)'), (8, 'rerun_p6_only', 'Rerun P6 Only'), (10, 'rerun_p4_p6', 'Rerun P4-P6'), (11, 'rerun_p3_p6', 'Rerun P3-P6'),
+  (12, 'rerun_p2_p6', 'Rerun P2-P6'), (20, 'none', 'Complete — No Action'), (21, 'monitor', 'Monitor (Running)')) AS v(place, action, label))""") + """
+SELECT action, count(*) AS n_days, min(day) AS first_day, max(day) AS last_day, coalesce(any_value(q.place), 22) AS place, coalesce(any_value(q.label), 'Other: ' || action) AS label
+FROM ac LEFT JOIN q USING (action) GROUP BY action""")
 def recovery_queues(spark: SparkSession, sf: str) -> DataFrame:
-    return audit.queues(audit.phase_state(_phases(spark, sf)))
+    return daystate.queues(daystate.states(_runs(spark, sf)))
+
+
+@query(with_views(TAPE) + """
+, g AS (SELECT user_id, event_type AS feature, sum(value) AS v FROM tape GROUP BY ALL),
+r AS (SELECT feature || '_' || (user_id % 9) AS feature, user_id // 9 AS part, sum(v) AS v FROM g GROUP BY ALL),
+k AS (SELECT feature, rank() OVER (PARTITION BY part ORDER BY v DESC) + (count(*) OVER (PARTITION BY part, v) - 1) / 2.0 AS r FROM r),
+m AS (SELECT feature, round(avg(r), 6) AS mean_rank, round(stddev_samp(r), 6) AS std_rank, count(*) AS n FROM k GROUP BY feature)
+SELECT * FROM m ORDER BY mean_rank, feature LIMIT 20""")
+def top_features(spark: SparkSession, sf: str) -> DataFrame:
+    """A top-20 report, so a limit."""
+    t = adapters.tape(spark, sf).groupBy("user_id", F.col("event_type").alias("feature")).agg(F.sum("value").alias("v"))
+    t = t.groupBy(F.concat_ws("_", "feature", (F.col("user_id") % 9).cast("string")).alias("feature"), F.floor(F.col("user_id") / 9).alias("part")).agg(F.sum("v").alias("v"))
+    return audit.top_features(audit.mean_ranks(t, ["part"], "feature", "v"), "feature")
 
 
 # --- rows only

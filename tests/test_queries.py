@@ -1,6 +1,7 @@
 import pytest
 
 from oracle import assert_same
+from tidebook.plans import io_queries  # noqa: F401
 from tidebook.plans.queries import ORACLE_SQL, QUERIES
 
 

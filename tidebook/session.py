@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,3 +30,14 @@ def build_session(app: str = "tidebook", master: str | None = None, **conf: str)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory, read by Spark so that any file system Spark knows will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below spark.checkpoint.dir; below one of our own, gone at exit, only in a local session that names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tidebook-")
+        atexit.register(shutil.rmtree, base, True)
+    return f"{base}/tidebook/{name}-{uuid.uuid4().hex}"

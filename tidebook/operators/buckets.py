@@ -33,21 +33,22 @@ def flow(trades: DataFrame, width_us: int, by: list[str] | None = None, us: str
     }).drop("_pv")
 
 
-def merged(trades: DataFrame, fast_us: int, mid_us: int, slow_us: int, us: str = "us") -> DataFrame:
-    """Fast buckets with the mid and slow bucket that start at the same time, null where none does."""
-    name = lambda df, tag, cols: df.select("bucket", *[F.col(c).alias(f"{c}_{tag}") for c in cols])
+def merged(trades: DataFrame, fast_us: int, mid_us: int, slow_us: int, us: str = "us", by: list[str] | None = None) -> DataFrame:
+    """By group, fast buckets with the mid and slow bucket that start at the same time, null where none does."""
+    by = by or []
+    name = lambda df, tag, cols: df.select(*by, "bucket", *[F.col(c).alias(f"{c}_{tag}") for c in cols])
     common = ["vol", "ofi_raw", "buy_count", "sell_count", "trade_count", "mean_price"]
-    fast = name(flow(trades, fast_us, us=us), "fast", [*common, "directional_bias", "buy_ratio"])
-    mid = name(flow(trades, mid_us, us=us), "mid", [*common, "directional_bias", "buy_ratio", "high", "low", "range_pct"])
-    slow = name(flow(trades, slow_us, us=us), "slow", [*common, "high", "low", "range"])
-    return fast.join(mid, "bucket", "left").join(slow, "bucket", "left")
+    fast = name(flow(trades, fast_us, by, us), "fast", [*common, "directional_bias", "buy_ratio"])
+    mid = name(flow(trades, mid_us, by, us), "mid", [*common, "directional_bias", "buy_ratio", "high", "low", "range_pct"])
+    slow = name(flow(trades, slow_us, by, us), "slow", [*common, "high", "low", "range"])
+    return fast.join(mid, [*by, "bucket"], "left").join(slow, [*by, "bucket"], "left")
 
 
 def derived(m: DataFrame, by: list[str] | None = None) -> DataFrame:
     """merged() with surges, absorption, deviation, momentum, realised volatility and cumulative flow.
 
-    Windows count rows of the merged table in bucket order and skip nulls; at the end nulls become 0. The
-    table has one row a bucket, so one ordered window over by is small beside the tape.
+    Windows count rows of the merged table in bucket order within a group of by (a day, or a symbol's day) and
+    skip nulls; at the end nulls become 0. Without by all buckets are one group, and one task.
     """
     by, o = by or [], ["bucket"]
     col = F.col

@@ -110,38 +110,38 @@ def bucket_flow_slow(spark: SparkSession, sf: str) -> DataFrame:
 
 def _bucket_view(name: str, width: int) -> str:
     return f"""{name} AS (
-  SELECT (us // {width}) * {width} AS bucket, CAST(sum(size) AS BIGINT) AS vol, CAST(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) AS BIGINT) AS ofi_raw,
+  SELECT day, (us // {width}) * {width} AS bucket, CAST(sum(size) AS BIGINT) AS vol, CAST(sum(CASE WHEN side = 'buy' THEN size ELSE -size END) AS BIGINT) AS ofi_raw,
          count(*) FILTER (WHERE side = 'buy') AS buy_count, count(*) FILTER (WHERE side = 'sell') AS sell_count, count(*) AS trade_count, avg(price) AS mean_price, max(price) AS high, min(price) AS low
-  FROM trades GROUP BY 1)"""
+  FROM trades GROUP BY 1, 2)"""
 
 
 _MERGED = """m AS (
-  SELECT f.bucket, f.vol AS vol_fast, f.ofi_raw AS ofi_raw_fast, f.trade_count AS trade_count_fast, f.mean_price AS mean_price_fast,
+  SELECT f.day, f.bucket, f.vol AS vol_fast, f.ofi_raw AS ofi_raw_fast, f.trade_count AS trade_count_fast, f.mean_price AS mean_price_fast,
          x.vol AS vol_mid, x.ofi_raw AS ofi_raw_mid, x.mean_price AS mean_price_mid, CASE WHEN x.low <> 0 THEN (x.high - x.low) / x.low END AS range_pct_mid,
          s.vol AS vol_slow, s.ofi_raw AS ofi_raw_slow, s.high - s.low AS range_slow
-  FROM f LEFT JOIN x USING (bucket) LEFT JOIN s USING (bucket))"""
+  FROM f LEFT JOIN x USING (day, bucket) LEFT JOIN s USING (day, bucket))"""
 _BUCKETS = (TAPE, TRADES, _bucket_view("f", HOUR), _bucket_view("x", 6 * HOUR), _bucket_view("s", 24 * HOUR), _MERGED)
 
 
 @query(with_views(*_BUCKETS) + """SELECT bucket, vol_fast, ofi_raw_fast, trade_count_fast, round(mean_price_fast, 6) AS mean_price_fast, vol_mid, round(range_pct_mid, 6) AS range_pct_mid, vol_slow, range_slow FROM m""")
 def bucket_merge(spark: SparkSession, sf: str) -> DataFrame:
-    m = buckets.merged(adapters.trades(spark, sf), HOUR, 6 * HOUR, 24 * HOUR)
+    m = buckets.merged(adapters.trades(spark, sf), HOUR, 6 * HOUR, 24 * HOUR, by=["day"])
     return rounded(m.select("bucket", "vol_fast", "ofi_raw_fast", "trade_count_fast", "mean_price_fast", "vol_mid", "range_pct_mid", "vol_slow", "range_slow"))
 
 
 @query(with_views(*_BUCKETS, """w AS (
-  SELECT *, avg(vol_mid) OVER r6 AS vol_ma, avg(range_pct_mid) OVER r6 AS range_ma, avg(mean_price_mid) OVER (ORDER BY bucket ROWS 999 PRECEDING) AS price_cum,
-         sum(ofi_raw_mid) OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS c_mid, sum(ofi_raw_slow) OVER (ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS c_slow,
-         last_value(mean_price_mid IGNORE NULLS) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
-  FROM m WINDOW r6 AS (ORDER BY bucket ROWS 5 PRECEDING)),
+  SELECT *, avg(vol_mid) OVER r6 AS vol_ma, avg(range_pct_mid) OVER r6 AS range_ma, avg(mean_price_mid) OVER (PARTITION BY day ORDER BY bucket ROWS 999 PRECEDING) AS price_cum,
+         sum(ofi_raw_mid) OVER (PARTITION BY day ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS c_mid, sum(ofi_raw_slow) OVER (PARTITION BY day ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS c_slow,
+         last_value(mean_price_mid IGNORE NULLS) OVER (PARTITION BY day ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM m WINDOW r6 AS (PARTITION BY day ORDER BY bucket ROWS 5 PRECEDING)),
 v AS (SELECT *, vol_mid / (vol_ma + 1e-9) AS vol_surge, range_pct_mid / (range_ma + 1e-9) AS range_surge, CASE WHEN before <> 0 THEN (mean_price_mid - before) / before END AS chg FROM w),
-z AS (SELECT *, stddev_samp(chg) OVER (ORDER BY bucket ROWS 5 PRECEDING) * 1e4 AS rv FROM v)""") + """
+z AS (SELECT *, stddev_samp(chg) OVER (PARTITION BY day ORDER BY bucket ROWS 5 PRECEDING) * 1e4 AS rv FROM v)""") + """
 SELECT bucket, round(coalesce(vol_surge, 0), 4) AS vol_surge, round(coalesce(range_surge, 0), 4) AS range_surge, round(coalesce(vol_surge / (range_surge + 1e-10), 0), 3) AS absorption,
        round(coalesce(CASE WHEN price_cum <> 0 THEN (mean_price_mid - price_cum) / price_cum * 1e4 END, 0), 4) AS price_dev_bps, round(coalesce(abs(ofi_raw_mid) * range_pct_mid * 1e4, 0), 3) AS momentum,
        round(coalesce(ofi_raw_mid / (vol_mid + 1), 0), 6) AS ofi_ratio, round(coalesce(rv, 0), 4) AS realized_vol_mid, round(coalesce(rv * sqrt(6.0), 0), 4) AS realized_vol_slow,
        CAST(coalesce(c_mid, 0) AS BIGINT) AS cum_ofi_mid, CAST(coalesce(c_slow, 0) AS BIGINT) AS cum_ofi_slow FROM z""")
 def bucket_derived(spark: SparkSession, sf: str) -> DataFrame:
-    d = buckets.derived(buckets.merged(adapters.trades(spark, sf), HOUR, 6 * HOUR, 24 * HOUR))
+    d = buckets.derived(buckets.merged(adapters.trades(spark, sf), HOUR, 6 * HOUR, 24 * HOUR, by=["day"]), ["day"])
     digits = {"vol_surge": 4, "range_surge": 4, "absorption": 3, "price_dev_bps": 4, "momentum": 3, "ofi_ratio": 6, "realized_vol_mid": 4, "realized_vol_slow": 4}
     return d.select("bucket", *[F.round(c, n).alias(c) for c, n in digits.items()], "cum_ofi_mid", "cum_ofi_slow")
 

@@ -36,18 +36,29 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(n), "y").withColumn("w", F.lit(float(total)) / (F.lit(float(max(1, k))) * F.col("_c"))).drop("_c")  # n: one row a class
 
 
-def models(columns: list[str], seed: int = 42) -> dict[str, Pipeline]:
+def models(columns: list[str], seed: int = 42, trees: int = 200, rounds: int = 30) -> dict[str, Pipeline]:
     """Untrained baselines by name."""
     vec = VectorAssembler(inputCols=columns, outputCol="raw", handleInvalid="keep")
     scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
     plain = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
     return {
         "logistic": Pipeline(stages=[vec, scaled, LogisticRegression(labelCol="y", weightCol="w", family="multinomial", maxIter=50)]),
-        "forest": Pipeline(stages=[plain, RandomForestClassifier(labelCol="y", weightCol="w", numTrees=200, maxDepth=12, minInstancesPerNode=50, seed=seed)]),
-        "boosted": Pipeline(stages=[plain, OneVsRest(classifier=GBTClassifier(maxIter=30, maxDepth=5, seed=seed), labelCol="y")]),
+        "forest": Pipeline(stages=[plain, RandomForestClassifier(labelCol="y", weightCol="w", numTrees=trees, maxDepth=12, minInstancesPerNode=50, seed=seed)]),
+        "boosted": Pipeline(stages=[plain, OneVsRest(classifier=GBTClassifier(maxIter=rounds, maxDepth=5, seed=seed), labelCol="y")]),
     }
 
 
+def softmax(df: DataFrame, columns: list[str], coefficients, intercepts) -> DataFrame:
+    """df with prob, the class probabilities of a multinomial model, and p, the first class of the largest."""
+    z = F.array(*[sum((F.lit(c) * F.col(x) for c, x in zip(row, columns)), F.lit(b)) for row, b in zip(coefficients, intercepts)])
+    top = F.array_max("_z")
+    parts = F.transform("_z", lambda x: F.exp(x - top))
+    out = df.withColumn("_z", z).withColumn("prob", parts)
+    total = F.aggregate("prob", F.lit(0.0), lambda a, b: a + b)
+    out = out.withColumn("prob", F.transform("prob", lambda x: x / total))
+    return out.withColumn("p", (F.array_position("prob", F.array_max("prob")) - 1).cast("int")).drop("_z")
+
+
 def predictions(model: PipelineModel, df: DataFrame, keys: list[str]) -> DataFrame:
     """keys, y, p and the class probabilities as an array where the model gives them."""
     out = model.transform(df)

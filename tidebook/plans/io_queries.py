@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.plans.queries import query
-from tidebook.plans.views import TAPE, TRADES, with_views
+from tidebook.plans.views import COMMANDS, TAPE, TRADES, with_views
 from tidebook.session import scratch
-from tidebook.sources import adapters, trades
+from tidebook.schemas import DEPTH_EPOCH_US
+from tidebook.sources import adapters, depth, trades
 
 # One line in fifty has no price, one in seventy as much volume at the bid as at the ask.
 _VENDOR = """v AS (SELECT day, ts, seq, price, size, side, seq % 50 = 0 AS no_price, seq % 70 = 3 AS no_side FROM trades)"""
@@ -99,3 +100,38 @@ def complete_days(spark: SparkSession, sf: str) -> DataFrame:
     listing = trades.files(spark, path, "part-*")
     kind = F.element_at(F.split("path", "/"), -3)
     return trades.complete_days(listing.withColumn("name", kind), ("labels", "scores"))
+
+
+# Codes are moved on by one where the quantity is 98, so that some have no name.
+_DEPTH = """d AS (SELECT make_timestamp(us) AS datetime_utc, CAST(CASE WHEN qty = 98 THEN code + 1 ELSE code END AS INTEGER) AS command_code, qty % 2 = 1 AS end_of_batch, CAST(seq % 300 AS INTEGER) AS num_orders, price, qty AS quantity FROM commands),
+named AS (SELECT datetime_utc, coalesce(['NO_COMMAND', 'CLEAR_BOOK', 'ADD_BID_LEVEL', 'ADD_ASK_LEVEL', 'MODIFY_BID_LEVEL', 'MODIFY_ASK_LEVEL', 'DELETE_BID_LEVEL', 'DELETE_ASK_LEVEL'][command_code + 1], 'UNKNOWN_' || command_code) AS command_name,
+  end_of_batch, num_orders, price, quantity FROM d)"""
+
+
+def _depth_files(spark: SparkSession, sf: str) -> str:
+    c = adapters.commands(spark, sf)
+    path = scratch(spark, "depth")
+    code = F.when(F.col("qty") == 98, F.col("code") + 1).otherwise(F.col("code"))
+    rows = c.select("day", "seq", (F.col("us") + F.lit(DEPTH_EPOCH_US)).alias("datetime_raw"), code.alias("command_code"), (F.col("qty") % 2).alias("flags"), (F.col("seq") % 300).alias("num_orders"), "price", F.col("qty").alias("quantity"))
+    depth.save(rows.repartition("day").sortWithinPartitions("day", "seq"), path)
+    return path
+
+
+def _depth_rows(df: DataFrame) -> DataFrame:
+    return df.select(F.col("datetime_utc").cast("timestamp_ntz").alias("datetime_utc"), "command_name", "end_of_batch", "num_orders", "price", "quantity")
+
+
+@query(with_views(TAPE, COMMANDS, _DEPTH) + "SELECT * FROM named")
+def depth_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Depth files read by record ranges."""
+    return _depth_rows(depth.read(spark, f"{_depth_files(spark, sf)}/*.depth", recordsPerPartition=500, recordsPerBatch=100))
+
+
+@query(with_views(TAPE, COMMANDS, _DEPTH) + "SELECT * FROM named WHERE CAST(datetime_utc AS TIME) BETWEEN TIME '13:40:00' AND TIME '19:50:00'")
+def depth_session(spark: SparkSession, sf: str) -> DataFrame:
+    return _depth_rows(depth.read(spark, f"{_depth_files(spark, sf)}/*.depth", session=("13:40:00", "19:50:00")))
+
+
+@query(with_views(TAPE, COMMANDS, _DEPTH) + "SELECT command_code, count(*) AS n FROM d WHERE command_code > 7 GROUP BY command_code")
+def depth_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    return depth.unknown_commands(depth.read(spark, f"{_depth_files(spark, sf)}/*.depth"))

@@ -605,6 +605,14 @@ def constant_columns(spark: SparkSession, sf: str) -> DataFrame:
     return audit.constant_columns(table(spark, sf, "events"), ["event_type", "user_id", "props"])
 
 
+@query(with_views(TAPE) + "SELECT t.seq, coalesce(l.k, 0) AS k FROM tape t LEFT JOIN (SELECT user_id, arg_max(k, seq) AS k FROM tape WHERE sign > 0 GROUP BY user_id) l ON l.user_id = t.k")
+def lookup_or_zero(spark: SparkSession, sf: str) -> DataFrame:
+    """The last value of a key, 0 where there is none."""
+    t = adapters.tape(spark, sf)
+    last = audit.last_by(t.filter("sign > 0"), ["user_id"], "seq", ["k"])
+    return t.select("seq", F.col("k").alias("user_id")).join(last, "user_id", "left").select("seq", F.coalesce("k", F.lit(0)).alias("k"))
+
+
 @query(with_views(TAPE) + "SELECT user_id, arg_max(event_type, seq) AS event_type, arg_max(k, seq) AS k FROM tape GROUP BY user_id")
 def last_wins_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return audit.last_by(adapters.tape(spark, sf), ["user_id"], "seq", ["event_type", "k"])
@@ -701,6 +709,54 @@ def top_features(spark: SparkSession, sf: str) -> DataFrame:
 # --- rows only
 
 
+_COEF = ((-0.8, 0.02, -0.4), (0.1, -0.01, 0.2), (0.7, 0.015, 0.3))
+_BIAS = (0.1, -0.2, 0.05)
+_Z = [f"({b} + {c[0]} * imbalance_1 + {c[1]} * delta_50 + {c[2]} * qi_L2)" for b, c in zip(_BIAS, _COEF)]
+_EXP = " + ".join(f"exp({z})" for z in _Z)
+
+
+@query(with_views(*_FEATS) + "SELECT day, seq, " + ", ".join(
+    f"round(exp({z}) / ({_EXP}), 6) AS p{i}" for i, z in enumerate(_Z)
+) + " FROM feats")
+def fixed_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Class probabilities of a given multinomial model."""
+    from tidebook.operators import ml
+
+    out = ml.softmax(_feats(spark, sf), ["imbalance_1", "delta_50", "qi_L2"], _COEF, _BIAS)
+    return out.select("day", "seq", *[F.round(F.col("prob")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+def _train_test(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
+    from tidebook.operators import ml
+
+    m = adapters.mids(spark, sf)
+    lab = labels.first_touch(m, m, labels.candidates(spark, GRID, 1)).select("day", "seq", "label")
+    return splits.walk_forward(ml.matrix(_feats(spark, sf).join(lab, ["day", "seq"]), columns))
+
+
+@query()
+def model_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic, forest and boosted baselines: metrics on held-out days, and which one is selected."""
+    from tidebook.operators import ml
+
+    columns = ["imbalance_1", "delta_50", "ofi_50", "vpin_100", "qi_L1"]
+    data = _train_test(spark, sf, columns)
+    train, test = ml.balanced(data.filter("split = 'train'")), data.filter("split = 'test'")
+    scores = {n: ml.evaluate(ml.predictions(p.fit(train), test, ["day", "seq"])) for n, p in ml.models(columns, trees=20, rounds=5).items()}
+    chosen = ml.select(scores)
+    return spark.createDataFrame([(n, float(s["accuracy"]), float(s["pt_avg"]), n == chosen) for n, s in sorted(scores.items())], "model string, accuracy double, pt_avg double, selected boolean")
+
+
+@query()
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """The forest's importances."""
+    from tidebook.operators import ml
+
+    columns = ["imbalance_1", "delta_50", "ofi_50", "vpin_100", "qi_L1"]
+    train = ml.balanced(_train_test(spark, sf, columns).filter("split = 'train'"))
+    return ml.importance(spark, ml.models(columns, trees=20)["forest"].fit(train), columns)
+
+
 @query()
 def logreg_predictions(spark: SparkSession, sf: str) -> DataFrame:
     from tidebook.operators import ml

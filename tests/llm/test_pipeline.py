@@ -1,8 +1,11 @@
 import hashlib
+import random
 
 import public_tokenizers
 import sentencepiece
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from test_simhash_mixing import slow_classes
 from tidebook.llm import mixing, toxicity
@@ -54,3 +57,29 @@ def test_edited_copies_are_dropped(spark, docs_of):
     assert out.columns == df.columns
     assert sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 2, 6, 7, 8]
     assert corpus_pipeline.drop_near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+def test_nulls_repeats_ties_clashing_columns_and_empty_tables(spark, docs_of, tmp_path):
+    """Every stage on odd rows beside ordinary ones, and on no rows: nothing crashes, columns and clean documents stay."""
+    rng = random.Random(2)
+    word = lambda: rng.choice("bcdfgh") + rng.choice("aeiou") + rng.choice("lmnrst") + str(rng.randint(0, 99))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(8, 60)))) for i in range(40)]
+    rows += [(100, None), (101, ""), (None, "a lone text with no id at all"), (None, None), (5, rows[5][1]), (5, rows[5][1]), (102, "word " * 60_000), (103, " "), (104, "mail me at some.body@mail3.example.com now")]
+    df = docs_of(rows, **{}).withColumn("row", F.lit("r")).withColumn("id", F.lit("i")).withColumn("key", F.lit("k")).withColumn("n", F.lit("n"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 0), (3, 1, None)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for docs in (df, df.limit(0)):
+        seen = {}
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = materialize(stage(spark, docs, str(tmp_path)), f"odd-{name}")
+            assert docs.columns == df.columns, name
+            seen[name] = docs.count()
+            assert docs.filter("score <> 'clash' OR row <> 'r' OR id <> 'i' OR key <> 'k' OR n <> 'n'").count() == 0, name
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert out.count() == seen["mixing"]
+    docs = corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.drop_toxic(spark, df, str(tmp_path)), "")
+    left = sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in docs.select("doc_id").collect())
+    # Of the four texts without words the smallest id stays, and repeated rows once.
+    assert left == [-1, *range(40), 100, 102, 104]
+    text = {r["doc_id"]: r["text"] for r in corpus_pipeline.redact_personal_data(spark, docs, "").collect()}
+    assert text[104] == "mail me at [EMAIL] now" and text[100] is None

@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and returns the
 columns of documents, but for the last, which returns the encoded corpus.
+
+Defined results: a null text counts as the empty one and stays null until it is encoded; texts without words
+are copies of each other, and the smallest id of them stays; repeated rows are copies; a null id goes last
+among copies; of equally likely choices the smallest id, then the text's digest decides; without usable labels
+no document is toxic; very long texts are single values; columns beside those of documents are kept, whatever
+their names, until the last stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations

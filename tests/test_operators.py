@@ -109,3 +109,21 @@ def test_empty_tables_are_fine(spark, sf_dir):
     assert sampling.threshold(sampling.deltas(e)).count() == 0
     assert labels.first_touch(e, e, labels.candidates(spark)).count() == 0
     assert excursions.excursions(e, e, 1_000_000).count() == 0
+
+
+def test_crossings_equal_a_plain_fold():
+    import numpy as np
+
+    from tidebook.operators.sampling import crossings
+
+    rng = np.random.default_rng(4)
+    for n, h in ((0, 1.0), (1, 0.1), (500, 0.5), (20_000, 40.0), (3000, 1e9), (300, 0.0)):
+        d = rng.normal(size=n)
+        want, total = [], 0.25
+        for i, x in enumerate(d):
+            total += x
+            if abs(total) > h:
+                want.append((i, total))
+                total = 0.0
+        places, sums, rest = crossings(d, h, 0.25)
+        assert list(zip(places.tolist(), sums.tolist())) == want and rest == total

@@ -39,13 +39,27 @@ def threshold(df: DataFrame, by: list[str] | None = None, percentile: float = 0.
     return df.groupBy(*by).agg(F.greatest(h, F.lit(FLOOR)).alias("h"))
 
 
+def crossings(d: np.ndarray, h: float, total: float = 0.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """(places, sums, rest): where the running sum from total leaves the band h and restarts, its value there, and the sum left at the end.
+
+    Each stretch is a cumulative sum that is searched for its first crossing, over steps that grow until one is found.
+    """
+    places, sums, at, step = [], [], 0, 64
+    while at < len(d):
+        run = np.cumsum(np.concatenate([[total], d[at : at + step]]))[1:]
+        out = np.abs(run) > h
+        k = int(out.argmax())
+        if out[k]:
+            places.append(at + k)
+            sums.append(run[k])
+            at, total, step = at + k + 1, 0.0, max(64, min(step, 4 * (k + 1)))
+        else:
+            at, total, step = at + len(run), float(run[-1]), min(2 * step, 1 << 16)
+    return np.array(places, dtype=np.int64), np.array(sums, dtype=np.float64), total
+
+
 def _rate(x: np.ndarray, h: float) -> float:
-    total, hits = 0.0, 0
-    for d in x.tolist():
-        total += d
-        if total > h:
-            total, hits = 0.0, hits + 1
-    return hits / max(1, len(x))
+    return len(crossings(x, h)[0]) / max(1, len(x))
 
 
 def calibrated(df: DataFrame, thresholds: DataFrame, rows: int = CALIBRATION_ROWS, max_rate: float = MAX_RATE) -> DataFrame:
@@ -87,17 +101,18 @@ def cusum(df: DataFrame, thresholds: DataFrame) -> DataFrame:
     src = df.select("day", "seq", "d").join(thresholds, "day").repartition("day").sortWithinPartitions("day", "seq").select("day", "seq", "d", "h")
 
     def run(batches):
-        day, total = None, 0.0
+        last, total = None, 0.0
         for b in batches:
-            out = []
-            for at, seq, d, h in zip(*[c.to_pylist() for c in b.columns]):
-                if at != day:
-                    day, total = at, 0.0
-                total += d
-                if abs(total) > h:
-                    out.append((at, seq, total))
-                    total = 0.0
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.date32()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.float64())], names=["day", "seq", "s"])
+            day = b.column(0).cast(pa.int32()).to_numpy()
+            seq, d, h = (b.column(c).to_numpy() for c in (1, 2, 3))
+            cut = [0, *(np.flatnonzero(np.diff(day)) + 1), len(day)]
+            for lo, hi in zip(cut, cut[1:]):
+                if lo == hi:
+                    continue
+                if day[lo] != last:
+                    last, total = day[lo], 0.0
+                places, sums, total = crossings(d[lo:hi], h[lo], total)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), last, dtype=np.int32)).cast(pa.date32()), pa.array(seq[lo:hi][places]), pa.array(sums)], names=["day", "seq", "s"])
 
     return src.mapInArrow(run, "day date, seq bigint, s double")
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import HOT, materialize
+from tidebook.llm.common import HOT, join_hot, materialize
 
 ROOT = 0.9  # share of a host's pages on which a tag of the root occurs
 LARGE = 2  # tokens that a valid class has at least
@@ -287,8 +287,9 @@ def template(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         F.min(t[2]).alias("parent"), F.max(t[3]).alias("kind"), F.sum(t[4]).alias("chars"), F.sum(t[5]).alias("linked"), F.min(t[6]).alias("depth"),
     )
     tokens = materialize(tokens, "html-tokens")
-    hosts = tokens.filter("token = 0 AND pages > 1").select("host", F.col("pages").alias("host_pages"))
-    known = tokens.filter("token <> 0").join(hosts, "host")
+    hosts = tokens.groupBy("host").agg(F.max(F.when(F.col("token") == 0, F.col("pages"))).alias("host_pages"), F.count("*").alias("n"))
+    # A host may hold a great share of all tokens; its rows are not dealt to one task.
+    known = join_hot(tokens.filter("token <> 0"), materialize(hosts, "html-sizes"), ["host"], "n").filter("host_pages > 1")
     vector = ["host", "pages", "v1", "v2"]
     classes = known.groupBy(*vector).agg(F.count("*").alias("class_size"), F.min("token").alias("class_id"))
     valid = (F.col("class_size") >= LARGE) & (F.col("pages") >= F.least(F.lit(FREQUENT), F.col("host_pages")))

@@ -282,10 +282,13 @@ class _Pairs:
                     x, y = x[x < j[y]], y[x < j[y]]
                 self.out.append((mine["key"][x], other["key"][j[y]]))
                 continue
-            # Each row's nearest partner here.
+            # Each row's nearest partner here; of the own rows also the first one, which joins a group of near copies at once.
             x = far.argmin(axis=0)
             hit = np.flatnonzero(far[x, np.arange(len(j))] <= self.radius)
             self.out.append((mine["key"][x[hit]], other["key"][j[hit]]))
+            if same:
+                x = (far <= self.radius).argmax(axis=0)
+                self.out.append((mine["key"][x[hit]], other["key"][j[hit]]))
             if not same:
                 y = far.argmin(axis=1)
                 near = far[np.arange(n), y]
@@ -304,7 +307,7 @@ class _Pairs:
 def _candidates(index: DataFrame, radius: int, least: float, every: bool) -> DataFrame:
     """(a, b): pairs of rows (sig, chunks, key, size, fp, root) of unlike root that share sig and lie within the radius.
 
-    Each row's nearest partner in a task, or every pair. A tile is what shares sig; one of several chunks is dealt
+    Each row's nearest partner in a task and its first in its own chunk, or every pair. A tile is what shares sig; one of several chunks is dealt
     so that each task holds one chunk and the rows of the earlier ones stream past.
     """
     sent = (
@@ -348,7 +351,7 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     Sets that share one of their smallest hashes make a tile. Two sets of likeness least share none of HEADS
     with probability (1 - least) ** HEADS, 7e-12 at 0.8; small sets keep all the hashes that make this exact.
     In a tile wide SimHashes are compared in full, and a pair within the radius is verified by the exact
-    likeness of its sets. Rounds verify each set's nearest partner of another class until nothing more is
+    likeness of its sets. Rounds verify each set's nearest and first partner of another class until nothing more is
     linked; then every pair within the radius that is still in different classes is verified, so that no
     link is lost and the pairs of one class are never listed.
     """

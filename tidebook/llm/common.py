@@ -113,13 +113,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         else:
             both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        low = materialize(low, name)  # it is read several times, and plans of plans grow fast
         # The smallest node of a large class is a hub, whose edges are not dealt to one task.
         out = join_hot(both, low, ["u"], "n", total)
         if small:
             out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         else:
             out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return out.filter("a <> b").distinct()
+        return materialize(out.filter("a <> b").distinct(), name)
 
     def mark(e: DataFrame):
         row = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -128,7 +129,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     e = materialize(edges.select("a", "b").filter("a <> b").distinct(), name)
     seen = mark(e)
     while seen[0]:
-        e = materialize(step(step(e, False, 2 * seen[0]), True, seen[0]), name)
+        e = step(step(e, False, 2 * seen[0]), True, seen[0])
         now = mark(e)
         if now == seen:
             break

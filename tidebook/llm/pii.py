@@ -64,42 +64,38 @@ WORDS = {  # fixed values: context words of each kind
     "card": "card|visa|credit|account|iban|konto|tarjeta|carte",
     "phone": "tel|phone|call|fax|mobile|ruf",
 }
-_SPAN = "struct<s:bigint,e:bigint,m:string,l:string,r:string>"
 
 
 def _running(values: Column, most: bool = False) -> Column:
-    """Running sums, or maxima, of an array of longs, in blocks, so that long arrays are not copied at each step."""
-    both = (lambda a, b: F.greatest(a, b)) if most else (lambda a, b: a + b)
-    none = F.expr("cast(array() as array<bigint>)")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    """Running sums, or maxima, of an array of longs, in one pass and in blocks, so that long arrays are not copied at each step."""
+    none, blocks = F.expr("cast(array() as array<bigint>)"), F.expr("cast(array() as array<array<bigint>>)")
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("part"), blocks.alias("out"))
 
     def add(acc, x):
-        now = both(acc["at"], x)
-        return F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out"))
+        now = F.greatest(acc["at"], x) if most else acc["at"] + x
+        part = F.concat(acc["part"], F.array(now))
+        full = F.size(acc["part"]) + 1 >= BLOCK
+        return F.struct(now.alias("at"), F.when(full, none).otherwise(part).alias("part"), F.when(full, F.concat(acc["out"], F.array(part))).otherwise(acc["out"]).alias("out"))
 
-    scan = lambda part: F.aggregate(part, start, add, lambda acc: acc["out"])
-    n = F.size(values)
-    firsts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(BLOCK))).otherwise(F.expr("cast(array() as array<int>)"))
-    parts = F.transform(firsts, lambda at: scan(F.slice(values, at, F.lit(BLOCK))))
-    ends = scan(F.transform(parts, lambda p: F.element_at(p, -1)))
-    before = F.concat(F.array(F.lit(0).cast("bigint")), ends)
-    return F.flatten(F.transform(parts, lambda p, k: F.transform(p, lambda x: both(x, F.get(before, k)))))
+    return F.aggregate(values, zero, add, lambda acc: F.flatten(F.concat(acc["out"], F.array(acc["part"]))))
 
 
-def _spans(text: Column, pattern: str, context: bool) -> Column:
-    """Leftmost non-overlapping matches as array<struct<s,e,m,l,r>>: offsets, match, left and right context."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: (F.length(F.get(parts, i)) + F.length(m)).cast("bigint"))
+def _spans(docs: DataFrame, text: Column, maybe: Column, pattern: str, context: bool, into: str) -> DataFrame:
+    """docs with into: the leftmost non-overlapping matches as array<struct<s,e,m,l,r>>: offsets, match, left and right context.
 
-    def span(end, i):
-        m = F.get(found, i)
-        left = F.substring(F.get(parts, i), -CONTEXT, CONTEXT) if context else F.lit("")
-        right = F.substring(F.get(parts, i + 1), 1, 8) if context else F.lit("")
-        return F.struct((end - F.length(m)).alias("s"), end.alias("e"), m.alias("m"), left.alias("l"), right.alias("r"))
+    Each step is a column of its own, and no function of an element looks at a whole array: texts are matched once.
+    """
+    docs = docs.withColumn("_m", F.when(maybe, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.expr("cast(array() as array<string>)")))
+    docs = docs.withColumn("_p", F.when(F.size("_m") > 0, F.split(text, pattern, -1)).otherwise(F.array(F.lit(""))))
+    docs = docs.withColumn("_z", F.arrays_zip(F.col("_m").alias("m"), F.slice("_p", 1, F.size("_m")).alias("p"), F.slice("_p", 2, F.size("_m")).alias("q")))
+    ends = _running(F.transform("_z", lambda x: (F.length(x["p"]) + F.length(x["m"])).cast("bigint")))
+
+    def span(x, end):
+        left = F.substring(x["p"], -CONTEXT, CONTEXT) if context else F.lit("")
+        right = F.substring(x["q"], 1, 8) if context else F.lit("")
+        return F.struct((end - F.length(x["m"])).alias("s"), end.alias("e"), x["m"].alias("m"), left.alias("l"), right.alias("r"))
 
-    none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    return F.when(F.size(found) > 0, F.transform(_running(steps), span)).otherwise(none)
+    return docs.withColumn(into, F.zip_with("_z", ends, span)).drop("_m", "_p", "_z")
 
 
 def _below(spans: Column, limit: Column, of: str) -> Column:
@@ -200,12 +196,11 @@ def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _of_kind(docs: DataFrame, text: Column, k: int, kind: str) -> DataFrame:
     maybe = text.rlike(MAYBE[kind])
-    none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    exact = F.when(maybe, F.filter(_spans(text, BASE[kind], False), lambda x: _valid(kind, x["m"]))).otherwise(none)
-    docs = docs.withColumn(f"_b{k}", F.transform(exact, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-    wide = F.when(maybe, _spans(text, WIDE[kind], True)).otherwise(none)
+    docs = _spans(docs, text, maybe, BASE[kind], False, f"_b{k}")
+    docs = docs.withColumn(f"_b{k}", F.transform(F.filter(f"_b{k}", lambda x: _valid(kind, x["m"])), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    docs = _spans(docs, text, maybe, WIDE[kind], True, f"_c{k}")
     verified = lambda x: (F.size(_touching(F.col(f"_b{k}"), x)) > 0).alias("y")
-    return docs.withColumn(f"_c{k}", F.transform(wide, lambda x: F.struct(*[x[c].alias(c) for c in ("s", "e", "m", "l", "r")], verified(x))))
+    return docs.withColumn(f"_c{k}", F.transform(f"_c{k}", lambda x: F.struct(*[x[c].alias(c) for c in ("s", "e", "m", "l", "r")], verified(x))))
 
 
 def _numbered(spans: str, k: int, *fields: str) -> Column:
@@ -335,13 +330,13 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with every span of text_col replaced by its kind in brackets, the earliest of those that overlap; other columns are kept."""
+    """docs with every span of text_col replaced by its kind in brackets, the earliest, then longest of those that overlap; other columns are kept."""
     # The row travels as one value, so that its other columns may have any names.
     packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = materialize(annotate(packed), "pii-candidates")
     spans = add_spans(found, train(found.drop("_row", "text")))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    order = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    order = F.array_sort(F.transform("_spans", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("far"), x["k"].alias("k"), x["e"].alias("e"))))
     spans = spans.withColumn("_order", order)
     spans = spans.withColumn("_past", F.concat(F.array(F.lit(0).cast("bigint")), _running(F.transform("_order", lambda x: x["e"]), most=True)))
     text, past = F.col("text"), F.col("_past")

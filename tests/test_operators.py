@@ -22,6 +22,27 @@ def test_rolling_time_equals_pandas_with_ties(spark):
     assert np.allclose(out["m"], r.mean()) and np.allclose(out["s"], r.std().fillna(0)) and (out["n"].to_numpy() == r.count().to_numpy()).all()
 
 
+def test_rolling_time_has_no_frame_by_row_and_keeps_odd_values_in_their_windows(spark):
+    rng = np.random.default_rng(3)
+    us = np.sort(rng.integers(0, 200, 300)) * 1_000_000
+    x = rng.normal(size=300).astype(object)
+    x[40], x[90], x[91], x[150:170] = 1e18, float("nan"), float("inf"), None
+    rows = [("a", int(t), i, v, i % 7) for i, (t, v) in enumerate(zip(us, x))] + [("b", None, 300, 1.0, 1), ("b", 5, 301, 2.0, 2)]
+    df = spark.createDataFrame(rows, "day string, us bigint, seq bigint, x double, k int")
+    width = 10_000_000
+    out = rolling_time(df, {"m": ("mean", "x"), "s": ("std", "x"), "n": ("count", "x"), "k_sum": ("sum", "k")}, ["day"], "us", ["seq"], width)
+    assert "RangeFrame" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.seq: r for r in out.collect()}
+    assert len(got) == 302 and (got[300].m, got[300].n, got[301].m) == (1.0, 1, 2.0)
+    for i, t in enumerate(us):
+        seen = [j for j in range(i + 1) if us[j] > t - width]
+        v = np.array([x[j] for j in seen if x[j] is not None], dtype=float)
+        with np.errstate(invalid="ignore"):
+            m, s = (v.mean() if len(v) else 0.0), (v.std(ddof=1) if len(v) > 1 else 0.0)
+        assert got[i].n == len(v) and got[i].k_sum == sum(j % 7 for j in seen)
+        assert np.isclose(got[i].m, m, equal_nan=True) and np.isclose(got[i].s, s, equal_nan=True), (i, got[i], m, s)
+
+
 def test_long_sums_equal_frames(spark):
     _, df = ticks(spark, 1500)
     a = rolling_sums(df, {"x": F.col("mid")}, ["day"], ["seq"], 600)

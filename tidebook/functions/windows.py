@@ -2,8 +2,8 @@
 
 by names the partition (for instance symbol and day), order the total order inside it. Short row frames
 use Spark's frames; long sums and means use differences of running sums, whose cost does not grow with
-the frame. Time windows are (t - width, t] and count rows of equal time by position: the frame runs over
-a clock in which every row has its own place, so no later peer of the current row is seen.
+the frame. Time windows are (t - width, t] and count rows of equal time by position, so no later peer of
+the current row is seen; a row without a time sees the rows without one before it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LONG = 500  # rows from which a frame is computed from running sums
-_PLACE = 1 << 20  # places that one microsecond has
 
 
 def rows(by: list[str], order: list[str], n: int):
@@ -47,28 +46,50 @@ def rolling_sums(df: DataFrame, cols: dict[str, Column], by: list[str], order: l
     return df.drop(*[f"_run_{name}" for name in cols])
 
 
-def placed(df: DataFrame, by: list[str], us: str, order: list[str]) -> DataFrame:
-    """df with _clock: microseconds of the day times a constant, plus the row's rank among its peers."""
-    peer = F.row_number().over(Window.partitionBy(*by, us).orderBy(*order)) - 1
-    return df.withColumn("_clock", F.pmod(F.col(us), F.lit(86_400_000_000)) * F.lit(_PLACE) + peer)
-
-
-def last_micros(by: list[str], width_us: int):
-    """Window (t - width, t] over a table from placed(), ties by position."""
-    return Window.partitionBy(*by).orderBy("_clock").rangeBetween(-(width_us * _PLACE - _PLACE // 2), 0)
-
-
 def rolling_time(df: DataFrame, aggs: dict[str, tuple[str, str]], by: list[str], us: str, order: list[str], width_us: int) -> DataFrame:
     """df with name -> (function, column) aggregated over the last width_us microseconds.
 
-    Functions: mean, sum, std (sample, 0 for one row), count.
+    Functions: mean, sum, std (sample, 0 for one row), count. Time is cut into cells of the window's width, so
+    that a window is the end of one cell and the start of the next. Each row also goes into the next cell, a
+    width later: there the running aggregates of these later copies, from the back, and of the cell's own rows,
+    from the front, make up each window. The cost does not grow with the window and nothing is subtracted.
     """
-    w = last_micros(by, width_us)
+    at, first = F.col(us), F.lit(0).cast("long")
+    copies = F.when(at.isNull(), F.array(first)).otherwise(F.array(first, F.lit(width_us).cast("long")))
+    both = df.withColumn("_later", F.explode(copies)).withColumn("_at", at + F.col("_later"))
+    both = both.withColumn("_cell", F.col("_at") - F.pmod(F.col("_at"), F.lit(width_us)))
+    front = Window.partitionBy(*by, "_cell").orderBy("_at", *order).rowsBetween(Window.unboundedPreceding, 0)
+    # At equal times own rows come first from the back: a row that is a whole width old is outside.
+    back = Window.partitionBy(*by, "_cell").orderBy(F.desc("_at"), "_later", *[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    sides = {"front": (F.col("_later") == 0, front), "back": (F.col("_later") > 0, back)}
     make = {
-        "mean": lambda c: F.coalesce(F.avg(c).over(w), F.lit(0.0)),
-        "sum": lambda c: F.coalesce(F.sum(c).over(w), F.lit(0)),
-        "std": lambda c: F.coalesce(F.stddev_samp(c).over(w), F.lit(0.0)),
-        "count": lambda c: F.count(c).over(w),
+        "n": F.count,
+        "sum": F.sum,
+        "total": lambda x: F.sum(x.cast("double")),
+        "mean": F.avg,
+        "var": F.var_pop,
+    }
+    need = {"mean": ("n", "total"), "sum": ("sum",), "std": ("n", "mean", "var"), "count": ("n",)}
+    parts = sorted({(p, c) for f, c in aggs.values() for p in need[f]})
+    both = both.withColumns({f"_{side}_{p}_{c}": make[p](F.when(own, F.col(c))).over(w) for side, (own, w) in sides.items() for p, c in parts})
+
+    def pair(p: str, c: str) -> list[Column]:
+        return [F.coalesce(F.col(f"_{side}_{p}_{c}"), F.lit(0)) for side in sides]
+
+    def both_of(p: str, c: str) -> Column:
+        x, y = pair(p, c)
+        return x + y
+
+    def std(c: str) -> Column:
+        (n, m), (mx, my), (vx, vy) = pair("n", c), pair("mean", c), pair("var", c)
+        squares = vx * n + vy * m + F.when((n > 0) & (m > 0), (mx - my) * (mx - my) * n * m / (n + m)).otherwise(0.0)
+        return F.when(n + m > 1, F.sqrt(squares / (n + m - 1))).otherwise(0.0)
+
+    result = {
+        "mean": lambda c: F.when(both_of("n", c) > 0, both_of("total", c) / both_of("n", c)).otherwise(0.0),
+        "sum": lambda c: both_of("sum", c),
+        "std": std,
+        "count": lambda c: both_of("n", c),
     }
-    ready = df if "_clock" in df.columns else placed(df, by, us, order)
-    return ready.withColumns({name: make[f](F.col(c)) for name, (f, c) in aggs.items()}).drop("_clock")
+    own = both.filter("_later = 0").withColumns({name: result[f](c) for name, (f, c) in aggs.items()})
+    return own.drop("_later", "_at", "_cell", *[f"_{side}_{p}_{c}" for side in sides for p, c in parts])

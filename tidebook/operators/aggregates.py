@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.functions.windows import placed, rolling_time
+from tidebook.functions.windows import rolling_time
 
 MEANS = (
     "imb_trend_10 imb_trend_50 imb_ma_ratio_10 imb_ma_ratio_50 microprice_momentum_10 microprice_momentum_50 microprice_dev_from_ma ofi_50 ofi_100 ofi_500 "
@@ -18,9 +18,8 @@ FLAGS = ("stack_sweep_bid_flag", "stack_sweep_ask_flag", "stack_sweep_any_flag")
 def compute(features: DataFrame, by: list[str] | None = None, us: str = "us", order: list[str] | None = None, short_us: int = 1_000_000, long_us: int = 5_000_000) -> DataFrame:
     """(by, order, ts_ms, 38 aggregates): means, deviations and sums over the short window, queue means over the long."""
     by, order = by or ["day"], order or ["seq"]
-    df = placed(features, by, us, order)
     short = {f"{c}_mean_1s": ("mean", c) for c in (*DELTAS, *MEANS)} | {f"{c}_std_1s": ("std", c) for c in DELTAS} | {f"{c}_sum_1s": ("sum", c) for c in FLAGS}
-    out = rolling_time(df.withColumn("_keep", F.col("_clock")), short, by, us, order, short_us).withColumnRenamed("_keep", "_clock")
+    out = rolling_time(features, short, by, us, order, short_us)
     out = rolling_time(out, {f"{c}_mean_5s": ("mean", c) for c in ("qi_L1", "qi_L2")}, by, us, order, long_us)
     ratio = (F.col("stack_sweep_bid_flag_sum_1s") + F.col("stack_sweep_ask_flag_sum_1s")) / (F.col("bid_sweep_count_mean_1s") + F.col("ask_sweep_count_mean_1s") + 1e-9)
     out = out.withColumn("add_cancel_ratio_1s", F.coalesce(ratio, F.lit(1.0)))

@@ -3,7 +3,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidebook.functions.windows import rolling_sums, rolling_time
-from tidebook.operators import book, excursions, labels, ml, sampling, splits
+from tidebook.operators import book, excursions, fusion, labels, ml, sampling, splits
 from tidebook.sources import adapters
 
 
@@ -43,6 +43,13 @@ def test_rolling_time_has_no_frame_by_row_and_keeps_odd_values_in_their_windows(
         assert np.isclose(got[i].m, m, equal_nan=True) and np.isclose(got[i].s, s, equal_nan=True), (i, got[i], m, s)
 
 
+def test_enrich_takes_the_latest_trade_of_a_millisecond(spark):
+    trades = spark.createDataFrame([("a", 1200, 9, "buy", 5), ("a", 1700, 2, "sell", 7), ("a", 1700, 1, "buy", 3), ("a", 2100, 3, "buy", 11)], "day string, us bigint, seq bigint, side string, size bigint")
+    events = spark.createDataFrame([("a", 1900, 4), ("a", 2500, 5), ("a", 3000, 6)], "day string, us bigint, seq bigint")
+    out = fusion.enrich(events, trades).orderBy("seq").collect()
+    assert [(r.trade_side, r.trade_size, r.cum_trade_delta_session) for r in out] == [("none", 0, 0), ("sell", 7, -7), ("buy", 11, 4)]
+
+
 def test_long_sums_equal_frames(spark):
     _, df = ticks(spark, 1500)
     a = rolling_sums(df, {"x": F.col("mid")}, ["day"], ["seq"], 600)

@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof(left: DataFrame, right: DataFrame, by: list[str], us: str, seq: str, values: list[str], allow_exact: bool = True) -> DataFrame:
-    """left with values of the last right row at or before it (before it, without allow_exact); null if none."""
+def asof(left: DataFrame, right: DataFrame, by: list[str], us: str, seq: str, values: list[str], allow_exact: bool = True, ties: list[str] = []) -> DataFrame:
+    """left with values of the last right row at or before it (before it, without allow_exact); null if none.
+
+    Of right rows at equal us the last by their columns ties, then by seq, counts.
+    """
     place = (0, 1) if allow_exact else (1, 0)
     packed = F.struct(*values).alias("_right")
-    r = right.select(*by, us, F.lit(None).cast("long").alias(seq) if seq not in right.columns else F.col(seq), F.lit(place[0]).alias("_place"), packed, F.lit(False).alias("_left"))
+    r = right.select(*by, us, F.lit(None).cast("long").alias(seq) if seq not in right.columns else F.col(seq), F.lit(place[0]).alias("_place"), packed, F.lit(False).alias("_left"), *[F.col(c).alias(f"_tie_{c}") for c in ties])
     keep = [c for c in left.columns if c not in (*by, us, seq)]
     kept = F.struct(*keep).alias("_kept") if keep else F.lit(None).alias("_kept")
     l_ = left.select(*by, us, seq, F.lit(place[1]).alias("_place"), kept, F.lit(True).alias("_left"))
     both = l_.unionByName(r, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(us, "_place", seq).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*by).orderBy(us, "_place", *[f"_tie_{c}" for c in ties], seq).rowsBetween(Window.unboundedPreceding, 0)
     found = both.withColumn("_last", F.last("_right", ignorenulls=True).over(w)).filter("_left")
     return found.select(*by, us, seq, *[F.col(f"_kept.{c}").alias(c) for c in keep], *[F.col(f"_last.{v}").alias(v) for v in values])
 
@@ -39,10 +42,13 @@ def cumulative_volume(snapshots: DataFrame, trades: DataFrame, by: list[str] = [
 
 
 def enrich(events: DataFrame, trades: DataFrame, by: list[str] = ["day"], us: str = "us", seq: str = "seq") -> DataFrame:
-    """events with the last trade strictly before at millisecond precision, and the running sum of its signed size."""
+    """events with the last trade strictly before at millisecond precision, and the running sum of its signed size.
+
+    Of trades in one millisecond the last by us, then seq, counts.
+    """
     ms = F.expr(f"{us} div 1000")
-    t = trades.select(*by, ms.alias("_ms"), seq, F.col("side").alias("trade_side"), F.col("size").alias("trade_size"), F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size")).alias("trade_delta"))
-    e = asof(events.withColumn("_ms", ms), t, by, "_ms", seq, ["trade_side", "trade_size", "trade_delta"], allow_exact=False).drop("_ms")
+    t = trades.select(*by, ms.alias("_ms"), us, seq, F.col("side").alias("trade_side"), F.col("size").alias("trade_size"), F.when(F.col("side") == "buy", F.col("size")).otherwise(-F.col("size")).alias("trade_delta"))
+    e = asof(events.withColumn("_ms", ms), t, by, "_ms", seq, ["trade_side", "trade_size", "trade_delta"], allow_exact=False, ties=[us]).drop("_ms")
     w = Window.partitionBy(*by).orderBy(us, seq).rowsBetween(Window.unboundedPreceding, 0)
     return e.withColumns({
         "trade_side": F.coalesce("trade_side", F.lit("none")), "trade_size": F.coalesce("trade_size", F.lit(0)), "trade_delta": F.coalesce("trade_delta", F.lit(0)),

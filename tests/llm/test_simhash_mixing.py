@@ -151,3 +151,19 @@ def test_mixing_edges(docs_of, empty_docs):
     assert mixing.mix(empty_docs).count() == 0 and mixing.take(empty_docs).count() == 0
     small, large = ({r["doc_id"] for r in mixing.mix(df, weights=(1.0,), budget=b).collect() if r["copies"]} for b in (0.3, 0.6))
     assert small <= large and small < large
+
+
+def test_written_tables_leave_no_shuffle_files_and_components_one_table(spark):
+    import os
+
+    from tidebook.llm.common import components, materialize, shared_dir
+
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before = files()
+    made = materialize(spark.range(1000).repartition(3, "id"), "cleaned")
+    assert {f for f in files() - before if f.endswith(".data")} == set()
+    assert made.count() == 1000
+    chain = spark.range(40).selectExpr("id AS a", "id + 1 AS b")
+    roots = components(chain, "few-left").collect()
+    assert len(roots) == 41 and {r.root for r in roots} == {0}
+    assert len([d for d in os.listdir(f"{shared_dir(spark)}/tidebook".removeprefix("file:")) if d.startswith("few-left-")]) == 1

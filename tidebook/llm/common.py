@@ -28,12 +28,33 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage and survives lost executors."""
+    """Write df to the shared folder and read it again: cuts lineage and survives lost executors.
+
+    The write's own shuffle files go with it; else they stay until the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidebook/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._folder = path
+    return made
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of tables from materialize() that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: str, modulus: int) -> Column:
@@ -120,7 +141,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         else:
             out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return materialize(out.filter("a <> b").distinct(), name)
+        made = materialize(out.filter("a <> b").distinct(), name)
+        release(low)
+        return made
 
     def mark(e: DataFrame):
         row = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -129,7 +152,10 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     e = materialize(edges.select("a", "b").filter("a <> b").distinct(), name)
     seen = mark(e)
     while seen[0]:
-        e = step(step(e, False, 2 * seen[0]), True, seen[0])
+        large = step(e, False, 2 * seen[0])
+        small = step(large, True, seen[0])
+        release(e, large)
+        e = small
         now = mark(e)
         if now == seen:
             break

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.llm.common import components, join_hot, local_roots, materialize
+from tidebook.llm.common import components, join_hot, local_roots, materialize, release
 
 SEED = 42
 CHUNK = 4096  # fingerprints of one tile that one task holds; larger tiles are split
@@ -369,7 +369,8 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     # Whatever has a partner within the radius is in a pair now; the sets of all else are not needed.
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     wanted = materialize(wanted.join(reps.select("key", "same"), "key"), "simhash-wanted")
-    index = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live")
+    live = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live")
+    release(index, sizes)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.unhex(F.md5(text)).alias("same"), text.alias("text")).join(wanted, "same").groupBy("key").agg(F.any_value("text").alias("text"))
 
@@ -382,18 +383,23 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     x, y = (sets.select(F.col("key").alias(c), F.col("set").alias(f"s{c}")) for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     like = both >= F.lit(least) * (F.size("sa") + F.size("sb") - both) - 1e-9
-    known, links, every = wanted.select("key", F.col("key").alias("root")), None, False
+    known, links, roots, every = wanted.select("key", F.col("key").alias("root")), None, None, False
     while True:
         good = materialize(pairs.join(x, "a").join(y, "b").filter(like).select("a", "b"), "simhash-good")
+        release(pairs)
         more = not good.isEmpty()
         if more:
+            parts = [good] if links is None else [links, good]
             links = good if links is None else materialize(links.union(good), "simhash-links")
             classes = components(links, "simhash-classes").withColumnRenamed("node", "key")
             known = materialize(wanted.select("key").join(classes, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-roots")
+            release(*[t for t in [*parts, roots] if t is not None and t is not links])
+            roots = known
         if every:
             break
         every = not more
-        pairs = materialize(_candidates(index.join(known, "key"), radius, least, every), "simhash-pairs")
+        pairs = materialize(_candidates(live.join(known, "key"), radius, least, every), "simhash-pairs")
+    release(live, sets)
     return found, reps.select("key").join(known, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
 
 
@@ -404,6 +410,7 @@ def distinct_documents(docs: DataFrame, words: int = 5, least: float = 0.8, id_c
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("b")
     keep = rows.groupBy("key").agg(best).join(known, "key").groupBy("root").agg(F.min("b").alias("b"))
     keep = materialize(keep.select(F.col("b.doc_id").alias("keep"), F.col("b.same").alias("kept"), F.xxhash64("b.doc_id", "b.same").alias("_at")), "simhash-kept")
+    release(rows)
     # The row travels as one value, so that its other columns may have any names.
     same = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), same.alias("same"))

@@ -44,3 +44,25 @@ def test_odd_turns(spark):
     assert [t for _, t in got[3]] == [str(i) for i in range(700)]
     empty = chat_trees.format_trees(chat_trees.as_messages(df.limit(0)))
     assert chat_trees.digests(empty).count() == 0
+
+
+def test_rounds_write_few_files(spark):
+    import glob
+
+    from tidebook.llm.common import LEAST_FILES, shared_dir
+
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    folder = f"{shared_dir(spark)}/tidebook".removeprefix("file:")
+    known = set(glob.glob(f"{folder}/chat-level-*") + glob.glob(f"{folder}/chat-walk-*"))
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(600).selectExpr("id div 6 AS conv_id", "id % 6 AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+        got = {r["tree"]: chat_trees.parse_turns(r["formatted"]) for r in chat_trees.format_trees(chat_trees.as_messages(df)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {c: [("assistant" if t % 2 else "user", f"t{6 * c + t}") for t in range(6)] for c in range(100)}
+    made = set(glob.glob(f"{folder}/chat-level-*") + glob.glob(f"{folder}/chat-walk-*")) - known
+    assert len(made) >= 4 and max(len(glob.glob(f"{d}/part-*")) for d in made) <= LEAST_FILES

@@ -100,17 +100,17 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     one, total = F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")
     # Messages without a parent all have the same null key: they stay out of the join.
     roots = links.filter("parent IS NULL").select("tree", "node", F.col("parent").alias("up"), one, total)
-    base = materialize(roots.union(links.filter("parent IS NOT NULL").join(known, "parent", "left").select("tree", "node", up, one, total)), "chat-level")
+    n = messages.count()
+    base = materialize(roots.union(links.filter("parent IS NOT NULL").join(known, "parent", "left").select("tree", "node", up, one, total)), "chat-level", rows=n)
     # Pointers that have reached a root rest; only the others are joined in the next round.
     ended = ["up IS NULL", "up IS NOT NULL"]
     rooted, moving, levels = base.filter(ended[0]), base.filter(ended[1]), []
     # A branch has no more messages than there are: pointers that reach further up are on a cycle.
-    n = base.count()
     while 1 << len(levels) <= n and not moving.isEmpty():
         levels.append(moving.select(F.col("node").alias("at"), F.col("up").alias("above")))
         far = rooted.union(moving).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
         both = moving.join(far, "up").select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("total") + F.col("total2")).alias("total"))
-        both = materialize(both, "chat-level")
+        both = materialize(both, "chat-level", rows=n)
         rooted, moving = rooted.union(both.filter(ended[0])), both.filter(ended[1])
     leaves = rooted.join(base.select(F.col("up").alias("node")), "node", "left_anti")
     if top == 1:
@@ -118,11 +118,11 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     else:
         rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))
         best = leaves.withColumn("rank", rank).filter(F.col("rank") <= top).select("tree", F.col("node").alias("path"), F.col("steps").alias("length"))
-    walk = materialize(best.select("tree", "path", F.col("path").alias("node"), F.col("length").alias("depth")), "chat-walk")
+    walk = materialize(best.select("tree", "path", F.col("path").alias("node"), F.col("length").alias("depth")), "chat-walk", rows=n)
     for k in reversed(range(len(levels))):
         # From every message reached so far that is deep enough, also the one 2**k replies above it.
         hop = walk.filter(F.col("depth") > (1 << k)).join(levels[k], F.col("node") == F.col("at"))
-        hop = materialize(hop.select("tree", "path", F.col("above").alias("node"), (F.col("depth") - (1 << k)).alias("depth")), "chat-walk")
+        hop = materialize(hop.select("tree", "path", F.col("above").alias("node"), (F.col("depth") - (1 << k)).alias("depth")), "chat-walk", rows=top * n)
         walk = walk.union(hop)
     return walk
 

@@ -31,11 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+FILE_ROWS, LEAST_FILES = 20_000, 6  # rows a file of a table of known size, and files it gets at least
+
+
+def materialize(df: DataFrame, name: str, codec: str = "snappy", rows: int | None = None) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage and survives lost executors.
 
     The write's own shuffle files go with it; else they stay until the driver collects its garbage.
+    rows is what df has at most, where the caller knows it: a small table is then written by few tasks. Each
+    part file makes the JVM start processes (chmod, on local folders) that share its memory for a moment.
     """
+    if rows is not None:
+        df = df.coalesce(max(LEAST_FILES, -(-rows // FILE_ROWS)))
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidebook/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
@@ -134,14 +141,14 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         else:
             both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        low = materialize(low, name)  # it is read several times, and plans of plans grow fast
+        low = materialize(low, name, rows=2 * total)  # it is read several times, and plans of plans grow fast
         # The smallest node of a large class is a hub, whose edges are not dealt to one task.
         out = join_hot(both, low, ["u"], "n", total)
         if small:
             out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m"))
         else:
             out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        made = materialize(out.filter("a <> b").distinct(), name)
+        made = materialize(out.filter("a <> b").distinct(), name, rows=2 * total)
         release(low)
         return made
 

@@ -99,3 +99,27 @@ def test_trained_model_on_held_out_rows(spark, docs_of, empty_docs):
     by = {r["doc_id"]: r["score"] for r in got}
     assert by[1000] == by[1001] < 0.3 and by[1003] == by[0] and by[None] >= 0.3
     assert toxicity.score(empty_docs, toxicity.train(empty_docs, known.limit(0), ~toxicity.held_out())).count() == 0
+
+
+def test_counts_are_passed_on_within_a_batch():
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{(i * 7 + k) % 300}" for k in range(20)) for i in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(500)], pa.int32())], names=["text", "y"])
+    whole = {}
+    for i, t in enumerate(texts):
+        for w in set(t.split()):
+            whole.setdefault(w, [0, 0])[i % 2] += 1
+    most, toxicity.COUNTED = toxicity.COUNTED, 100
+    try:
+        parts = list(toxicity._tally([batch], lambda t: set(t.split())))
+    finally:
+        toxicity.COUNTED = most
+    got = {}
+    for p in parts:
+        assert p.num_rows <= 120
+        for f, neg, pos in zip(*(p.column(k).to_pylist() for k in range(3))):
+            was = got.setdefault(f, [0, 0])
+            was[0] += neg
+            was[1] += pos
+    assert len(parts) > 1 and got == whole

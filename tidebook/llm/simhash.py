@@ -357,19 +357,21 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     """
     found = sketches(docs, words, least, id_col, text_col)
     first = [F.any_value(c).alias(c) for c in ("same", "size", "fp", "heads")]
-    reps = materialize(found.groupBy("key").agg(*first), "simhash-sets")
+    reps = materialize(found.groupBy("key").agg(*first), "simhash-sets", rows=found.count())
+    n = reps.count()
     # SimHash bits differ at a rate of angle / pi; RADIUS_SIGMA deviations above the mean at least are let pass.
     rate = math.acos(2 * least / (1 + least)) / math.pi
     radius = math.ceil(64 * WIDE * rate + RADIUS_SIGMA * math.sqrt(64 * WIDE * rate * (1 - rate)))
     index = reps.select("key", "size", "fp", F.explode("heads").alias("sig"))
     sizes = index.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "simhash-tiles")
-    index = materialize(join_hot(index, sizes, ["sig"], "n"), "simhash-index")
+    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "simhash-tiles", rows=HEADS * n)
+    index = materialize(join_hot(index, sizes, ["sig"], "n"), "simhash-index", rows=HEADS * n)
     pairs = materialize(_candidates(index.withColumn("root", F.col("key")), radius, least, False), "simhash-pairs")
     # Whatever has a partner within the radius is in a pair now; the sets of all else are not needed.
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    wanted = materialize(wanted.join(reps.select("key", "same"), "key"), "simhash-wanted")
-    live = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live")
+    wanted = materialize(wanted.join(reps.select("key", "same"), "key"), "simhash-wanted", rows=n)
+    n = wanted.count()
+    live = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live", rows=HEADS * n)
     release(index, sizes)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.unhex(F.md5(text)).alias("same"), text.alias("text")).join(wanted, "same").groupBy("key").agg(F.any_value("text").alias("text"))
@@ -392,7 +394,7 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
             parts = [good] if links is None else [links, good]
             links = good if links is None else materialize(links.union(good), "simhash-links")
             classes = components(links, "simhash-classes").withColumnRenamed("node", "key")
-            known = materialize(wanted.select("key").join(classes, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-roots")
+            known = materialize(wanted.select("key").join(classes, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-roots", rows=n)
             release(*[t for t in [*parts, roots] if t is not None and t is not links])
             roots = known
         if every:

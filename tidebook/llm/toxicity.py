@@ -44,6 +44,7 @@ ODDS = 1.5  # log odds that an entry has at least
 SEEN = 3  # clean texts that an exception phrase is found in at least
 THRESHOLD = 0.3
 BATCH = 2000  # rows a step of a Python worker
+COUNTED = 100_000  # entries that a worker counts before it passes them on
 
 # Letters of other scripts and signs that stand for a Latin letter.
 HOMOGLYPHS = {
@@ -182,19 +183,14 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
     rows = materialize(rows.select("text", "y"), "toxic-texts")
 
     def features(batches):
-        seen: dict[str, list[int]] = {}
-        for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = set()
-                for word in set(fold_text(text).split()):
-                    found.add(f" {word} ")
-                    found.update(" " + word[:k] for k in PREFIX if k <= len(word))
-                for f in found:
-                    seen.setdefault(f, [0, 0])[y] += 1
-            if len(seen) > 400_000:
-                yield _counted(seen)
-                seen = {}
-        yield _counted(seen)
+        def of(text):
+            found = set()
+            for word in set(fold_text(text).split()):
+                found.add(f" {word} ")
+                found.update(" " + word[:k] for k in PREFIX if k <= len(word))
+            return found
+
+        return _tally(batches, of)
 
     summed = lambda df: df.groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     counted = summed(rows.mapInArrow(features, "f string, neg bigint, pos bigint"))
@@ -212,16 +208,13 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
     bare = Model({x: 1.0 for x in names})
 
     def phrases(batches):
-        auto, seen = bare.automaton(), {}
-        for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                folded = fold_text(text)
-                for f in {p for lo, hi, _, _ in spots(auto, folded) for p in _phrases(folded, lo, hi)}:
-                    seen.setdefault(f, [0, 0])[y] += 1
-            if len(seen) > 400_000:
-                yield _counted(seen)
-                seen = {}
-        yield _counted(seen)
+        auto = bare.automaton()
+
+        def of(text):
+            folded = fold_text(text)
+            return {p for lo, hi, _, _ in spots(auto, folded) for p in _phrases(folded, lo, hi)}
+
+        return _tally(batches, of)
 
     around = summed(rows.mapInArrow(phrases, "f string, neg bigint, pos bigint")).withColumn("odds", odds)
     exceptions = tuple(r["f"] for r in around.filter((F.col("odds") < 0) & (F.col("neg") >= SEEN)).orderBy("f").collect())
@@ -261,6 +254,19 @@ def train(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text
     return Model(lexicon, exceptions, (float(curve[2]), float(curve[0]), float(curve[1])))
 
 
+def _tally(batches, entries):
+    """Counts of the entries of each text by label, in parts of COUNTED entries and one text's more; an entry can be in several parts."""
+    seen: dict[str, list[int]] = {}
+    for b in batches:
+        for text, y in zip(b.column(0), b.column(1).to_pylist()):
+            for f in entries(text.as_py()):
+                seen.setdefault(f, [0, 0])[y] += 1
+            if len(seen) > COUNTED:
+                yield _counted(seen)
+                seen = {}
+    yield _counted(seen)
+
+
 def _counted(seen: dict[str, list[int]]):
     return pa.RecordBatch.from_arrays(
         [pa.array(list(seen)), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], names=["f", "neg", "pos"]

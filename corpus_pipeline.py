@@ -21,16 +21,24 @@ from tidebook.llm.common import materialize
 from tidebook.session import table
 
 MODEL = "piece_bpe_32k.model"
+BATCH = "1000"  # rows of whole texts that a task hands to its Python worker at once
+
+
+def small_batches(spark: SparkSession) -> None:
+    """A batch lies in memory in the JVM and in the worker; results are read later, so the setting stays with the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; labels teach the lexicon, none of them decides."""
+    small_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
     return toxicity.below(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a likeness of 0.8 or more of their five-word runs; op4's digest bits miss most of these."""
+    small_batches(spark)
     return simhash.distinct_documents(docs)
 
 
@@ -46,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the SHA-256 of what they decode to."""
+    small_batches(spark)
     return spm.encoded(docs.select("doc_id", "lang", "source", "text"), spm.load(public_tokenizers.path(MODEL)))
 
 

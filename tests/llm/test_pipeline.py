@@ -83,3 +83,15 @@ def test_nulls_repeats_ties_clashing_columns_and_empty_tables(spark, docs_of, tm
     assert left == [-1, *range(40), 100, 102, 104]
     text = {r["doc_id"]: r["text"] for r in corpus_pipeline.redact_personal_data(spark, docs, "").collect()}
     assert text[104] == "mail me at [EMAIL] now" and text[100] is None
+
+
+def test_texts_go_to_workers_in_small_batches(spark, docs_of):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = docs_of([(i, f"text {i}") for i in range(2500)]).coalesce(1)
+    try:
+        corpus_pipeline.small_batches(spark)
+        sizes = [r.n for r in docs.mapInArrow(lambda bs: (__import__("pyarrow").RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n bigint").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(sizes) == 2500 and max(sizes) <= int(corpus_pipeline.BATCH)

@@ -116,6 +116,37 @@ def test_near_texts_against_brute_force(docs_of, chunk):
     assert 10 < len(want) < len(texts) - 20
 
 
+@pytest.mark.parametrize("local", [0, 1 << 18])
+def test_near_copies_make_rows_in_proportion(docs_of, monkeypatch, local):
+    """A group of many edits of one text, most pairs within the radius but not linked: no pairs are listed, and the classes are right."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(240):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(len(w))] = f"v{rng.randint(0, 10**6)}"
+        texts.append(" ".join(w))
+    made, write = {}, simhash.materialize
+
+    def counted(df, name, **more):
+        out = write(df, name, **more)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", counted)
+    monkeypatch.setattr(simhash, "LOCAL", local, raising=False)
+    rows, known = simhash.near_texts(docs_of(list(enumerate(texts))), chunk=100)
+    got = {}
+    for r in rows.join(known, "key").select("doc_id", "root").collect():
+        got.setdefault(bytes(r["root"]), []).append(r["doc_id"])
+    want = {}
+    for i, c in enumerate(slow_classes(texts)):
+        want.setdefault(c, []).append(i)
+    assert sorted(sorted(v) for v in got.values()) == sorted(want.values()) and 10 < len(want) < 230
+    assert made["simhash-pairs"] <= 16 * len(texts) and made["simhash-good"] <= 4 * len(texts)
+
+
 def test_one_of_each_group_stays(docs_of, empty_docs):
     df = docs_of([(5, "a b c d"), (3, "a b c d"), (3, "a b c d"), (7, "something else entirely here"), (None, "alone"), (None, None), (9, "")])
     left = simhash.distinct_documents(df)

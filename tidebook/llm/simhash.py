@@ -7,7 +7,8 @@ at most the radius, so every other pair of tiles is skipped; the tiles that rema
 full with exclusive-or and bit counts. The comparison is exact: no pair within the radius is missed.
 
 near_texts() finds groups by the Jaccard likeness of sets of five-word shingles instead: SimHashes of
-256 bits are compared tile by tile within a radius that such pairs keep to, and verified exactly.
+256 bits are compared tile by tile within a radius that such pairs keep to, and the classes so found are
+split by the exact likeness of their sets.
 
 Defined results: a null or empty text has no words and the fingerprint zero, which links like any
 other (for near_texts(): the empty set, equal to itself only); a very long text is one value, hashed in
@@ -36,6 +37,8 @@ STEP = 1 << 20  # comparisons in one numpy block
 WIDE = 4  # 64-bit words of the fingerprints that near_texts() compares
 HEADS = 16  # smallest hashes that tiles are made of
 RADIUS_SIGMA = 4.0  # deviations that the radius of wide fingerprints leaves room for
+EXACT, VOLUME = 1024, 1 << 20  # sets of one class, and hashes in them, that one task holds; larger classes are split
+LOCAL = 1 << 18  # edges that one task turns into classes, and rows that are broadcast; beyond, both are dealt out
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -233,127 +236,168 @@ def sketches(docs: DataFrame, words: int, least: float, id_col: str = "doc_id",
     return materialize(src.mapInArrow(run, f"doc_id {kind}, same binary, key binary, size int, fp array<bigint>, heads array<bigint>"), "simhash-sketches")
 
 
-class _Pairs:
-    """One task's share of a tile of wide fingerprints: its own, then visitors as they stream past."""
+class _Wide:
+    """Rows of a tile, searched for those whose wide fingerprints lie within the radius and whose sizes allow a link."""
 
-    def __init__(self, radius: int, least: float, every: bool):
-        self.radius, self.least, self.every = radius, least, every
-        self.home, self.rows, self.out, self.best = [], None, [], None
+    def __init__(self, rows: dict, radius: int, least: float):
+        self.rows, self.radius, self.least = rows, radius, least
 
-    def own(self, rows: dict) -> None:
-        self.home.append(rows)
-
-    def visit(self, rows: dict) -> None:
-        self._settle()
-        self._meet(rows, False)
-
-    def _settle(self) -> None:
-        if self.rows is None:
-            first = self.home[0] if self.home else None
-            self.rows = {k: np.concatenate([h[k] for h in self.home]) for k in first} if first else {k: np.zeros((0, WIDE) if k == "fp" else 0, np.uint64) for k in ("key", "size", "root", "pop", "fp")}
-            self.best = np.full(len(self.rows["size"]), self.radius + 1, dtype=np.uint16), np.empty(len(self.rows["size"]), dtype=object)
-            self._meet(self.rows, True)
-
-    def _meet(self, other: dict, same: bool) -> None:
-        """Compare the own rows with others in blocks; blocks whose sizes or population counts rule out a link are skipped."""
-        mine = self.rows
-        n = len(mine["size"])
-        if not n:
-            return
-        wide = max(1, STEP // n)
-        low, high = self.least * float(mine["size"].min()), float(mine["size"].max()) / self.least
+    def near(self, other: dict):
+        """Index pairs (own, other) in blocks; blocks whose sizes or population counts rule out a link are skipped."""
+        mine, radius, least = self.rows, self.radius, self.least
+        wide = max(1, STEP // len(mine["size"]))
+        low, high = least * float(mine["size"].min()), float(mine["size"].max()) / least
         fit = np.flatnonzero((other["size"] >= low - 1e-9) & (other["size"] <= high + 1e-9))
         fit = fit[np.argsort(other["pop"][fit], kind="stable")]
-        spread = int(mine["pop"].min()) - self.radius, int(mine["pop"].max()) + self.radius
+        spread = int(mine["pop"].min()) - radius, int(mine["pop"].max()) + radius
         for at in range(0, len(fit), wide):
             j = fit[at : at + wide]
             pop = other["pop"][j]
             if pop[-1] < spread[0] or pop[0] > spread[1]:
                 continue
-            far = np.zeros((n, len(j)), dtype=np.uint16)
+            far = np.zeros((len(mine["size"]), len(j)), dtype=np.uint16)
             for k in range(WIDE):
                 far += np.bitwise_count(mine["fp"][:, k][:, None] ^ other["fp"][j, k][None, :])
             a, b = mine["size"][:, None], other["size"][j][None, :]
-            bad = (mine["root"][:, None] == other["root"][j][None, :]) | (np.minimum(a, b) < self.least * np.maximum(a, b) - 1e-9)
-            far[bad] = self.radius + 1
-            if self.every:
-                x, y = np.nonzero(far <= self.radius)
-                if same:
-                    x, y = x[x < j[y]], y[x < j[y]]
-                self.out.append((mine["key"][x], other["key"][j[y]]))
-                continue
-            # Each row's nearest partner here; of the own rows also the first one, which joins a group of near copies at once.
-            x = far.argmin(axis=0)
-            hit = np.flatnonzero(far[x, np.arange(len(j))] <= self.radius)
-            self.out.append((mine["key"][x[hit]], other["key"][j[hit]]))
-            if same:
-                x = (far <= self.radius).argmax(axis=0)
-                self.out.append((mine["key"][x[hit]], other["key"][j[hit]]))
-            if not same:
-                y = far.argmin(axis=1)
-                near = far[np.arange(n), y]
-                better = near < self.best[0]
-                self.best[0][better] = near[better]
-                self.best[1][better] = other["key"][j[y[better]]]
-
-    def pairs(self) -> tuple[list, list]:
+            x, y = np.nonzero((far <= radius) & (np.minimum(a, b) >= least * np.maximum(a, b) - 1e-9))
+            yield x, j[y]
+
+
+class _Sets:
+    """Rows of a class as an inverted index of their shingles, searched for sets of likeness least or more: exact."""
+
+    def __init__(self, rows: dict, least: float):
+        self.least, self.size = least, np.array([len(s) for s in rows["set"]])
+        self.known, at = np.unique(np.concatenate(list(rows["set"])), return_inverse=True)
+        self.who = np.repeat(np.arange(len(self.size)), self.size)[np.argsort(at, kind="stable")]
+        self.ends = np.cumsum(np.bincount(at, minlength=len(self.known)))
+
+    def near(self, other: dict):
+        """Index pairs (own, other) in blocks of bounded size."""
+        i, j, held = [], [], 0
+        for k, s in enumerate(other["set"]):
+            at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
+            at = at[self.known[at] == s]
+            n = self.ends[at] - np.where(at > 0, self.ends[at - 1], 0)
+            # The postings of all its shingles, one after the other.
+            both = np.bincount(self.who[np.repeat(self.ends[at] - np.cumsum(n), n) + np.arange(n.sum())], minlength=len(self.size))
+            hit = np.flatnonzero((both > 0) & (both >= self.least * (self.size + len(s) - both) - 1e-9))
+            i.append(hit)
+            j.append(np.full(len(hit), k))
+            held += len(hit)
+            if held > STEP:
+                yield np.concatenate(i), np.concatenate(j)
+                i, j, held = [], [], 0
+        if i:
+            yield np.concatenate(i), np.concatenate(j)
+
+
+class _Group(_Tile):
+    """One task's share of a tile or class: its own rows, then visitors as they stream past; index makes the own ones searchable."""
+
+    def __init__(self, index):
+        self.index, self.home, self.lab, self.out = index, [], None, []
+
+    def visit(self, rows: dict) -> None:
+        self._settle()
+        if not self.home:
+            return
+        for i, j in self.search.near(rows):
+            first = np.full(len(rows["key"]), len(self.mine))
+            np.minimum.at(first, j, i)
+            hit = np.unique(j)
+            self.out.append((rows["key"][hit], self.mine[first[hit]]))
+            self._join(i, first[j])
+
+    def _settle(self) -> None:
+        if self.lab is None:
+            rows = {k: np.concatenate([h[k] for h in self.home]) for k in self.home[0]} if self.home else {"key": np.zeros(0, object)}
+            self.mine = rows["key"]
+            self.lab = np.arange(len(self.mine))
+            if self.home:
+                self.home, self.search = [True], self.index(rows)
+                for i, j in self.search.near(rows):
+                    self._join(i[i < j], j[i < j])
+
+    def edges(self) -> tuple[list, list]:
         self._settle()
-        if not self.every:
-            hit = self.best[0] <= self.radius
-            self.out.append((self.rows["key"][hit], self.best[1][hit]))
-        return [x for p in self.out for x in p[0]], [x for p in self.out for x in p[1]]
+        own = np.flatnonzero(self.lab != np.arange(len(self.lab)))
+        parts = [*self.out, (self.mine[own], self.mine[self.lab[own]])]
+        return [x for p in parts for x in p[0]], [x for p in parts for x in p[1]]
 
 
-def _candidates(index: DataFrame, radius: int, least: float, every: bool) -> DataFrame:
-    """(a, b): pairs of rows (sig, chunks, key, size, fp, root) of unlike root that share sig and lie within the radius.
+def _forests(rows: DataFrame, columns: list[str], read, index) -> DataFrame:
+    """Distinct edges (a, b) of keys whose components are those of all links that index() finds within a tile.
 
-    Each row's nearest partner in a task and its first in its own chunk, or every pair. A tile is what shares sig; one of several chunks is dealt
-    so that each task holds one chunk and the rows of the earlier ones stream past.
+    rows has tile, chunks and key; a tile of several chunks is dealt so that each task holds one chunk and the rows of
+    the earlier ones stream past. A task emits a spanning forest of its links, so the rows made are linear in the rows
+    dealt whatever the links of a group. read turns the columns of a batch into arrays by name.
     """
     sent = (
-        index.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+        rows.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
         .withColumn("part", F.explode(F.sequence(F.col("mine"), F.col("chunks") - 1)))
-        .select("sig", "part", (F.col("mine") != F.col("part")).cast("int").alias("visitor"), "key", "size", F.xxhash64("root").alias("root"), "fp")
+        .select("tile", "part", (F.col("mine") != F.col("part")).cast("int").alias("visitor"), "key", *columns)
     )
 
     def run(batches):
-        at, tile = None, None
+        at, group = None, None
 
         def told():
-            a, b = tile.pairs()
+            a, b = group.edges()
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
         for b in batches:
-            sig, part, visitor, key, size, root = (b.column(c).to_numpy(zero_copy_only=False) for c in range(6))
-            fp = b.column(6).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDE)
-            pop = np.bitwise_count(fp).sum(axis=1, dtype=np.int64)
-            cut = np.flatnonzero((np.diff(sig) != 0) | (np.diff(part) != 0) | (np.diff(visitor) != 0)) + 1
-            for lo, hi in zip([0, *cut], [*cut, len(sig)]):
+            tile, part, visitor, key = (b.column(c).to_numpy(zero_copy_only=False) for c in range(4))
+            cols = {"key": key} | read(b.columns[4:])
+            cut = np.flatnonzero((np.diff(tile) != 0) | (np.diff(part) != 0) | (np.diff(visitor) != 0)) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(tile)]):
                 if lo == hi:
                     continue
-                if (sig[lo], part[lo]) != at:
-                    if tile is not None:
+                if (tile[lo], part[lo]) != at:
+                    if group is not None:
                         yield from told()
-                    at, tile = (sig[lo], part[lo]), _Pairs(radius, least, every)
-                rows = {"key": key[lo:hi], "size": size[lo:hi].astype(np.float64), "root": root[lo:hi], "pop": pop[lo:hi], "fp": fp[lo:hi]}
-                (tile.visit if visitor[lo] else tile.own)(rows)
-        if tile is not None:
+                    at, group = (tile[lo], part[lo]), _Group(index)
+                (group.visit if visitor[lo] else group.own)({k: v[lo:hi] for k, v in cols.items()})
+        if group is not None:
             yield from told()
 
-    found = sent.repartition("sig", "part").sortWithinPartitions("sig", "part", "visitor").mapInArrow(run, "a binary, b binary")
+    found = sent.repartition("tile", "part").sortWithinPartitions("tile", "part", "visitor").mapInArrow(run, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _alike_fingerprints(index: DataFrame, radius: int, least: float) -> DataFrame:
+    """Edges of the rows (tile, chunks, key, size, fp) that share a tile and lie within the radius."""
+
+    def read(columns):
+        fp = columns[1].flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WIDE)
+        return {"size": columns[0].to_numpy(zero_copy_only=False).astype(np.float64), "fp": fp, "pop": np.bitwise_count(fp).sum(axis=1, dtype=np.int64)}
+
+    return _forests(index, ["size", "fp"], read, lambda rows: _Wide(rows, radius, least))
+
+
+def _alike_sets(sets: DataFrame, least: float) -> DataFrame:
+    """Edges of the rows (tile, chunks, key, set) that share a tile and whose sets have a likeness of least or more."""
+
+    def read(columns):
+        flat, ends = columns[0].flatten().to_numpy(zero_copy_only=False), columns[0].offsets.to_numpy()
+        out = np.empty(len(columns[0]), dtype=object)
+        for k, (lo, hi) in enumerate(zip(ends[:-1] - ends[0], ends[1:] - ends[0])):
+            out[k] = flat[lo:hi]
+        return {"set": out}
+
+    return _forests(sets, ["set"], read, lambda rows: _Sets(rows, least))
+
+
 def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """(sketches, (key, root)): root names the class of each set of shingles, linked by a Jaccard likeness of least or more.
 
     Sets that share one of their smallest hashes make a tile. Two sets of likeness least share none of HEADS
     with probability (1 - least) ** HEADS, 7e-12 at 0.8; small sets keep all the hashes that make this exact.
-    In a tile wide SimHashes are compared in full, and a pair within the radius is verified by the exact
-    likeness of its sets. Rounds verify each set's nearest and first partner of another class until nothing more is
-    linked; then every pair within the radius that is still in different classes is verified, so that no
-    link is lost and the pairs of one class are never listed.
+    In a tile wide SimHashes are compared in full; what is reachable over pairs within the radius is a wide class.
+    The sets of such a class meet once more and are compared exactly, all with all, by an inverted index, so no link
+    is lost, and either comparison passes on spanning forests only: no pairs are listed, however many are within the
+    radius without being linked.
     """
     found = sketches(docs, words, least, id_col, text_col)
     first = [F.any_value(c).alias(c) for c in ("same", "size", "fp", "heads")]
@@ -362,47 +406,37 @@ def near_texts(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str
     # SimHash bits differ at a rate of angle / pi; RADIUS_SIGMA deviations above the mean at least are let pass.
     rate = math.acos(2 * least / (1 + least)) / math.pi
     radius = math.ceil(64 * WIDE * rate + RADIUS_SIGMA * math.sqrt(64 * WIDE * rate * (1 - rate)))
-    index = reps.select("key", "size", "fp", F.explode("heads").alias("sig"))
-    sizes = index.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "simhash-tiles", rows=HEADS * n)
-    index = materialize(join_hot(index, sizes, ["sig"], "n"), "simhash-index", rows=HEADS * n)
-    pairs = materialize(_candidates(index.withColumn("root", F.col("key")), radius, least, False), "simhash-pairs")
-    # Whatever has a partner within the radius is in a pair now; the sets of all else are not needed.
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    wanted = materialize(wanted.join(reps.select("key", "same"), "key"), "simhash-wanted", rows=n)
-    n = wanted.count()
-    live = materialize(index.join(wanted.select("key"), "key", "left_semi"), "simhash-live", rows=HEADS * n)
-    release(index, sizes)
+    # Most hashes have one set: keys alone are dealt by hash, and what is left meets its fingerprint afterwards.
+    index = reps.select("key", F.explode("heads").alias("tile"))
+    sizes = index.groupBy("tile").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int")), "simhash-tiles", rows=n)
+    index = join_hot(index, sizes, ["tile"], "n").join(reps.select("key", "size", "fp"), "key")
+    pairs = materialize(_alike_fingerprints(index, radius, least), "simhash-pairs", rows=n)
+    release(sizes)
+    classes = components(pairs, "simhash-classes", LOCAL).withColumnRenamed("node", "key")
+    classes = materialize(classes.join(reps.select("key", "same", "size"), "key"), "simhash-classes", rows=n)
+    release(pairs)
+    most = F.greatest(F.count("*") / min(chunk, EXACT), F.sum("size") / VOLUME)
+    split = classes.groupBy("root").agg(F.count("*").alias("n"), F.ceil(most).cast("int").alias("chunks"))
+    total = classes.count()
+    wanted = join_hot(classes, split, ["root"], "n", total).select("key", "same", F.xxhash64("root").alias("tile"), "chunks")
+    wanted = materialize(wanted, "simhash-wanted", rows=total)
+    release(classes)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.unhex(F.md5(text)).alias("same"), text.alias("text")).join(wanted, "same").groupBy("key").agg(F.any_value("text").alias("text"))
+    texts = docs.select(F.unhex(F.md5(text)).alias("same"), text.alias("text")).join(F.broadcast(wanted) if total <= LOCAL else wanted, "same")
+    texts = texts.groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("tile", "chunks", "text")])
 
     def run(batches):
         for b in batches:
-            sets = [shingles(t.as_py(), words).view(np.int64) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["key", "set"])
-
-    sets = materialize(texts.mapInArrow(run, "key binary, set array<bigint>"), "simhash-exact")
-    x, y = (sets.select(F.col("key").alias(c), F.col("set").alias(f"s{c}")) for c in "ab")
-    both = F.size(F.array_intersect("sa", "sb"))
-    like = both >= F.lit(least) * (F.size("sa") + F.size("sb") - both) - 1e-9
-    known, links, roots, every = wanted.select("key", F.col("key").alias("root")), None, None, False
-    while True:
-        good = materialize(pairs.join(x, "a").join(y, "b").filter(like).select("a", "b"), "simhash-good")
-        release(pairs)
-        more = not good.isEmpty()
-        if more:
-            parts = [good] if links is None else [links, good]
-            links = good if links is None else materialize(links.union(good), "simhash-links")
-            classes = components(links, "simhash-classes").withColumnRenamed("node", "key")
-            known = materialize(wanted.select("key").join(classes, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-roots", rows=n)
-            release(*[t for t in [*parts, roots] if t is not None and t is not links])
-            roots = known
-        if every:
-            break
-        every = not more
-        pairs = materialize(_candidates(live.join(known, "key"), radius, least, every), "simhash-pairs")
-    release(live, sets)
-    return found, reps.select("key").join(known, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+            sets = [shingles(t.as_py(), words).view(np.int64) for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sets, pa.list_(pa.int64()))], names=["key", "tile", "chunks", "set"])
+
+    sets = texts.mapInArrow(run, "key binary, tile bigint, chunks int, set array<bigint>")
+    good = materialize(_alike_sets(sets, least), "simhash-good", rows=total)
+    known = components(good, "simhash-roots", LOCAL).withColumnRenamed("node", "key")
+    known = materialize(reps.select("key").join(known, "key", "left").select("key", F.coalesce("root", "key").alias("root")), "simhash-known", rows=n)
+    release(reps, wanted, good)
+    return found, known
 
 
 def distinct_documents(docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -412,7 +446,7 @@ def distinct_documents(docs: DataFrame, words: int = 5, least: float = 0.8, id_c
     best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "same")).alias("b")
     keep = rows.groupBy("key").agg(best).join(known, "key").groupBy("root").agg(F.min("b").alias("b"))
     keep = materialize(keep.select(F.col("b.doc_id").alias("keep"), F.col("b.same").alias("kept"), F.xxhash64("b.doc_id", "b.same").alias("_at")), "simhash-kept")
-    release(rows)
+    release(rows, known)
     # The row travels as one value, so that its other columns may have any names.
     same = F.unhex(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     src = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), same.alias("same"))
